@@ -14,27 +14,42 @@ def dim_event_type(stg: DataFrame) -> DataFrame:
     return stg.select("event_type").distinct()
 
 
-def latest_by(stg: DataFrame, key: str, attribute: str) -> DataFrame:
-    """The attribute seen last for each key; of two seen in the same instant, the greater.
+def spellings(stg: DataFrame, key: str, attribute: str) -> DataFrame:
+    """When each spelling of each key was last seen.
 
-    Events first collapse to one row per (key, attribute), which is a hash aggregate on a
-    timestamp and needs no sort. The second step only sees the few spellings of each key.
+    A hash aggregate on a timestamp, so events are neither sorted nor shuffled whole.
     """
-    seen = stg.groupBy(key, attribute).agg(F.max("created_at").alias("last_seen"))
-    return seen.groupBy(key).agg(
-        F.max_by(attribute, F.struct("last_seen", attribute)).alias(attribute)
-    )
+    return stg.groupBy(key, attribute).agg(F.max("created_at").alias("last_seen"))
+
+
+def merge_spellings(known: DataFrame, new: DataFrame, key: str, attribute: str) -> DataFrame:
+    """Bring stored spellings up to date; merging the same events again changes nothing."""
+    both = known.unionByName(new)
+    return both.groupBy(key, attribute).agg(F.max("last_seen").alias("last_seen"))
+
+
+def latest_by(seen: DataFrame, key: str, attribute: str, key_name: str) -> DataFrame:
+    """One row per key with the spelling seen last; of two seen in one instant, the greater."""
+    order = F.struct("last_seen", attribute)
+    latest = seen.groupBy(key).agg(F.max_by(attribute, order).alias(attribute))
+    return latest.select(surrogate_key(key).alias(key_name), key, attribute)
+
+
+def dim_repo_from(seen: DataFrame) -> DataFrame:
+    return latest_by(seen, "repo_id", "repo_name", "repo_sk")
+
+
+def dim_actor_from(seen: DataFrame) -> DataFrame:
+    return latest_by(seen, "actor_id", "actor_login", "actor_sk")
 
 
 def dim_repo(stg: DataFrame) -> DataFrame:
-    latest = latest_by(stg, "repo_id", "repo_name")
-    return latest.select(surrogate_key("repo_id").alias("repo_sk"), "repo_id", "repo_name")
+    return dim_repo_from(spellings(stg, "repo_id", "repo_name"))
 
 
 def dim_actor(stg: DataFrame) -> DataFrame:
     """Public id and login only; no other identity column exists from silver on."""
-    latest = latest_by(stg, "actor_id", "actor_login")
-    return latest.select(surrogate_key("actor_id").alias("actor_sk"), "actor_id", "actor_login")
+    return dim_actor_from(spellings(stg, "actor_id", "actor_login"))
 
 
 def _calendar(days: DataFrame, day: str) -> DataFrame:

@@ -29,33 +29,37 @@ def contributions_per_actor_day(
     )
 
 
-def named_stars(fact: DataFrame, dim_repo: DataFrame) -> DataFrame:
-    return (
-        stars_per_repo_day(fact)
-        .join(dim_repo, "repo_sk")
-        .select("date_key", "repo_sk", "repo_id", "repo_name", "stars")
+def repo_days(fact: DataFrame) -> DataFrame:
+    """Events and stars per repository and day, which is all the repository marts need."""
+    stars = F.count_if(F.col("event_type") == STAR_TYPE)
+    return fact.groupBy("date_key", "repo_sk").agg(
+        F.count("*").alias("events"), stars.alias("stars")
     )
 
 
-def trending_repos_daily(fact: DataFrame, dim_repo: DataFrame) -> DataFrame:
-    return with_daily_rank(named_stars(fact, dim_repo), "stars", "repo_sk")
+# From daily counts to marts. Names come from the dimensions as they are now.
 
 
-def named_contributions(
-    fact: DataFrame, dim_actor: DataFrame, allowlist: Sequence[str] = CONTRIBUTION_TYPES
-) -> DataFrame:
-    return (
-        contributions_per_actor_day(fact, allowlist)
-        .join(dim_actor, "actor_sk")
-        .select("date_key", "actor_sk", "actor_id", "actor_login", "contributions")
+def name_stars(stars: DataFrame, dim_repo: DataFrame) -> DataFrame:
+    return stars.join(dim_repo, "repo_sk").select(
+        "date_key", "repo_sk", "repo_id", "repo_name", "stars"
     )
 
 
-def contributor_leaderboard(
-    fact: DataFrame, dim_actor: DataFrame, allowlist: Sequence[str] = CONTRIBUTION_TYPES
-) -> DataFrame:
-    rows = named_contributions(fact, dim_actor, allowlist)
-    return with_daily_rank(rows, "contributions", "actor_sk")
+def rank_trending(stars: DataFrame, dim_repo: DataFrame) -> DataFrame:
+    return with_daily_rank(name_stars(stars, dim_repo), "stars", "repo_sk")
+
+
+def name_contributions(contributions: DataFrame, dim_actor: DataFrame) -> DataFrame:
+    return contributions.join(dim_actor, "actor_sk").select(
+        "date_key", "actor_sk", "actor_id", "actor_login", "contributions"
+    )
+
+
+def rank_contributors(contributions: DataFrame, dim_actor: DataFrame) -> DataFrame:
+    return with_daily_rank(
+        name_contributions(contributions, dim_actor), "contributions", "actor_sk"
+    )
 
 
 def repo_language(dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
@@ -65,20 +69,14 @@ def repo_language(dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
     )
 
 
-def enrich_language(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
-    """Fact rows with their repository's language; drops and multiplies none."""
-    return join_lookup(fact, repo_language(dim_repo, seed), "repo_sk")
-
-
-def language_day_counts(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
+def count_languages(events: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
     """Events and active repositories per day and language.
 
-    Nearly all events fall in 'Unknown'. Counting per repository and day first leaves one row
-    per repository for each group, so the distinct count becomes a plain count.
+    Nearly all events fall in 'Unknown'. ``events`` already has one row per repository and day,
+    so what would be a distinct count over events is a plain count here.
     """
-    per_repo = count_per_day(fact, "repo_sk", "events")
     return (
-        per_repo.join(repo_language(dim_repo, seed), "repo_sk")
+        events.join(repo_language(dim_repo, seed), "repo_sk")
         .groupBy("date_key", "language")
         .agg(F.sum("events").alias("event_count"), F.count("*").alias("active_repos"))
     )
@@ -98,8 +96,34 @@ def momentum_delta(counts: DataFrame) -> DataFrame:
     )
 
 
-def language_momentum(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
-    counts = language_day_counts(fact, dim_repo, seed)
+def rank_languages(events: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
+    counts = count_languages(events, dim_repo, seed)
     return language_rank(momentum_delta(counts)).select(
         "date_key", "language", "event_count", "active_repos", "momentum_delta", "daily_rank"
     )
+
+
+# From the fact to marts
+
+
+def trending_repos_daily(fact: DataFrame, dim_repo: DataFrame) -> DataFrame:
+    return rank_trending(stars_per_repo_day(fact), dim_repo)
+
+
+def contributor_leaderboard(
+    fact: DataFrame, dim_actor: DataFrame, allowlist: Sequence[str] = CONTRIBUTION_TYPES
+) -> DataFrame:
+    return rank_contributors(contributions_per_actor_day(fact, allowlist), dim_actor)
+
+
+def language_day_counts(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
+    return count_languages(count_per_day(fact, "repo_sk", "events"), dim_repo, seed)
+
+
+def language_momentum(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
+    return rank_languages(count_per_day(fact, "repo_sk", "events"), dim_repo, seed)
+
+
+def enrich_language(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
+    """Fact rows with their repository's language; drops and multiplies none."""
+    return join_lookup(fact, repo_language(dim_repo, seed), "repo_sk")

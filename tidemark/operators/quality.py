@@ -170,11 +170,14 @@ class SuiteBounds:
 _METRICS = ["hour_rows", "ids", "distinct_ids", "types", "times", "actors", "repos"]
 
 
-def hour_metrics(raw: DataFrame, silver: DataFrame, bad: DataFrame) -> DataFrame:
+def hour_metrics(
+    raw: DataFrame, silver: DataFrame, bad: DataFrame, late: DataFrame | None = None
+) -> DataFrame:
     """Counts per hour: one scan of each input, no join.
 
     Raw and quarantined rows are counted under the hour file they came from, silver rows under
-    the hour of their timestamp.
+    the hour of their timestamp. ``late`` rows came in one file and lie in another hour; they
+    are counted under both, so that each hour's balance can be drawn for its own file.
     """
     by_source = [
         F.col("source_date").alias("partition_date"),
@@ -198,6 +201,12 @@ def hour_metrics(raw: DataFrame, silver: DataFrame, bad: DataFrame) -> DataFrame
         ),
     ]
     names = ["raw_rows", "quarantine_rows", *_METRICS]
+    if late is not None:
+        names += ["late_sent", "late_received"]
+        parts += [
+            late.groupBy(*by_source).agg(F.count("*").alias("late_sent")),
+            late.groupBy(*by_event).agg(F.count("*").alias("late_received")),
+        ]
     return (
         stack(parts)
         .groupBy("partition_date", "partition_hour")
@@ -213,6 +222,7 @@ def suite_verdict(
     bounds: SuiteBounds = SuiteBounds(),
     quarantine_scope: str = "hour",
     expected_columns: Sequence[str] = SILVER_COLUMNS,
+    late: DataFrame | None = None,
 ) -> DataFrame:
     """Run summary of every hour found in the inputs.
 
@@ -221,7 +231,7 @@ def suite_verdict(
     """
     if quarantine_scope not in ("hour", "table"):
         raise ValueError("quarantine_scope must be 'hour' or 'table'")
-    counts = hour_metrics(raw, silver, bad)
+    counts = hour_metrics(raw, silver, bad, late)
     if quarantine_scope == "table":
         everything = bad.agg(F.count("*")).scalar()
         counts = counts.withColumn("quarantine_rows", everything)
@@ -236,7 +246,10 @@ def suite_verdict(
         & _rate_ok(F.col("repos"), F.col("hour_rows"), bounds.mostly)
         & F.col("hour_rows").between(bounds.min_rows, bounds.max_rows)
     )
-    rest = compute_residual(F.col("raw_rows"), F.col("hour_rows"), F.col("quarantine_rows"))
+    kept = F.col("hour_rows")
+    if late is not None:
+        kept = kept + F.col("late_sent") - F.col("late_received")
+    rest = compute_residual(F.col("raw_rows"), kept, F.col("quarantine_rows"))
     checked = counts.withColumn("residual_rows", rest).select(
         "raw_rows",
         "hour_rows",

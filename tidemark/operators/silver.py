@@ -60,6 +60,8 @@ def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(parsed rows, unparsable lines), for bronze read with ``keep_corrupt=True``.
 
     Without this split an unparsable line is a row of NULLs, and all of those share one key.
+    Spark wants another column beside the text in any query on it, so write or collect rows
+    rather than only counting them.
     """
     bad = raw.where(F.col(CORRUPT_RECORD).isNotNull())
     return raw.where(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD), bad

@@ -325,13 +325,13 @@ QUERIES["default_unknown"] = QUERIES.pop("default_unknown_language")
 @query
 def join_fact_dim_repo(spark, sf_dir):
     star = Star(spark, sf_dir)
-    return marts.named_stars(star.fact, star.repo)
+    return marts.name_stars(marts.stars_per_repo_day(star.fact), star.repo)
 
 
 @query
 def join_fact_dim_actor(spark, sf_dir):
     star = Star(spark, sf_dir)
-    return marts.named_contributions(star.fact, star.actor)
+    return marts.name_contributions(marts.contributions_per_actor_day(star.fact), star.actor)
 
 
 @query

@@ -43,8 +43,8 @@ def write_fact(
     incoming: DataFrame,
     full_refresh: bool = False,
     events_may_move: bool = True,
-) -> None:
-    """Upsert ``incoming`` on event_id, rewriting only the days it touches.
+) -> list[date]:
+    """Upsert ``incoming`` on event_id, rewriting only the days it touches; returns those days.
 
     ``events_may_move`` also looks for incoming ids on other days of the target, which reads two
     columns of all of it. Turn that off where an event's timestamp never changes. The
@@ -59,7 +59,7 @@ def write_fact(
         raise ValueError(f"incoming rows repeat event_id {repeated[0]['event_id']}")
     if full_refresh:
         replace_table(incoming, path, ["event_date"], ["event_type"])
-        return
+        return [r.event_date for r in incoming.select("event_date").distinct().collect()]
 
     days = incoming.select("event_date").distinct()
     if events_may_move:
@@ -75,3 +75,4 @@ def write_fact(
         left = {r.event_date for r in merged.select("event_date").distinct().collect()}
         gone = [Row(event_date=d.isoformat()) for d in touched if d not in left]
         clear_partitions(spark, path, FACT, gone)
+    return touched
