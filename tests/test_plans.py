@@ -1,0 +1,79 @@
+"""What the physical plans must and must not hold."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tidemark.operators import fact
+from tidemark.operators.silver import stg_events
+from tidemark.plans import fixture
+from tidemark.session import scratch_path, scratch_root
+from tidemark.sources import fact as fact_io
+from tidemark.sources import silver as silver_io
+
+QUERIES = entry.queries()
+# These write tables first and are covered by the frames they are made of.
+WRITERS = {
+    "bronze_land",
+    "silver_partition_overwrite",
+    "silver_load_hour",
+    "run_metadata_append",
+    "run_metadata_scan",
+    "fact_cluster_layout",
+}
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS))
+def test_no_cross_join_and_no_python(spark, small, name):
+    text = plan(QUERIES[name](spark, small))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert bad not in text
+
+
+def test_marts_read_only_the_columns_they_need(spark, small):
+    text = plan(QUERIES["trending_repos_daily"](spark, small))
+    scans = [s.split(">")[0] for s in text.split("ReadSchema: struct<")[1:]]
+    assert scans
+    for scan in scans:
+        read = {field.split(":")[0] for field in scan.split(",")}
+        assert read <= {"ts", "event_type", "props"}
+
+
+def test_daily_rank_uses_no_window_over_entities(spark, small):
+    df = QUERIES["trending_repos_daily"](spark, small)
+    windows = [line for line in plan(df).splitlines() if " Window " in line]
+    assert windows and all("sum(tied" in line for line in windows)
+
+
+def test_page_prunes_to_its_day(spark, small):
+    text = plan(QUERIES["serve_trending_page"](spark, small))
+    assert "TakeOrderedAndProject" in text
+    assert "PartitionFilters: [isnotnull(date_key" in text
+    assert "LessThanOrEqual(daily_rank" in text
+
+
+def test_hour_slice_and_incremental_slice_prune_partitions(spark, small):
+    root = scratch_path(spark, "silver")
+    silver = fixture.silver_events(spark, small)
+    silver_io.write_silver(silver, root)
+    text = plan(silver_io.read_silver_hour(spark, root, "2024-01-05", 3))
+    assert "event_date" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+    path = scratch_path(spark, "fact")
+    fact_io.write_fact(spark, path, fact.fact_events(stg_events(silver)), full_refresh=True)
+    loaded = fact_io.read_fact(spark, path)
+    sliced = fact.incremental_slice(silver_io.read_silver(spark, root), loaded)
+    assert "event_date" in plan(sliced).split("PartitionFilters: [")[1].split("]")[0]
+    # the watermark reads timestamps of one day only
+    assert "PartitionFilters: [isnotnull(event_date" in plan(fact.watermark(loaded))
+    # written in event_type order, so that row groups can be skipped
+    watch = loaded.where("event_type = 'WatchEvent'")
+    assert "EqualTo(event_type,WatchEvent)" in plan(watch)
+
+
+def test_scratch_lies_in_the_checkpoint_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_root(spark).startswith(base)

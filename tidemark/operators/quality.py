@@ -56,6 +56,31 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return keys.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
+def orphan_keys(child: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
+    """All foreign keys of a table at once: (fk, value, n) of those with no parent.
+
+    ``parents`` maps each key column to the frame that must hold it under the same name. The
+    child is scanned once for all of them, and again only its distinct keys are joined.
+    """
+    pairs = [
+        F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("value")) for fk in parents
+    ]
+    keys = (
+        child.select(F.explode(F.array(*pairs)).alias("pair"))
+        .select("pair.*")
+        .where("value IS NOT NULL")
+        .groupBy("fk", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    known = stack(
+        [
+            parent.select(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("value"))
+            for fk, parent in parents.items()
+        ]
+    )
+    return keys.join(known, ["fk", "value"], "left_anti")
+
+
 def freshness(
     df: DataFrame,
     column: str,

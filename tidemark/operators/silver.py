@@ -59,12 +59,12 @@ def split_quarantine(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(parsed rows, unparsable lines), for bronze read with ``keep_corrupt=True``.
 
-    Without this split an unparsable line is a row of NULLs, and all of those share one key.
-    Spark wants another column beside the text in any query on it, so write or collect rows
-    rather than only counting them.
+    Without this split an unparsable line is a row of NULLs, and all of those share one key. A
+    line with only a field of the wrong type counts as parsed, with NULL in that field.
     """
-    bad = raw.where(F.col(CORRUPT_RECORD).isNotNull())
-    return raw.where(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD), bad
+    nothing_parsed = F.coalesce("id", "type", "created_at").isNull()
+    corrupt = F.col(CORRUPT_RECORD).isNotNull() & nothing_parsed
+    return raw.where(~corrupt).drop(CORRUPT_RECORD), raw.where(corrupt)
 
 
 def row_kind(events: DataFrame) -> DataFrame:

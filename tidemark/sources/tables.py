@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.session import scratch_path
@@ -82,6 +83,12 @@ def replace_table(
     )
 
 
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """A table partitioned by date_key, with that column back in its declared type."""
+    mart = spark.read.parquet(path)
+    return mart.withColumn("date_key", F.col("date_key").cast("bigint"))
+
+
 def save_as_table(df: DataFrame, name: str, path: str, columns: Sequence[str] = ()) -> None:
     """Replace a catalog table whose files live at ``path``."""
     df.write.mode("overwrite").partitionBy(*columns).option("path", path).saveAsTable(name)
