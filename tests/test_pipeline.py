@@ -9,7 +9,9 @@ from tidemark.operators import dims, fact, marts
 from tidemark.operators.quality import QualityGateError, SuiteBounds
 from tidemark.operators.runs import run_history
 from tidemark.operators.silver import stg_events
+from tidemark.functions.hours import hour_range
 from tidemark.plans import gold, hourly
+from tidemark.plans.model_tests import MODEL_TESTS, ModelTestError, require_passing
 from tidemark.plans.lake import Lake
 from tidemark.sources.bronze import land_bronze
 from tidemark.sources.fact import read_fact
@@ -73,7 +75,7 @@ def test_hours_one_by_one_in_any_order_equal_one_backfill(spark, tmp_path, lake)
     seed.write.option("header", True).csv(other.seed)
     for hour, raw_rows in hours.items():
         _land(spark, other, hour, raw_rows)
-    wanted = hourly.hour_range(datetime(2024, 1, 1, 13), datetime(2024, 1, 1, 16))
+    wanted = hour_range(datetime(2024, 1, 1, 13), datetime(2024, 1, 1, 16))
     hourly.run_hours(spark, other, wanted, kind="backfill", bounds=BOUNDS, full_refresh=True)
     assert _gold(spark, other) == first
 
@@ -125,3 +127,60 @@ def test_missing_hour_is_recorded_without_counts(spark, lake):
         hourly.run_hours(spark, lake, [(DAY, 3)], bounds=BOUNDS)
     (run,) = run_history(read_runs(spark, lake.runs)).collect()
     assert run.raw_rows is None and run.verdict is None
+
+
+def test_a_red_hour_does_not_hold_up_the_others(spark, lake):
+    _land(spark, lake, 13, _hour_rows(13))
+    late = raw_row("late", "2024-01-01T14:00:00Z")
+    _land(spark, lake, 14, [*_hour_rows(14), raw_row("bad", "no time")])
+    _land(spark, lake, 15, [*_hour_rows(15), late])
+    with pytest.raises(QualityGateError, match="14h"):
+        hourly.run_hours(spark, lake, [(DAY, 13), (DAY, 14), (DAY, 16)], bounds=BOUNDS)
+    loaded = read_silver(spark, lake.silver_events)
+    assert rows(loaded.select("event_hour").distinct()) == [(13,)]
+    # a late row for the stopped hour does not carry it past the gate
+    hourly.run_hours(spark, lake, [(DAY, 15)], bounds=BOUNDS)
+    loaded = read_silver(spark, lake.silver_events)
+    assert rows(loaded.select("event_hour").distinct()) == [(13,), (15,)]
+    history = run_history(read_runs(spark, lake.runs), limit=100).collect()
+    verdicts = {r.run_id[22:24]: r.verdict for r in history}
+    assert verdicts == {"13": True, "14": False, "15": True, "16": None}
+
+
+def test_model_tests_are_all_declared_and_can_fail(spark):
+    count = sum(
+        len(t.not_null) + len(t.unique) + bool(t.unique_combination) + len(t.accepted_values)
+        + len(t.accepted_range) + len(t.relationships)
+        for t in MODEL_TESTS.values()
+    )
+    assert count == 59
+    types = spark.createDataFrame([("PushEvent",), ("OddEvent",), (None,)], "event_type string")
+    with pytest.raises(ModelTestError, match="not_null.*accepted_values"):
+        require_passing({"dim_event_type": types})
+    require_passing({"dim_event_type": types.where("event_type = 'PushEvent'")})
+    twice = spark.createDataFrame([(1, "Go"), (1, "C")], "repo_id bigint, language string")
+    with pytest.raises(ModelTestError, match=r"unique\(repo_id\): 1"):
+        require_passing({"repo_languages": twice})
+
+
+def test_stream_runs_each_landed_hour_once(spark, lake, tmp_path):
+    from tidemark.streaming.hours import run_landed_hours
+
+    def drain():
+        query = run_landed_hours(spark, lake, str(tmp_path / "stream"), BOUNDS, files_per_batch=2)
+        query.awaitTermination(240)
+        assert query.exception() is None
+
+    _land(spark, lake, 13, _hour_rows(13))
+    _land(spark, lake, 14, [*_hour_rows(14), raw_row("bad", "no time")])
+    drain()
+    _land(spark, lake, 15, _hour_rows(15))
+    drain()
+    drain()
+    history = run_history(read_runs(spark, lake.runs), limit=100).collect()
+    assert sorted((r.run_id[22:24], r.verdict) for r in history) == [
+        ("13", True),
+        ("14", False),
+        ("15", True),
+    ]
+    assert read_fact(spark, lake.gold("fact_events")).count() == 24

@@ -58,8 +58,8 @@ LINES = (
 
 def test_bronze_keeps_corrupt_lines_visible(spark, tmp_path):
     root = _bronze(tmp_path, LINES)
-    assert bronze_io.read_bronze_lines(spark, root, "2024-01-01", 5).count() == 5
-    raw = bronze_io.read_bronze(spark, root, "2024-01-01", 5)
+    assert bronze_io.read_bronze_lines(spark, root, [(DAY, 5)]).count() == 5
+    raw = bronze_io.read_bronze(spark, root, [(DAY, 5)])
     assert "payload" not in raw.columns
     assert raw.where("id IS NULL").count() == 2
     by_id = {r.id: r for r in raw.where("id IS NOT NULL").collect()}

@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from tidemark.functions.keys import date_key
+from tidemark.functions.hours import Hour
 from tidemark.operators import dims, fact, marts, quality
 from tidemark.operators.silver import stg_events
 from tidemark.plans.lake import Lake
-from tidemark.schemas import SILVER_REQUIRED
+from tidemark.plans.model_tests import require_passing
 from tidemark.sources.fact import read_fact, read_fact_days, write_fact
 from tidemark.sources.seed import read_seed
-from tidemark.sources.silver import Hour, read_silver, read_silver_hours
+from tidemark.sources.silver import read_silver, read_silver_hours
 from tidemark.sources.tables import (
     read_mart,
     read_table,
@@ -43,18 +43,8 @@ REPO_DAYS = _fields(
 ACTOR_DAYS = _fields(actor_sk=StringType(), contributions=LongType(), date_key=LongType())
 
 
-class ModelTestError(Exception):
-    """A model broke one of its tests; what depends on it must not be built."""
-
-
-def require_no_failures(name: str, failures: DataFrame) -> None:
-    found = failures.take(1)
-    if found:
-        raise ModelTestError(f"{name}: {found[0].asDict()}")
-
-
-def _require_keys(name: str, df: DataFrame, columns: Sequence[str]) -> None:
-    require_no_failures(f"{name} not null", quality.not_null(df, columns).where("failures > 0"))
+DIMENSIONS = ["dim_event_type", "dim_repo", "dim_actor", "dim_date"]
+MARTS = ["trending_repos_daily", "language_momentum", "contributor_leaderboard"]
 
 
 def refresh_gold(
@@ -68,15 +58,19 @@ def refresh_gold(
     Without ``hours`` everything from an hour before the fact's watermark is taken. A full
     refresh rebuilds all of it, which is also what removes rows that left the source.
     """
-    silver = read_silver(spark, lake.silver_events)
-    if full_refresh:
-        changed = silver
-    elif hours is not None:
+    if hours is not None and not full_refresh:
         changed = read_silver_hours(spark, lake.silver_events, hours)
     else:
-        changed = fact.incremental_slice(silver, read_fact(spark, lake.gold("fact_events")))
+        changed = read_silver(spark, lake.silver_events)
+        if not full_refresh:
+            loaded = read_fact(spark, lake.gold("fact_events"))
+            changed = fact.incremental_slice(changed, loaded)
     stg = stg_events(changed)
-    _require_keys("stg_events", stg, SILVER_REQUIRED)
+
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(lake.gold(name))
+
+    require_passing({"stg_events": stg})
 
     # created_at of an event never changes, so its day does not either
     days = write_fact(
@@ -88,9 +82,13 @@ def refresh_gold(
     )
     _refresh_dims(spark, lake, stg, full_refresh)
     touched = read_fact_days(spark, lake.gold("fact_events"), days)
-    _test_fact(spark, lake, touched)
+    seed = read_seed(spark, lake.seed)
+    built = {name: table(name) for name in DIMENSIONS}
+    # days of the fact that were not touched have passed before
+    require_passing({**built, "fact_events": touched, "repo_languages": seed}, table)
     _refresh_counts(lake, touched, full_refresh)
-    _refresh_marts(spark, lake)
+    _refresh_marts(spark, lake, seed)
+    require_passing({name: read_mart(spark, lake.gold(name)) for name in MARTS}, table)
 
 
 def _refresh_dims(spark: SparkSession, lake: Lake, stg: DataFrame, full_refresh: bool) -> None:
@@ -117,27 +115,15 @@ def _refresh_dims(spark: SparkSession, lake: Lake, stg: DataFrame, full_refresh:
     replace_table(dims.dim_date_for(events), lake.gold("dim_date"))
 
 
-def _test_fact(spark: SparkSession, lake: Lake, touched: DataFrame) -> None:
-    _require_keys("fact_events", touched, ["event_id", "repo_sk", "actor_sk", "date_key", "event_type"])
-    parents = {
-        "repo_sk": spark.read.parquet(lake.gold("dim_repo")),
-        "actor_sk": spark.read.parquet(lake.gold("dim_actor")),
-        "date_key": spark.read.parquet(lake.gold("dim_date")),
-        "event_type": spark.read.parquet(lake.gold("dim_event_type")),
-    }
-    require_no_failures("fact_events relationships", quality.orphan_keys(touched, parents))
-
-
 def _refresh_counts(lake: Lake, touched: DataFrame, full_refresh: bool) -> None:
     write = replace_table if full_refresh else replace_partitions
     write(marts.repo_days(touched), lake.gold("repo_days"), ["date_key"])
     write(marts.contributions_per_actor_day(touched), lake.gold("actor_days"), ["date_key"])
 
 
-def _refresh_marts(spark: SparkSession, lake: Lake) -> None:
+def _refresh_marts(spark: SparkSession, lake: Lake, seed: DataFrame) -> None:
     repo = spark.read.parquet(lake.gold("dim_repo"))
     actor = spark.read.parquet(lake.gold("dim_actor"))
-    seed = read_seed(spark, lake.seed)
     repo_days = read_table(spark, lake.gold("repo_days"), REPO_DAYS)
     actor_days = read_table(spark, lake.gold("actor_days"), ACTOR_DAYS)
     stars = repo_days.where(F.col("stars") > 0)
@@ -153,8 +139,5 @@ def reconcile(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.mart_reconciliation(
         read_fact(spark, lake.gold("fact_events")),
         spark.read.parquet(lake.gold("dim_repo")),
-        *[
-            read_mart(spark, lake.gold(t))
-            for t in ("trending_repos_daily", "language_momentum", "contributor_leaderboard")
-        ],
+        *[read_mart(spark, lake.gold(name)) for name in MARTS],
     )

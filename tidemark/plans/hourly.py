@@ -1,14 +1,15 @@
-"""The chain for one or more landed hours: silver, gate, load, gold, run record."""
+"""The chain for landed hours: silver, gate, load, gold, run record."""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.hours import Hour, as_hour, days_of, in_hours
 from tidemark.operators import quality, runs
 from tidemark.operators.silver import transform_events
 from tidemark.plans.gold import refresh_gold
@@ -17,32 +18,21 @@ from tidemark.schemas import SILVER_WITH_SOURCE, SOURCE_COLUMNS
 from tidemark.sources.bronze import read_bronze, read_bronze_lines
 from tidemark.sources.runs import append_runs, append_summaries, read_summaries
 from tidemark.sources.silver import (
-    Hour,
-    as_hour,
-    in_hours,
     load_hours,
+    loaded_hours,
     read_silver_hours,
     write_silver_hours,
 )
 from tidemark.sources.tables import read_table, stage
 
 
-def hour_range(first: datetime, end: datetime) -> list[Hour]:
-    """Every hour from ``first`` up to, not including, ``end``."""
-    count = int((end - first) / timedelta(hours=1))
-    starts = (first + timedelta(hours=i) for i in range(count))
-    return [as_hour(start.date(), start.hour) for start in starts]
-
-
-def _landed(reader: Callable, spark: SparkSession, lake: Lake, hours: Sequence[Hour]) -> DataFrame:
-    if len(hours) == 1:
-        return reader(spark, lake.bronze, *hours[0])
-    return reader(spark, lake.bronze).where(in_hours(hours, SOURCE_COLUMNS))
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
 
 
 def to_silver(spark: SparkSession, lake: Lake, hours: Sequence[Hour]) -> list[Hour]:
     """Returns the event hours rewritten: the given ones, and others their late rows belong to."""
-    raw = _landed(read_bronze, spark, lake, hours)
+    raw = read_bronze(spark, lake.bronze, hours)
     return write_silver_hours(transform_events(raw), lake.silver, hours)
 
 
@@ -54,29 +44,55 @@ def verdict(
     bounds: quality.SuiteBounds = quality.SuiteBounds(),
 ) -> DataFrame:
     """Run summary of the given hours."""
-    days = {day for day, _ in hours}
-    bad = read_table(spark, lake.silver.quarantine, SILVER_WITH_SOURCE, "source_date", days)
-    late = read_table(spark, lake.silver.late, SILVER_WITH_SOURCE)
+    bad = read_table(
+        spark, lake.silver.quarantine, SILVER_WITH_SOURCE, "source_date", days_of(hours)
+    )
     rows = quality.suite_verdict(
-        _landed(read_bronze_lines, spark, lake, hours),
+        read_bronze_lines(spark, lake.bronze, hours),
         read_silver_hours(spark, lake.silver.events, hours),
         bad.where(in_hours(hours, SOURCE_COLUMNS)),
         recorded_at,
         bounds,
-        late=late,
+        late=read_table(spark, lake.silver.late, SILVER_WITH_SOURCE),
     )
     return rows.where(in_hours(hours, ["partition_date", "partition_hour"]))
 
 
-def validate(spark, lake, hours, bounds: quality.SuiteBounds) -> None:
-    """Record the summaries, then stop the run if an hour is red."""
+def validate(
+    spark: SparkSession, lake: Lake, hours: Sequence[Hour], bounds: quality.SuiteBounds
+) -> set[Hour]:
+    """Record the summaries and return the hours that passed."""
     rows = stage(verdict(spark, lake, hours, _now(), bounds), "verdict")
     append_summaries(rows, lake.summaries)
-    quality.gate(rows)
+    passed = rows.where("pipeline_check").select("partition_date", "partition_hour").collect()
+    return {as_hour(r.partition_date, r.partition_hour) for r in passed}
 
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc)
+class _TaskLog:
+    """What became of each step, for each hour."""
+
+    def __init__(self, hours: Sequence[Hour], steps: Sequence[str]):
+        self.steps = steps
+        self.tasks: dict[Hour, list[tuple[str, str, float | None]]] = {h: [] for h in hours}
+
+    def run(self, step: str, hours: Sequence[Hour], work: Callable[[], object]):
+        begun, state = time.monotonic(), "failed"
+        try:
+            result = work()
+            state = "success"
+            return result
+        finally:
+            for hour in hours:
+                self.tasks[hour].append((step, state, time.monotonic() - begun))
+
+    def fail(self, hour: Hour) -> None:
+        step, _, duration = self.tasks[hour].pop()
+        self.tasks[hour].append((step, "failed", duration))
+
+    def rows(self, hour: Hour) -> list[tuple[str, str, float | None]]:
+        ran = self.tasks[hour]
+        missing = self.steps[len(ran) :]
+        return [*ran, *[(step, "upstream_failed", None) for step in missing]]
 
 
 def run_hours(
@@ -87,60 +103,57 @@ def run_hours(
     bounds: quality.SuiteBounds = quality.SuiteBounds(),
     full_refresh: bool = False,
 ) -> None:
-    """Take landed hours to gold. A failing step stops the ones after it; the run is recorded
-    either way."""
+    """Take landed hours to gold in one go.
+
+    An hour that fails the gate stops there while the others go on, as separate runs of them
+    would; the error is raised at the end. Every hour's run is recorded, whatever happens.
+    """
     started = _now()
-    tasks: list[tuple[str, str, float | None]] = []
-    rewritten: list[Hour] = list(hours)
-
-    def silver() -> None:
-        rewritten[:] = to_silver(spark, lake, hours)
-
-    def load() -> None:
-        loaded = read_silver_hours(spark, lake.silver.events, rewritten)
-        load_hours(loaded, lake.silver_events, rewritten)
-
-    steps: list[tuple[str, Callable[[], object]]] = [
-        ("silver_transform", silver),
-        ("validate_silver", lambda: validate(spark, lake, hours, bounds)),
-        ("load_silver", load),
-        ("build_gold", lambda: refresh_gold(spark, lake, rewritten, full_refresh)),
-    ]
+    log = _TaskLog(hours, ["silver_transform", "validate_silver", "load_silver", "build_gold"])
     try:
-        for name, step in steps:
-            begun = time.monotonic()
-            try:
-                step()
-            except Exception:
-                tasks.append((name, "failed", time.monotonic() - begun))
-                raise
-            tasks.append((name, "success", time.monotonic() - begun))
+        rewritten = log.run("silver_transform", hours, lambda: to_silver(spark, lake, hours))
+        green = log.run("validate_silver", hours, lambda: validate(spark, lake, hours, bounds))
+        red = [hour for hour in hours if hour not in green]
+        for hour in red:
+            log.fail(hour)
+        passed = [hour for hour in hours if hour in green]
+        if passed:
+            # late rows also changed hours of earlier runs; those not loaded yet stay out
+            others = [hour for hour in rewritten if hour not in hours]
+            changed = [*passed, *sorted(loaded_hours(spark, lake.silver_events, others))]
+            loaded = read_silver_hours(spark, lake.silver.events, changed)
+            log.run(
+                "load_silver", passed, lambda: load_hours(loaded, lake.silver_events, changed)
+            )
+            log.run(
+                "build_gold", passed, lambda: refresh_gold(spark, lake, changed, full_refresh)
+            )
+        if red:
+            names = ", ".join(f"{day} {hour:02d}h" for day, hour in red)
+            raise quality.QualityGateError(f"quality gate failed for: {names}")
     finally:
-        done = {name for name, _, _ in tasks}
-        tasks += [(name, "upstream_failed", None) for name, _ in steps if name not in done]
-        record_runs(spark, lake, hours, kind, started, tasks)
+        record_runs(spark, lake, kind, started, {hour: log.rows(hour) for hour in hours})
 
 
 def record_runs(
     spark: SparkSession,
     lake: Lake,
-    hours: Sequence[Hour],
     kind: str,
     started: datetime,
-    tasks: Sequence[tuple[str, str, float | None]],
+    tasks: dict[Hour, list[tuple[str, str, float | None]]],
 ) -> None:
     """One metadata row per hour of this run."""
     recorded = _now()
-    starts = [
-        datetime(day.year, day.month, day.day, hour, tzinfo=timezone.utc) for day, hour in hours
-    ]
-    ids = [f"{kind}__{start.isoformat()}" for start in starts]
+    ids = {
+        (day, hour): datetime(day.year, day.month, day.day, hour, tzinfo=timezone.utc)
+        for day, hour in tasks
+    }
     run_frame = spark.createDataFrame(
-        [(i, started, start, recorded) for i, start in zip(ids, starts)],
+        [(f"{kind}__{at.isoformat()}", started, at, recorded) for at in ids.values()],
         "run_id string, run_start timestamp, logical_date timestamp, recorded_at timestamp",
     )
     task_frame = spark.createDataFrame(
-        [(i, *task) for i in ids for task in tasks],
+        [(f"{kind}__{ids[h].isoformat()}", *task) for h, rows in tasks.items() for task in rows],
         "run_id string, task_id string, state string, duration double",
     )
     recent = read_summaries(spark, lake.summaries).where(F.col("timestamp") > F.lit(started))

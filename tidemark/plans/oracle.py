@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.plans.model_tests import MODEL_TESTS
+
 # Shared views. Duplicates are exact copies, so DISTINCT is the whole de-duplication.
 _VIEWS = """
 WITH env AS (
@@ -252,6 +254,62 @@ def _repeats() -> str:
     )
 
 
+_DIM_DATE = (
+    "SELECT cast(strftime(d, '%Y%m%d') AS bigint) AS date_key, d AS full_date, "
+    "year(d) AS year, quarter(d) AS quarter, month(d) AS month, day(d) AS day, "
+    "dayofweek(d) + 1 AS day_of_week, strftime(d, '%A') AS day_name, "
+    "dayofweek(d) IN (0, 6) AS is_weekend FROM (SELECT cast(unnest(generate_series("
+    "date_trunc('year', min(event_date)), "
+    "date_trunc('year', max(event_date)) + INTERVAL 1 YEAR - INTERVAL 1 DAY, "
+    "INTERVAL 1 DAY)) AS date) AS d FROM stg)"
+)
+
+
+def _model_tests() -> str:
+    """Every declared test as a failure count."""
+    tables = {
+        "stg_events": "stg",
+        "repo_languages": "seed",
+        "dim_event_type": "(SELECT DISTINCT event_type FROM stg)",
+        "dim_repo": "dim_repo",
+        "dim_actor": "dim_actor",
+        "dim_date": f"({_DIM_DATE})",
+        "fact_events": "fact",
+        "trending_repos_daily": "trending",
+        "language_momentum": "momentum",
+        "contributor_leaderboard": "leaderboard",
+    }
+    counts = []
+
+    def add(model: str, test: str, column: str, rows: str) -> None:
+        counts.append(
+            f"SELECT '{model}' AS model, '{test}' AS test, '{column}' AS column_name, "
+            f"count(*) AS failures FROM ({rows})"
+        )
+
+    for model, tests in MODEL_TESTS.items():
+        table = tables[model]
+        for c in tests.not_null:
+            add(model, "not_null", c, f"SELECT 1 FROM {table} WHERE {c} IS NULL")
+        for c in tests.unique:
+            rows = f"SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c}"
+            add(model, "unique", c, f"{rows} HAVING count(*) > 1")
+        if tests.unique_combination:
+            keys = ",".join(tests.unique_combination)
+            rows = f"SELECT {keys} FROM {table} GROUP BY {keys} HAVING count(*) > 1"
+            add(model, "unique_combination", keys, rows)
+        for c in tests.accepted_values:
+            add(model, "accepted_values", c, f"SELECT 1 FROM {table} WHERE {c} NOT IN ({_DOMAIN})")
+        for c, (low, high) in tests.accepted_range.items():
+            rows = f"SELECT 1 FROM {table} WHERE {c} NOT BETWEEN {low} AND {high}"
+            add(model, "accepted_range", c, rows)
+        for fk, parent in tests.relationships.items():
+            known = f"SELECT {fk} FROM {tables[parent]}"
+            rows = f"SELECT DISTINCT {fk} FROM {table} WHERE {fk} NOT IN ({known})"
+            add(model, "relationships", fk, rows)
+    return " UNION ALL ".join(counts)
+
+
 _SELECTS = {
     "bronze_json_scan": "SELECT * FROM flat",
     "bronze_line_count": _HOURLY_LINES,
@@ -330,15 +388,7 @@ _SELECTS = {
     ),
     "dim_repo": "SELECT * FROM dim_repo",
     "dim_actor": "SELECT * FROM dim_actor",
-    "dim_date": (
-        "SELECT cast(strftime(d, '%Y%m%d') AS bigint) AS date_key, d AS full_date, "
-        "year(d) AS year, quarter(d) AS quarter, month(d) AS month, day(d) AS day, "
-        "dayofweek(d) + 1 AS day_of_week, strftime(d, '%A') AS day_name, "
-        "dayofweek(d) IN (0, 6) AS is_weekend FROM (SELECT cast(unnest(generate_series("
-        "date_trunc('year', min(event_date)), "
-        "date_trunc('year', max(event_date)) + INTERVAL 1 YEAR - INTERVAL 1 DAY, "
-        "INTERVAL 1 DAY)) AS date) AS d FROM stg)"
-    ),
+    "dim_date": _DIM_DATE,
     "fact_events": "SELECT * FROM fact",
     "trending_repos_daily": "SELECT * FROM trending",
     "contributor_leaderboard": "SELECT * FROM leaderboard",
@@ -394,6 +444,7 @@ _SELECTS = {
         ]
     ),
     "dq_unique_combination": _repeats(),
+    "dq_model_tests": _model_tests(),
     "dq_source_freshness": (
         "SELECT m AS max_loaded_at, s AS age_seconds, CASE WHEN s <= 43200 THEN 'pass' "
         "WHEN s <= 86400 THEN 'warn' ELSE 'error' END AS status FROM (SELECT max(created_at) AS m, "

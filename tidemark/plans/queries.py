@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.hours import as_hour
 from tidemark.functions.keys import (
     bronze_partition_path,
     date_key,
@@ -19,6 +20,7 @@ from tidemark.functions.keys import (
 )
 from tidemark.operators import dims, fact, marts, pages, quality, runs, silver
 from tidemark.plans import fixture
+from tidemark.plans.model_tests import results_of
 from tidemark.schemas import CONTRIBUTION_TYPES, EVENT_TYPES, SILVER_COLUMNS, SILVER_REQUIRED
 from tidemark.session import scratch_path, use_utc
 from tidemark.sources import bronze as bronze_io
@@ -200,9 +202,9 @@ def silver_partition_overwrite(spark, sf_dir):
         for r in raw.select("source_date", "source_hour").distinct().collect()
     ]
     silver_io.write_silver_hours(silver.transform_events(raw), paths, hours)
-    again = silver_io.as_hour(DAY, HOUR)
-    raw = bronze_io.read_bronze(spark, fixture.landed_bronze(spark, sf_dir), *again)
-    silver_io.write_silver_hours(silver.transform_events(raw), paths, [again])
+    again = [as_hour(DAY, HOUR)]
+    raw = bronze_io.read_bronze(spark, fixture.landed_bronze(spark, sf_dir), again)
+    silver_io.write_silver_hours(silver.transform_events(raw), paths, again)
     return silver_io.read_silver(spark, paths.events)
 
 
@@ -642,6 +644,25 @@ def dq_unique_combination(spark, sf_dir):
     )
 
 
+@query
+def dq_model_tests(spark, sf_dir):
+    """Every test declared on the seed, the staging view, the star schema and the marts."""
+    star = Star(spark, sf_dir)
+    models = {
+        "stg_events": star.stg,
+        "repo_languages": star.seed,
+        "dim_event_type": dims.dim_event_type(star.stg),
+        "dim_repo": star.repo,
+        "dim_actor": star.actor,
+        "dim_date": dims.dim_date_for(star.stg),
+        "fact_events": star.fact,
+        "trending_repos_daily": star.trending(),
+        "language_momentum": star.momentum(),
+        "contributor_leaderboard": star.leaderboard(),
+    }
+    return quality.stack([results_of(n, df, models.__getitem__) for n, df in models.items()])
+
+
 @query
 def dq_source_freshness(spark, sf_dir):
     return quality.freshness(fixture.staging(spark, sf_dir), "created_at", AS_OF)

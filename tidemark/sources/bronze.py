@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidemark.functions.hours import Hour, days_of, in_hours
 from tidemark.functions.keys import check_hour, parse_day
 from tidemark.schemas import CORRUPT_RECORD, ENVELOPE, SOURCE_COLUMNS
 from tidemark.sources.tables import list_partitions
@@ -18,17 +20,24 @@ def bronze_partition(day: str | date, hour: int) -> str:
     return f"date={parse_day(day).isoformat()}/hour={check_hour(hour):02d}"
 
 
-def _load(reader: DataFrameReader, kind: str, root: str, day, hour) -> DataFrame:
-    """Lines of one hour, one day or all of bronze, tagged with the hour file they are in."""
-    if hour is not None and day is None:
-        raise ValueError("an hour needs a day")
+def _load(
+    reader: DataFrameReader, kind: str, root: str, hours: Sequence[Hour] | None
+) -> DataFrame:
+    """Lines of the given hour files, or of all bronze, tagged with the file's hour.
+
+    Only the folders asked for are listed. An hour that never landed is an error if it is the
+    only one, and has no lines otherwise.
+    """
     folder = root
-    if day is not None:
-        folder = f"{root}/date={parse_day(day).isoformat()}"
-    if hour is not None:
-        folder = f"{root}/{bronze_partition(day, hour)}"
+    if hours is not None:
+        days = ",".join(sorted(day.isoformat() for day in days_of(hours)))
+        folder = f"{root}/date={{{days}}}"
+        if len(hours) == 1:
+            folder = f"{root}/{bronze_partition(*hours[0])}"
     lines = reader.option("basePath", root).format(kind).load(folder)
     values = [c for c in lines.columns if c not in ("date", "hour")]
+    if hours is not None:
+        lines = lines.where(in_hours(hours, ["date", "hour"]))
     return lines.select(
         *values,
         F.col("date").cast("date").alias("source_date"),
@@ -39,8 +48,7 @@ def _load(reader: DataFrameReader, kind: str, root: str, day, hour) -> DataFrame
 def read_bronze(
     spark: SparkSession,
     root: str,
-    day: str | date | None = None,
-    hour: int | None = None,
+    hours: Sequence[Hour] | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
     """Events as they were dumped, under a fixed schema.
@@ -52,14 +60,14 @@ def read_bronze(
     if keep_corrupt:
         schema = StructType([*ENVELOPE.fields, StructField(CORRUPT_RECORD, StringType())])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-    return _load(reader, "json", root, day, hour)
+    return _load(reader, "json", root, hours)
 
 
 def read_bronze_lines(
-    spark: SparkSession, root: str, day: str | date | None = None, hour: int | None = None
+    spark: SparkSession, root: str, hours: Sequence[Hour] | None = None
 ) -> DataFrame:
     """Physical lines, blank ones too, not parsed."""
-    return _load(spark.read, "text", root, day, hour)
+    return _load(spark.read, "text", root, hours)
 
 
 def count_lines(lines: DataFrame) -> DataFrame:

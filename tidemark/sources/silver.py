@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.hours import Hour, as_hour, days_of, in_hours
 from tidemark.functions.keys import check_hour, parse_day
 from tidemark.operators.silver import dedupe, row_kind
 from tidemark.schemas import (
@@ -26,9 +27,6 @@ from tidemark.sources.tables import (
     stage,
 )
 
-Hour = tuple[date, int]
-
-
 @dataclass(frozen=True)
 class SilverPaths:
     """Valid rows by event hour; unparsable and late rows by the hour file they came from."""
@@ -38,28 +36,11 @@ class SilverPaths:
     late: str
 
 
-def as_hour(day: str | date, hour: int) -> Hour:
-    return parse_day(day), check_hour(hour)
-
-
 def silver_partition(day: str | date, hour: int) -> str:
     """Partition folder of an hour; silver does not pad the hour."""
     return f"event_date={parse_day(day).isoformat()}/event_hour={check_hour(hour)}"
 
 
-def in_hours(hours: Iterable[Hour], columns: Sequence[str] = HOUR_COLUMNS) -> Column:
-    """Predicate on the partition columns, one term per day."""
-    per_day: dict[date, list[int]] = {}
-    for day, hour in hours:
-        per_day.setdefault(day, []).append(hour)
-    condition = F.lit(False)
-    for day, of_day in sorted(per_day.items()):
-        condition = condition | (
-            (F.col(columns[0]) == F.lit(day)) & F.col(columns[1]).isin(sorted(of_day))
-        )
-    return condition
-
-
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, SILVER)
 
@@ -69,8 +50,8 @@ def read_silver_hour(spark: SparkSession, root: str, day: str | date, hour: int)
 
 
 def read_silver_hours(spark: SparkSession, root: str, hours: Sequence[Hour]) -> DataFrame:
-    days = {day for day, _ in hours}
-    return read_table(spark, root, SILVER, "event_date", days).where(in_hours(hours))
+    table = read_table(spark, root, SILVER, "event_date", days_of(hours))
+    return table.where(in_hours(hours, HOUR_COLUMNS))
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
@@ -107,7 +88,8 @@ def write_silver_hours(
     targets = rows["late"].select(*HOUR_COLUMNS).distinct().collect()
     sent = {(r.event_date, r.event_hour) for r in targets}
     others = sorted(sent - set(hours))
-    late = read_table(spark, paths.late, SILVER_WITH_SOURCE).where(in_hours([*hours, *others]))
+    late = read_table(spark, paths.late, SILVER_WITH_SOURCE)
+    late = late.where(in_hours([*hours, *others], HOUR_COLUMNS))
     if late.isEmpty():
         content = rows["own"].select(*SILVER.fieldNames())
     else:
@@ -128,7 +110,7 @@ def _replace_by_source(rows: DataFrame, path: str, hours: Sequence[Hour]) -> Non
 def _clear_stale(spark, path, schema, columns, hours, written: DataFrame) -> None:
     """Empty the partitions of ``hours`` that an earlier run filled and this one did not."""
     wanted = {(day.isoformat(), str(hour)) for day, hour in hours}
-    listed = list_partitions(spark, path, columns, {day for day, _ in hours})
+    listed = list_partitions(spark, path, columns, days_of(hours))
     found = {r for r in listed if tuple(r) in wanted}
     if found:
         texts = [F.col(c).cast("string").alias(c) for c in columns]
@@ -136,6 +118,14 @@ def _clear_stale(spark, path, schema, columns, hours, written: DataFrame) -> Non
         clear_partitions(spark, path, schema, found - now)
 
 
+def loaded_hours(spark: SparkSession, table: str, hours: Sequence[Hour]) -> set[Hour]:
+    """Which of the given hours the warehouse table has."""
+    if not hours:
+        return set()
+    found = list_partitions(spark, table, HOUR_COLUMNS, days_of(hours))
+    return {as_hour(r.event_date, int(r.event_hour)) for r in found} & set(hours)
+
+
 def _require(column: str) -> Column:
     fail = F.raise_error(F.lit(f"required column {column} is NULL"))
     return F.coalesce(F.col(column), fail).alias(column)
@@ -147,7 +137,7 @@ def load_hours(silver: DataFrame, table: str, hours: Sequence[Hour]) -> None:
     A NULL in a required column, or a row of another hour, fails the write job itself; the
     table is then left as it was.
     """
-    in_scope = in_hours(hours, ["event_date", "event_hour"])
+    in_scope = in_hours(hours, HOUR_COLUMNS)
     outside = F.raise_error(F.lit("row outside the hours being loaded"))
     columns = [
         _require(f.name) if f.name in SILVER_REQUIRED else F.col(f.name) for f in SILVER.fields
