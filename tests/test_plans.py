@@ -77,3 +77,49 @@ def test_hour_slice_and_incremental_slice_prune_partitions(spark, small):
 def test_scratch_lies_in_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_root(spark).startswith(base)
+
+
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, small, monkeypatch):
+    from tidemark import session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    events = spark.read.parquet(f"{small}/events.parquet")
+    try:
+        session.fit_shuffles(events)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1000)
+        session.fit_shuffles(events)
+        grown = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert int(before) < grown <= session.MAX_PARTITIONS
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_day_of_the_fact_prunes_its_partition(spark, small):
+    from tidemark.operators.pages import on_day
+
+    path = scratch_path(spark, "fact")
+    events = fact.fact_events(stg_events(fixture.silver_events(spark, small)))
+    fact_io.write_fact(spark, path, events, full_refresh=True)
+    text = plan(on_day(fact_io.read_fact(spark, path), "2024-01-09"))
+    assert "event_date" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_saved_table_can_be_queried_and_replaced(spark, tmp_path):
+    from tidemark.sources.tables import save_as_table
+
+    df = spark.createDataFrame([(20240101, 5), (20240102, 6)], "date_key bigint, stars bigint")
+    save_as_table(df, "trending_saved", str(tmp_path / "t"), ["date_key"])
+    save_as_table(df.where("stars = 6"), "trending_saved", str(tmp_path / "t"), ["date_key"])
+    assert spark.sql("SELECT stars FROM trending_saved").collect() == [(6,)]
+    spark.sql("DROP TABLE trending_saved")
+
+
+def test_moments_without_a_zone_are_utc():
+    from datetime import datetime, timedelta, timezone
+
+    from tidemark.session import as_utc
+
+    utc = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
+    assert as_utc(datetime(2024, 1, 1, 12)) == utc
+    assert as_utc(utc.astimezone(timezone(timedelta(hours=9)))).hour == 12

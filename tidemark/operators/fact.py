@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import date_key, surrogate_key
+from tidemark.session import as_utc
+
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def fact_events(stg: DataFrame) -> DataFrame:
@@ -35,10 +38,12 @@ def watermark(fact: DataFrame) -> DataFrame:
 def between(events: DataFrame, since: datetime | None, until: datetime | None) -> DataFrame:
     """Rows with since <= created_at < until. The same range on event_date prunes partitions."""
     if since is not None:
+        since = as_utc(since)
         events = events.where(
             (F.col("event_date") >= F.lit(since.date())) & (F.col("created_at") >= F.lit(since))
         )
     if until is not None:
+        until = as_utc(until)
         events = events.where(
             (F.col("event_date") <= F.lit(until.date())) & (F.col("created_at") < F.lit(until))
         )
@@ -60,8 +65,8 @@ def incremental_slice(
     ``events`` is the silver table or a projection of it that keeps event_date and created_at.
     """
     if since is None and until is None:
-        mark = watermark(fact).first()["watermark"]
-        since = None if mark is None else mark - lookback
+        mark = watermark(fact).select(F.unix_micros("watermark")).first()[0]
+        since = None if mark is None else _EPOCH + timedelta(microseconds=mark) - lookback
     return between(events, since, until)
 
 

@@ -8,13 +8,17 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import day_to_date_key
+from tidemark.functions.keys import day_to_date_key, parse_day
 
 MAX_LIMIT = 100
 
 
-def on_day(mart: DataFrame, day: str | date) -> DataFrame:
-    return mart.where(F.col("date_key") == F.lit(day_to_date_key(day)))
+def on_day(table: DataFrame, day: str | date) -> DataFrame:
+    """Rows of one day. A table partitioned by event_date gets that predicate too, to prune."""
+    rows = table.where(F.col("date_key") == F.lit(day_to_date_key(day)))
+    if "event_date" in table.columns:
+        rows = rows.where(F.col("event_date") == F.lit(parse_day(day)))
+    return rows
 
 
 def page(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import CONTRIBUTION_TYPES, SILVER_COLUMNS, STAR_TYPE
+from tidemark.session import as_utc
 
 
 class QualityGateError(Exception):
@@ -90,7 +91,7 @@ def freshness(
 ) -> DataFrame:
     """Age of the newest row at ``as_of`` and its status; an empty table is an error."""
     newest = df.agg(F.max(column).alias("max_loaded_at"))
-    age = F.unix_timestamp(F.lit(as_of)) - F.unix_timestamp("max_loaded_at")
+    age = F.unix_timestamp(F.lit(as_utc(as_of))) - F.unix_timestamp("max_loaded_at")
     status = (
         F.when(age <= int(warn.total_seconds()), "pass")
         .when(age <= int(error.total_seconds()), "warn")
@@ -294,7 +295,7 @@ def suite_verdict(
         & F.col("quarantine_check")
     )
     return checked.withColumn("pipeline_check", passed).withColumn(
-        "timestamp", F.lit(recorded_at)
+        "timestamp", F.lit(as_utc(recorded_at))
     )
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.silver import stg_events
+from tidemark.session import fit_shuffles, scratch_path, use_utc, written_once
 from tidemark.sources.bronze import land_bronze
 from tidemark.sources.seed import read_seed
-from tidemark.session import scratch_path, use_utc
 
 RENAME_DAY = "2024-01-16"
 
@@ -39,7 +39,7 @@ def _case(column: Column, mapping: dict, otherwise: Column | None = None) -> Col
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean silver rows. The table's event ids are unique already."""
     use_utc(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = fit_shuffles(spark.read.parquet(f"{sf_dir}/events.parquet"))
     ts = F.col("ts").cast("timestamp")
     repo = F.get_json_object("props", "$.k").try_cast("bigint")
     renamed = ts >= F.lit(RENAME_DAY).cast("timestamp")
@@ -104,17 +104,10 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.to_json(F.struct(*fields)).alias("value"), "source_date", "source_hour")
 
 
-_landed: dict[tuple[str, str], str] = {}
-
-
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
-    """Root of the dirty events as gzipped hour files, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        root = scratch_path(spark, "bronze")
-        land_bronze(raw_lines(spark, sf_dir), root)
-        _landed[key] = root
-    return _landed[key]
+    """Root of the dirty events as gzipped hour files."""
+    lines = raw_lines(spark, sf_dir)
+    return written_once(spark, "bronze", sf_dir, lambda root: land_bronze(lines, root))
 
 
 def seed_file(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from tidemark.operators import dims, fact, marts, quality
 from tidemark.operators.silver import stg_events
 from tidemark.plans.lake import Lake
 from tidemark.plans.model_tests import require_passing
+from tidemark.session import fit_shuffles
 from tidemark.sources.fact import read_fact, read_fact_days, write_fact
 from tidemark.sources.seed import read_seed
 from tidemark.sources.silver import read_silver, read_silver_hours
@@ -61,7 +62,7 @@ def refresh_gold(
     if hours is not None and not full_refresh:
         changed = read_silver_hours(spark, lake.silver_events, hours)
     else:
-        changed = read_silver(spark, lake.silver_events)
+        changed = fit_shuffles(read_silver(spark, lake.silver_events))
         if not full_refresh:
             loaded = read_fact(spark, lake.gold("fact_events"))
             changed = fact.incremental_slice(changed, loaded)

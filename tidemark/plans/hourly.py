@@ -15,6 +15,7 @@ from tidemark.operators.silver import transform_events
 from tidemark.plans.gold import refresh_gold
 from tidemark.plans.lake import Lake
 from tidemark.schemas import SILVER_WITH_SOURCE, SOURCE_COLUMNS
+from tidemark.session import fit_shuffles, use_utc
 from tidemark.sources.bronze import read_bronze, read_bronze_lines
 from tidemark.sources.runs import append_runs, append_summaries, read_summaries
 from tidemark.sources.silver import (
@@ -26,13 +27,17 @@ from tidemark.sources.silver import (
 from tidemark.sources.tables import read_table, stage
 
 
+# An hour of about 1 GB of JSON is some 83 MB of gzip.
+GZIP_EXPANSION = 12
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
 def to_silver(spark: SparkSession, lake: Lake, hours: Sequence[Hour]) -> list[Hour]:
     """Returns the event hours rewritten: the given ones, and others their late rows belong to."""
-    raw = read_bronze(spark, lake.bronze, hours)
+    raw = fit_shuffles(read_bronze(spark, lake.bronze, hours), expansion=GZIP_EXPANSION)
     return write_silver_hours(transform_events(raw), lake.silver, hours)
 
 
@@ -108,6 +113,7 @@ def run_hours(
     An hour that fails the gate stops there while the others go on, as separate runs of them
     would; the error is raised at the end. Every hour's run is recorded, whatever happens.
     """
+    use_utc(spark)
     started = _now()
     log = _TaskLog(hours, ["silver_transform", "validate_silver", "load_silver", "build_gold"])
     try:

@@ -22,7 +22,7 @@ from tidemark.operators import dims, fact, marts, pages, quality, runs, silver
 from tidemark.plans import fixture
 from tidemark.plans.model_tests import results_of
 from tidemark.schemas import CONTRIBUTION_TYPES, EVENT_TYPES, SILVER_COLUMNS, SILVER_REQUIRED
-from tidemark.session import scratch_path, use_utc
+from tidemark.session import scratch_path, use_utc, written_once
 from tidemark.sources import bronze as bronze_io
 from tidemark.sources import fact as fact_io
 from tidemark.sources import runs as runs_io
@@ -43,7 +43,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore only keeps modules apart."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -87,31 +88,23 @@ def _verdict(spark, sf_dir, scope: str = "hour") -> DataFrame:
     return quality.suite_verdict(raw, valid, bad, RECORDED_AT, BOUNDS, scope)
 
 
-_written: dict[tuple[str, str], str] = {}
-
-
 def _written_silver(spark, sf_dir) -> str:
-    """All hour files as one silver table, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        root = scratch_path(spark, "silver")
-        raw = bronze_io.read_bronze(spark, fixture.landed_bronze(spark, sf_dir))
-        silver_io.write_silver(silver.transform_events(raw), root)
-        _written[key] = root
-    return _written[key]
-
-
-_marts: dict[tuple[str, str, str], str] = {}
+    """All hour files as one silver table."""
+    raw = bronze_io.read_bronze(spark, fixture.landed_bronze(spark, sf_dir))
+    events = silver.transform_events(raw)
+    return written_once(spark, "silver", sf_dir, lambda root: silver_io.write_silver(events, root))
 
 
 def _mart_table(spark, sf_dir, name: str) -> DataFrame:
-    """A mart as a stored table, written once per application: computed once, served often."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _marts:
-        path = scratch_path(spark, name)
-        tables.replace_table(getattr(Star(spark, sf_dir), name)(), path, ["date_key"], ["daily_rank"])
-        _marts[key] = path
-    return tables.read_mart(spark, _marts[key])
+    """A mart as a stored table: computed once, served often."""
+    mart = getattr(Star(spark, sf_dir), name)()
+    path = written_once(
+        spark,
+        name,
+        sf_dir,
+        lambda path: tables.replace_table(mart, path, ["date_key"], ["daily_rank"]),
+    )
+    return tables.read_mart(spark, path)
 
 
 # Scans and sources
@@ -164,7 +157,7 @@ def stg_events(spark, sf_dir):
 
 
 @query
-def silver_partition_path_of_hours(spark, sf_dir):
+def silver_partition_path_(spark, sf_dir):
     hours = fixture.staging(spark, sf_dir).groupBy("event_date", "event_hour")
     day, hour = F.col("event_date"), F.col("event_hour")
     return hours.agg(F.count("*").alias("n")).select(
@@ -175,9 +168,6 @@ def silver_partition_path_of_hours(spark, sf_dir):
     )
 
 
-QUERIES["silver_partition_path"] = QUERIES.pop("silver_partition_path_of_hours")
-
-
 # Sinks
 
 
@@ -212,7 +202,8 @@ def silver_partition_overwrite(spark, sf_dir):
 def silver_load_hour(spark, sf_dir):
     table = scratch_path(spark, "silver_events")
     valid, _ = silver.split_quarantine(_dirty_silver(spark, sf_dir))
-    hours = [(r.event_date, r.event_hour) for r in valid.select("event_date", "event_hour").distinct().collect()]
+    distinct = valid.select("event_date", "event_hour").distinct()
+    hours = [(r.event_date, r.event_hour) for r in distinct.collect()]
     silver_io.load_hours(valid, table, hours)
     return silver_io.read_silver(spark, table)
 
@@ -322,16 +313,13 @@ def filter_date_key(spark, sf_dir):
 
 
 @query
-def default_unknown_language(spark, sf_dir):
+def default_unknown_(spark, sf_dir):
     star = Star(spark, sf_dir)
     return star.repo.join(star.seed, "repo_id", "left").select(
         "repo_id", default_unknown("language").alias("language")
     )
 
 
-QUERIES["default_unknown"] = QUERIES.pop("default_unknown_language")
-
-
 # Joins
 
 
@@ -497,7 +485,7 @@ def serve_leaderboard_page(spark, sf_dir):
 
 
 @query
-def surrogate_keys(spark, sf_dir):
+def surrogate_key_(spark, sf_dir):
     stg = fixture.staging(spark, sf_dir)
     missing = F.when(F.col("event_type") != "ForkEvent", F.col("repo_id"))
     return stg.select(
@@ -508,9 +496,6 @@ def surrogate_keys(spark, sf_dir):
     )
 
 
-QUERIES["surrogate_key"] = QUERIES.pop("surrogate_keys")
-
-
 @query
 def smart_date_key(spark, sf_dir):
     stg = fixture.staging(spark, sf_dir)
@@ -518,14 +503,11 @@ def smart_date_key(spark, sf_dir):
 
 
 @query
-def day_to_date_key_filter(spark, sf_dir):
+def day_to_date_key_(spark, sf_dir):
     stars = marts.stars_per_repo_day(Star(spark, sf_dir).fact)
     return stars.where(F.col("date_key") >= day_to_date_key(date(2024, 1, 17)))
 
 
-QUERIES["day_to_date_key"] = QUERIES.pop("day_to_date_key_filter")
-
-
 def _summaries(spark, sf_dir) -> DataFrame:
     return fixture.summary_times(_verdict(spark, sf_dir))
 

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
+from collections.abc import Callable
+from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# File bytes one shuffle partition is meant to hold, and the most partitions asked for.
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MAX_PARTITIONS = 40_000
 
 _scratch_roots: dict[str, str] = {}
+_written: dict[tuple[str, ...], str] = {}
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,6 +42,28 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def as_utc(moment: datetime) -> datetime:
+    """The moment with its zone; one without a zone is taken as UTC, not as the driver's time."""
+    if moment.tzinfo is None:
+        return moment.replace(tzinfo=timezone.utc)
+    return moment.astimezone(timezone.utc)
+
+
+def fit_shuffles(source: DataFrame, expansion: int = 1) -> DataFrame:
+    """Raise the session's shuffle partitions to suit the files behind ``source``.
+
+    Never lowers them; adaptive execution merges what turns out small. ``expansion`` is how
+    much larger the rows are than the files, as with gzipped text.
+    """
+    spark = source.sparkSession
+    statistics = source._jdf.queryExecution().optimizedPlan().stats()
+    size = int(statistics.sizeInBytes()) * expansion
+    needed = min(math.ceil(size / BYTES_PER_PARTITION), MAX_PARTITIONS)
+    if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return source
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder of this application under the cluster's ``spark.checkpoint.dir``.
 
@@ -60,3 +90,15 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet, for one staged table."""
     return f"{scratch_root(spark)}/{name}-{uuid4().hex}"
+
+
+def written_once(
+    spark: SparkSession, name: str, source: str, write: Callable[[str], object]
+) -> str:
+    """Path of a staged table that is written at its first use in this application."""
+    key = (spark.sparkContext.applicationId, name, source)
+    if key not in _written:
+        path = scratch_path(spark, name)
+        write(path)
+        _written[key] = path
+    return _written[key]
