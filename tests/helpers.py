@@ -2,13 +2,16 @@
 
 from datetime import datetime
 
+from pyspark.sql.types import StructType
+
 from tidemark.operators.silver import partition_columns
-from tidemark.schemas import ENVELOPE, SILVER_COLUMNS
-from tidemark.schemas import SILVER as _SILVER
+from tidemark.schemas import ENVELOPE, SILVER, SILVER_COLUMNS
 
-RAW = "id string, type string, public boolean, created_at string, " \
-    "actor struct<id bigint, login string>, repo struct<id bigint, name string>, " \
+RAW = (
+    "id string, type string, public boolean, created_at string, "
+    "actor struct<id bigint, login string>, repo struct<id bigint, name string>, "
     "source_date date, source_hour int"
+)
 
 
 def raw_row(event_id, created_at, kind="PushEvent", actor=(1, "ann"), repo=(7, "a/b")):
@@ -29,5 +32,5 @@ def event(event_id, created_at, kind="PushEvent", actor=(1, "ann"), repo=(7, "a/
 
 
 def silver_frame(spark, rows):
-    schema = [f for f in _SILVER.fields if f.name in SILVER_COLUMNS]
-    return partition_columns(spark.createDataFrame(rows, type(_SILVER)(schema)))
+    schema = StructType([f for f in SILVER.fields if f.name in SILVER_COLUMNS])
+    return partition_columns(spark.createDataFrame(rows, schema))

@@ -26,7 +26,7 @@ def _summary(spark, written=datetime(2026, 7, 11, 4, 5), day="2024-01-01", hour=
 
 def _tasks(spark):
     return spark.createDataFrame(
-        [(RUN_ID, "ingest", "success", 12.5), (RUN_ID, "dbt_build", "failed", None)],
+        [(RUN_ID, "ingest", "success", 12.5), (RUN_ID, "build_gold", "failed", None)],
         "run_id string, task_id string, state string, duration double",
     )
 
@@ -38,7 +38,7 @@ def test_row_matches_the_schema_and_keeps_null_durations(spark):
     counts = (row.raw_rows, row.hour_rows, row.quarantine_rows, row.residual_rows)
     assert counts == (180387, 180386, 0, 1)
     assert [tuple(t) for t in row.tasks] == [
-        ("dbt_build", "failed", None),
+        ("build_gold", "failed", None),
         ("ingest", "success", 12.5),
     ]
     assert row.run_summary_json.pipeline_check is True
@@ -81,7 +81,7 @@ def _meta(spark):
                 180386,
                 0,
                 1,
-                [("ingest", "success", 0.4), ("dbt_build", "success", None)],
+                [("ingest", "success", 0.4), ("build_gold", "success", None)],
                 summary,
             ),
             (
