@@ -159,7 +159,7 @@ def test_daily_rank_equals_the_window(spark, seed):
         (20240101 + d, f"e{i}", min(int(rng.paretovariate(0.7)), 10**9))
         for d in range(3)
         for i in range(400)
-    ]
+    ] + [(None, "e1", 3), (None, "e2", 3), (None, "e3", 1)]
     df = spark.createDataFrame(data, "date_key bigint, entity string, stars bigint")
     window = Window.partitionBy("date_key").orderBy(F.desc("stars"))
     expected = df.withColumn("daily_rank", F.rank().over(window).cast("bigint"))

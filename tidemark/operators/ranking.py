@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows that share a small value are spread over this many join keys.
 TIE_SPREAD = 64
 
 
+def _salts(value: str) -> Column:
+    return F.ceil(F.lit(TIE_SPREAD) / F.greatest(F.col(value), F.lit(1)))
+
+
 def with_daily_rank(rows: DataFrame, value: str, entity: str, day: str = "date_key") -> DataFrame:
     """Add ``daily_rank``, which is ``rank() over (partition by day order by value desc)``.
 
@@ -22,10 +26,14 @@ def with_daily_rank(rows: DataFrame, value: str, entity: str, day: str = "date_k
     """
     totals = rows.groupBy(day, value).agg(F.count("*").alias("tied"))
     ahead = Window.partitionBy(day).orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
-    spread = F.ceil(F.lit(TIE_SPREAD) / F.greatest(F.col(value), F.lit(1)))
     rank = F.coalesce(F.sum("tied").over(ahead), F.lit(0)) + 1
-    ranks = totals.select(day, value, rank.alias("daily_rank")).select(
-        "*", F.explode(F.sequence(F.lit(0), spread - 1)).alias("salt")
+    ranks = totals.select(
+        F.col(day).alias("rank_day"), F.col(value).alias("rank_value"), rank.alias("daily_rank")
+    ).withColumn("rank_salt", F.explode(F.sequence(F.lit(0), _salts("rank_value") - 1)))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(entity), _salts(value)))
+    same_rank = (
+        F.col(day).eqNullSafe(F.col("rank_day"))
+        & (F.col(value) == F.col("rank_value"))
+        & (F.col("salt") == F.col("rank_salt"))
     )
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(entity), spread))
-    return salted.join(ranks, [day, value, "salt"]).select(*rows.columns, "daily_rank")
+    return salted.join(ranks, same_rank).select(*rows.columns, "daily_rank")
