@@ -108,8 +108,9 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Root of the dirty events as gzipped hour files."""
-    lines = raw_lines(spark, sf_dir)
-    return written_once(spark, "bronze", sf_dir, lambda root: land_bronze(lines, root))
+    return written_once(
+        spark, "bronze", sf_dir, lambda root: land_bronze(raw_lines(spark, sf_dir), root)
+    )
 
 
 def seed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +164,5 @@ def summary_times(verdict: DataFrame) -> DataFrame:
     """Stamp each hour's summary one minute into its run; in every third hour, before it."""
     start = F.col("partition_date").cast("timestamp")
     minutes = F.when(F.col("partition_hour") % 3 == 0, 60).otherwise(66)
-    stamp = start + F.make_dt_interval(
-        hours=F.col("partition_hour"), mins=minutes
-    )
+    stamp = start + F.make_dt_interval(hours=F.col("partition_hour"), mins=minutes)
     return verdict.withColumn("timestamp", stamp)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,12 @@ QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     """Register under the function's name; a trailing underscore only keeps modules apart."""
-    QUERIES[fn.__name__.rstrip("_")] = fn
+
+    @wraps(fn)
+    def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(use_utc(spark), sf_dir)
+
+    QUERIES[fn.__name__.rstrip("_")] = in_utc
     return fn
 
 
@@ -90,21 +96,22 @@ def _verdict(spark, sf_dir, scope: str = "hour") -> DataFrame:
 
 def _written_silver(spark, sf_dir) -> str:
     """All hour files as one silver table."""
-    raw = bronze_io.read_bronze(spark, fixture.landed_bronze(spark, sf_dir))
-    events = silver.transform_events(raw)
-    return written_once(spark, "silver", sf_dir, lambda root: silver_io.write_silver(events, root))
+
+    def write(root: str) -> None:
+        raw = bronze_io.read_bronze(spark, fixture.landed_bronze(spark, sf_dir))
+        silver_io.write_silver(silver.transform_events(raw), root)
+
+    return written_once(spark, "silver", sf_dir, write)
 
 
 def _mart_table(spark, sf_dir, name: str) -> DataFrame:
     """A mart as a stored table: computed once, served often."""
-    mart = getattr(Star(spark, sf_dir), name)()
-    path = written_once(
-        spark,
-        name,
-        sf_dir,
-        lambda path: tables.replace_table(mart, path, ["date_key"], ["daily_rank"]),
-    )
-    return tables.read_mart(spark, path)
+
+    def write(path: str) -> None:
+        mart = getattr(Star(spark, sf_dir), name)()
+        tables.replace_table(mart, path, ["date_key"], ["daily_rank"])
+
+    return tables.read_mart(spark, written_once(spark, name, sf_dir, write))
 
 
 # Scans and sources
@@ -578,7 +585,6 @@ def dq_unique(spark, sf_dir):
 @query
 def dq_accepted_values(spark, sf_dir):
     """The table's own activity names are outside the event-type domain, all of them."""
-    use_utc(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     renamed = fixture.staging(spark, sf_dir).select("event_type")
     both = events.select("event_type").unionByName(renamed)
