@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from tidemark.plans.oracle import ORACLE_SQL as SQL
+from tidemark.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,7 @@ def _sorted(names, rows, columns):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
