@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.session import scratch_path
 
@@ -78,22 +78,25 @@ def map_rows(
     that are not in ``keep`` and returns those of ``schema``. The columns in ``keep`` pass unchanged.
     A batch becomes Python objects a few rows at a time, so that memory holds few texts at once.
     """
-    spark = df.sparkSession
-    made = spark.createDataFrame([], schema).schema
-    kept = [df.schema[c] for c in keep]
-    inputs = [c for c in df.columns if c not in keep]
+    made = df.sparkSession.createDataFrame([], schema).schema
     arrow = to_arrow_schema(made)
+    # numbered names inside: a caller's names may hold dots or be equal to new ones
+    inputs = [i for i, c in enumerate(df.columns) if c not in keep]
+    kept = [df.columns.index(c) for c in keep]
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    names = [f"c{i}" for i in kept] + [f"m{i}" for i in range(len(made))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_row = start()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                rows = zip(*[part.column(c).to_pylist() for c in inputs])
+                rows = zip(*[part.column(i).to_pylist() for i in inputs])
                 columns = list(zip(*[of_row(*row) for row in rows]))
                 arrays = [pa.array(v, t) for v, t in zip(columns, arrow.types)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in keep] + arrays, list(keep) + arrow.names
-                )
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in kept] + arrays, names)
 
-    return map_batches(df, run, StructType(kept + made.fields))
+    fields = [StructField(f"c{i}", df.schema[i].dataType) for i in kept]
+    fields += [StructField(f"m{i}", f.dataType) for i, f in enumerate(made)]
+    mapped = map_batches(numbered, run, StructType(fields))
+    return mapped.toDF(*[df.columns[i] for i in kept], *made.names)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simhash
+from tidemark.llm import bpe, fingerprint, quality_rules, simhash
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(fn):
     return fn
 
 
+@query
+def op7_quality_rules(spark, sf_dir):
+    return quality_rules.verdicts(documents(spark, sf_dir))
+
+
 @query
 def op8_bpe(spark, sf_dir):
     coded = bpe.encode_decode(documents(spark, sf_dir), WORD_BPE)
@@ -34,3 +39,8 @@ def op8_bpe(spark, sf_dir):
 @query
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return fingerprint.with_next(documents(spark, sf_dir))
