@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprint, quality_rules, simhash
+from tidemark.llm import bpe, fingerprint, line_dedup, quality_rules, simhash
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(fn):
     return fn
 
 
+@query
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.deduplicated(documents(spark, sf_dir))
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(documents(spark, sf_dir))

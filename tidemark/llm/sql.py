@@ -1,3 +1,51 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op3_line_dedup"] = r"""
+WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+each_line AS (SELECT doc_id, unnest(lines) AS raw, generate_subscripts(lines, 1) AS pos FROM docs),
+masked AS (
+  SELECT doc_id, pos, regexp_replace(
+    trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line
+  FROM each_line),
+lines AS (
+  SELECT doc_id, pos, line, len(string_split(line, ' ')) AS n,
+         list_slice(string_split(line, ' '), 1, 3) AS lead_tokens
+  FROM masked WHERE line <> ''),
+candidates AS (
+  SELECT * FROM lines JOIN (
+    SELECT n, lead_tokens FROM lines GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3) USING (n, lead_tokens)),
+different AS (SELECT n, lead_tokens, line, count(*) AS many FROM candidates GROUP BY ALL),
+tokens AS (
+  SELECT n, lead_tokens, line, many, unnest(string_split(line, ' ')) AS token,
+         generate_subscripts(string_split(line, ' '), 1) AS place
+  FROM different),
+constants AS (
+  SELECT n, lead_tokens, place, token FROM tokens GROUP BY ALL HAVING sum(many) >= 3),
+shapes AS (
+  SELECT t.n, t.lead_tokens, t.line,
+         list({'place': t.place, 'token': c.token} ORDER BY t.place) FILTER (c.token IS NOT NULL) AS template,
+         count(*) FILTER (t.place > 3) AS beyond,
+         count(*) FILTER (t.place > 3 AND c.token IS NOT NULL) AS fixed
+  FROM tokens t LEFT JOIN constants c
+    ON t.n = c.n AND t.lead_tokens = c.lead_tokens AND t.place = c.place AND t.token = c.token
+  GROUP BY ALL),
+shaped AS (
+  SELECT c.doc_id, c.pos, s.n, s.lead_tokens, s.template
+  FROM candidates c JOIN shapes s ON c.n = s.n AND c.lead_tokens = s.lead_tokens AND c.line = s.line
+  WHERE s.fixed >= s.beyond * 0.5),
+recurring AS (
+  SELECT n, lead_tokens, template, min(doc_id) AS first_id FROM shaped
+  GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
+gone AS (
+  SELECT s.doc_id, s.pos FROM shaped s JOIN recurring r
+    ON s.n = r.n AND s.lead_tokens = r.lead_tokens AND s.template IS NOT DISTINCT FROM r.template
+  WHERE s.doc_id <> r.first_id),
+kept AS (
+  SELECT e.doc_id, string_agg(e.raw, chr(10) ORDER BY e.pos) AS text
+  FROM each_line e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos GROUP BY e.doc_id)
+SELECT d.doc_id, coalesce(k.text, '') AS text, len(d.lines) AS n_lines,
+       (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_dropped
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
