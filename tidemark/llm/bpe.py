@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -23,14 +24,16 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import map_rows, picked
 
-# Words remembered in a Python worker, and the longest that is remembered.
-CACHED_WORDS = 600_000
+# Pieces remembered in a Python worker (about 250 MB), and the longest that is remembered.
+CACHED_WORDS = 1_000_000
 CACHED_CHARS = 64
+# Signs that end a piece of letters whatever the pattern's contractions are.
+SIGNS = frozenset(".,;:!?|)")
 
 # Characters with the Unicode property White_Space; str.split() also takes U+001C to U+001F for white space.
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = regex.compile(rf"[^{WHITE_SPACE}]+")
-_SEPARATORS = regex.compile("[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 # Letters, digits and lower case that Unicode 16 and 17 added, and that the tokenizers
 # library knows while Python's tables (15.1) do not.
@@ -81,17 +84,27 @@ def byte_characters() -> list[str]:
 
 
 class Words(dict):
-    """Token ids of a chunk without white space, worked out when first asked for."""
+    """Token ids of a chunk without white space. Chunks that are one piece are remembered."""
 
     def __init__(self, bpe: Bpe):
         self.bpe = bpe
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        ids = tuple(self.bpe.chunk_ids(chunk))
-        if len(chunk) <= CACHED_CHARS:
+        # most chunks are letters, or letters and one sign after them: these need no pattern
+        if chunk.isalpha():
+            return self.piece(chunk)
+        if (head := chunk[:-1]).isalpha() and chunk[-1] in SIGNS:
+            return self[head] + (self.get(chunk[-1]) or self.piece(chunk[-1]))
+        pattern = self.bpe.ascii_pieces if chunk.isascii() else self.bpe.pieces
+        pieces = pattern.findall(chunk)
+        return tuple(chain.from_iterable(self.get(x) or self.piece(x) for x in pieces))
+
+    def piece(self, piece: str) -> tuple[int, ...]:
+        ids = tuple(self.bpe.piece_ids(piece))
+        if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_WORDS:
                 self.clear()
-            self[chunk] = ids
+            self[piece] = ids
         return ids
 
 
@@ -109,11 +122,15 @@ class Bpe:
         self.inner = [vocab.get(c) for c in characters]
         self.last = [vocab.get(c + suffix) for c in characters]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.merges = {
-            (vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)
-        }
+        self.made = [vocab[a + b] for a, b in pairs]
+        # rank of a pair, by its left and then its right symbol
+        self.ranks: dict[int, dict[int, int]] = {}
+        for rank, (left, right) in enumerate(pairs):
+            self.ranks.setdefault(vocab[left], {})[vocab[right]] = rank
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         pattern = splits[0]["pattern"]["Regex"].replace(r"\s", WHITE_SPACE)
+        ascii_pattern = pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
+        self.ascii_pieces = re.compile(ascii_pattern)
         # the regex module's own classes hold drafts of characters that no Unicode version has yet
         pattern = pattern.replace(r"\p{L}", category_class("L", NEW_LETTERS))
         pattern = pattern.replace(r"\p{N}", category_class("N", NEW_DIGITS))
@@ -134,36 +151,42 @@ class Bpe:
         size = len(symbols)
         after = [*range(1, size), -1]
         before = [*range(-1, size - 1)]
-        merges = self.merges
+        ranks, made, none = self.ranks, self.made, {}
+        # rank and place of the left symbol in one number, which sorts as the two do
         queue = []
         for i in range(size - 1):
-            if found := merges.get((symbols[i], symbols[i + 1])):
-                queue.append((found[0], i, found[1]))
+            rank = ranks.get(symbols[i], none).get(symbols[i + 1])
+            if rank is not None:
+                queue.append(rank << 32 | i)
         heapq.heapify(queue)
         while queue:
-            rank, left, made = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            rank, left = entry >> 32, entry & 0xFFFFFFFF
             right = after[left]
-            # stale: the left symbol is gone, or the pair that stood here is another one by now
+            # stale: the left symbol is gone, or the pair that stands here is another one by now
             if right < 0 or symbols[left] < 0:
                 continue
-            if merges.get((symbols[left], symbols[right])) != (rank, made):
+            if ranks.get(symbols[left], none).get(symbols[right]) != rank:
                 continue
-            symbols[left], symbols[right] = made, -1
+            symbols[left] = new = made[rank]
+            symbols[right] = -1
             beyond = after[left] = after[right]
             if beyond >= 0:
                 before[beyond] = left
-                if found := merges.get((made, symbols[beyond])):
-                    heapq.heappush(queue, (found[0], left, found[1]))
+                rank = ranks.get(new, none).get(symbols[beyond])
+                if rank is not None:
+                    heapq.heappush(queue, rank << 32 | left)
             ahead = before[left]
-            if ahead >= 0 and (found := merges.get((symbols[ahead], made))):
-                heapq.heappush(queue, (found[0], ahead, found[1]))
+            if ahead >= 0:
+                rank = ranks.get(symbols[ahead], none).get(new)
+                if rank is not None:
+                    heapq.heappush(queue, rank << 32 | ahead)
         return [s for s in symbols if s >= 0]
 
-    def chunk_ids(self, chunk: str) -> Iterator[int]:
-        for piece in self.pieces.findall(chunk):
-            data = piece.encode()
-            symbols = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-            yield from self.merged([s for s in symbols if s is not None])
+    def piece_ids(self, piece: str) -> list[int]:
+        data = piece.encode()
+        symbols = [*map(self.inner.__getitem__, data[:-1]), self.last[data[-1]]]
+        return self.merged([s for s in symbols if s is not None])
 
     def plain_ids(self, text: str) -> Iterator[int]:
         """Ids of text without special tokens."""
@@ -171,9 +194,9 @@ class Bpe:
             text = unicodedata.normalize("NFC", text)
         # str.lower() alone would turn a capital sigma at the end of a word into the final form
         text = text.replace("Σ", "σ").lower()
-        if _NEW_CAPITALS.search(text):
+        if not text.isascii() and _NEW_CAPITALS.search(text):
             text = text.translate(NEW_LOWER)
-        chunks = _CHUNK.findall(text) if _SEPARATORS.search(text) else text.split()
+        chunks = _CHUNK.findall(text) if any(map(text.__contains__, _SEPARATORS)) else text.split()
         return chain.from_iterable(map(self.words.__getitem__, chunks))
 
     def encode(self, text: str | None) -> list[int]:
