@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprint, line_dedup, quality_rules, simhash
+from tidemark.llm import bpe, compression, fingerprint, line_dedup, quality_rules, simhash, toxicity
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,11 +20,42 @@ def query(fn):
     return fn
 
 
+def labels(spark, sf_dir) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def _remainder(by: int):
+    return F.crc32(F.col("doc_id").cast("string")) % by
+
+
+def _judged(scored: DataFrame, held_out, least: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    grammar = toxicity.fit(docs, labels(spark, sf_dir), learn=_remainder(3) != 1)
+    return _judged(toxicity.score(docs, grammar), _remainder(3) == 1, 0.7)
+
+
 @query
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.deduplicated(documents(spark, sf_dir))
 
 
+@query
+def op4_quality_classifier(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = compression.fit(docs, labels(spark, sf_dir), learn=_remainder(5) != 0)
+    return _judged(compression.score(docs, model), _remainder(5) == 0, 0.3)
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(documents(spark, sf_dir))
