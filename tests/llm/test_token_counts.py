@@ -1,0 +1,69 @@
+"""Counts against the library's Unigram model over the same vocabulary."""
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer, models, normalizers
+
+from tests.llm.cases import EDGE_ROWS
+from tidemark.llm import token_counts
+from tidemark.llm.token_counts import Counter
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+TIES = [("<unk>", 0.0), ("▁", -2.0), ("a", -2.0), ("b", -2.0), ("ab", -4.0), ("▁a", -4.0), ("ba", -3.0)]
+TIES += [("aba", -6.0), ("bab", -5.0), ("▁ab", -6.0), ("é", -1.0), ("▁▁", -3.0)]
+
+
+def library(pieces, fallback):
+    made = Tokenizer(models.Unigram(list(pieces), 0, fallback))
+    made.normalizer = normalizers.Sequence([normalizers.Replace(" ", "▁"), normalizers.Prepend("▁")])
+    return made
+
+
+@pytest.fixture(scope="module")
+def whole():
+    return library(token_counts.vocabulary(PATH), True)
+
+
+@settings(max_examples=400, deadline=None)
+@given(text=st.text("ab é▁x🙂<unk>", max_size=14))
+def test_ties_and_unknown_runs(text):
+    """A tiny vocabulary in which most paths tie, without byte pieces."""
+    expected = len(library(TIES, False).encode(text, add_special_tokens=False).ids) if text else 0
+    assert Counter(TIES).count(text) == expected
+
+
+@settings(max_examples=200, deadline=None)
+@given(text=st.text(max_size=40) | st.text("the andé \n\t日🙂<unk>0x", max_size=60))
+def test_any_text(text):
+    ours, theirs = Counter.at(PATH), _whole()
+    assert ours.count(text) == (len(theirs.encode(text, add_special_tokens=False).ids) if text else 0)
+
+
+def _whole(made=[]):
+    if not made:
+        made.append(library(token_counts.vocabulary(PATH), True))
+    return made[0]
+
+
+def test_documents(docs, whole):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = token_counts.count_tokens(docs, PATH).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.n_tokens == len(whole.encode(texts[r.doc_id], add_special_tokens=False).ids)
+
+
+def test_edge_rows(edge, nothing, whole):
+    got = token_counts.count_tokens(edge, PATH).collect()
+    expected = [(r[0], len(whole.encode(r[1]).ids) if r[1] else 0) for r in EDGE_ROWS]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
+    assert token_counts.count_tokens(nothing, PATH).count() == 0
+
+
+def test_vocabularies_that_do_not_fit():
+    with pytest.raises(ValueError):
+        Counter([("<unk>", 0.0), ("a▁b", -1.0)])
+    with pytest.raises(ValueError):
+        Counter([("<unk>", 0.0), ("a", -1.5)])

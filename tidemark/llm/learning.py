@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -37,19 +39,22 @@ def sampled(
     size: int,
     doc_id: str = "doc_id",
     text: str = "text",
+    values: Sequence[int] = (0, 1),
 ) -> DataFrame:
     """(doc_id, text, label): at most ``size`` documents of each label, by the smallest hash of doc_id.
 
     ``learn`` is a condition on doc_id. The ids are chosen from the label table alone, so no text is
     shuffled; their broadcast is bounded by ``size``.
     """
-    known = picked(labels, doc_id=doc_id, label=label).where("doc_id IS NOT NULL AND label IN (0, 1)")
+    known = picked(labels, doc_id=doc_id, label=label).where(
+        F.col("doc_id").isNotNull() & F.col("label").isin(list(values))
+    )
     if learn is not None:
         known = known.where(learn)
     clear = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
     clear = clear.where("label = other").select(F.col("doc_id").alias("of"), "label")
     order = [F.xxhash64("of"), "of"]
-    chosen = [clear.where(F.col("label") == v).orderBy(*order).limit(size) for v in (0, 1)]
+    chosen = [clear.where(F.col("label") == v).orderBy(*order).limit(size) for v in values]
     rows = picked(df, doc_id=doc_id, text=text).where("text <> ''")
-    few = rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), F.col("doc_id") == F.col("of"))
+    few = rows.join(F.broadcast(reduce(DataFrame.unionByName, chosen)), F.col("doc_id") == F.col("of"))
     return few.select("doc_id", "text", "label").dropDuplicates(["doc_id"])

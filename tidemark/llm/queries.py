@@ -8,11 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, compression, fingerprint, line_dedup, quality_rules, simhash, toxicity
+from tidemark.llm import (
+    bpe,
+    compression,
+    fingerprint,
+    line_dedup,
+    mixing,
+    quality_rules,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+# Domains of the label table and the share of tokens each is to have; all tokens together are to be a
+# quarter more than there are, so that good text is rather repeated than lost.
+TARGETS = {"good": 0.96, "good toxic": 0.01, "poor": 0.025, "poor toxic": 0.005}
+SCALE = 1.25
 
 
 def query(fn):
@@ -44,6 +60,19 @@ def op1_toxicity(spark, sf_dir):
     return _judged(toxicity.score(docs, grammar), _remainder(3) == 1, 0.7)
 
 
+def domain_labels(spark, sf_dir) -> DataFrame:
+    quality = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    toxic = F.when(F.col("toxic") == 1, " toxic").when(F.col("toxic") == 0, "")
+    return labels(spark, sf_dir).select("doc_id", F.concat(quality, toxic).alias("domain"))
+
+
+@query
+def op2_source_mixing(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = mixing.fit(docs, domain_labels(spark, sf_dir), "domain", list(TARGETS))
+    return mixing.rates(docs, model, TARGETS, SCALE)
+
+
 @query
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.deduplicated(documents(spark, sf_dir))
@@ -56,6 +85,11 @@ def op4_quality_classifier(spark, sf_dir):
     return _judged(compression.score(docs, model), _remainder(5) == 0, 0.3)
 
 
+@query
+def op5_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(documents(spark, sf_dir), PIECES)
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(documents(spark, sf_dir))
