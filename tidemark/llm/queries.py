@@ -12,6 +12,7 @@ from tidemark.llm import (
     bpe,
     compression,
     fingerprint,
+    html_text,
     line_dedup,
     mixing,
     quality_rules,
@@ -90,6 +91,11 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir), PIECES)
 
 
+@query
+def op6_html_extraction(spark, sf_dir):
+    return html_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(documents(spark, sf_dir))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, map_rows, picked, staged
+from tidemark.llm.common import map_batches, map_rows, picked, staged, text_key
 from tidemark.llm.components import smallest_reachable
 
 SHINGLE_WORDS = 4
@@ -78,7 +78,7 @@ def fingerprints(
     text: str = "text",
     shingle_words: int = SHINGLE_WORDS,
 ) -> DataFrame:
-    """(doc_id, bits): the fingerprint as a signed long, one row for each row of ``df``."""
+    """(doc_id, key, bits): a hash of the text, and the fingerprint as a signed long, one row for each row of ``df``."""
 
     def start():
         def of_row(value):
@@ -87,7 +87,8 @@ def fingerprints(
 
         return of_row
 
-    return map_rows(picked(df, doc_id=doc_id, text=text), start, "bits long")
+    rows = picked(df, doc_id=doc_id, text=text).withColumn("key", text_key())
+    return map_rows(rows, start, "bits long", keep=("doc_id", "key"))
 
 
 def part_of(bits: np.ndarray, segment: int) -> np.ndarray:
@@ -255,6 +256,23 @@ def close_groups(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.groupBy("shard", "piece").applyInArrow(linked, "a long, b long").distinct()
 
 
+def components(
+    df: DataFrame, doc_id: str, text: str, shingle_words: int, max_bits: int
+) -> DataFrame:
+    """(doc_id, key, bits, first) for each row: ``first`` is the smallest (none, doc_id, key) it reaches."""
+    marked = staged(fingerprints(df, doc_id, text, shingle_words), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    classes = staged(marked.groupBy("bits").agg(F.min(order).alias("smallest")), "classes")
+    links = close_groups(classes.select("bits"), max_bits)
+    roots = smallest_reachable(links)
+    placed = classes.join(roots, classes.bits == roots.node, "left").select(
+        "bits", "smallest", F.coalesce("root", "bits").alias("root")
+    )
+    smallest = placed.groupBy("root").agg(F.min("smallest").alias("first"))
+    members = placed.join(smallest, "root").select(F.col("bits").alias("class"), "first")
+    return marked.join(members, F.col("bits") == F.col("class")).drop("class")
+
+
 def near_duplicates(
     df: DataFrame,
     doc_id: str = "doc_id",
@@ -264,17 +282,28 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row: documents whose fingerprints are linked, directly
     or through others, share a component, named by its smallest doc_id."""
-    marked = staged(fingerprints(df, doc_id, text, shingle_words), "fingerprints")
-    classes = staged(marked.groupBy("bits").agg(F.min("doc_id").alias("first")), "classes")
-    links = close_groups(classes.select("bits"), max_bits)
-    roots = smallest_reachable(links)
-    placed = classes.join(roots, classes.bits == roots.node, "left").select(
-        "bits", "first", F.coalesce("root", "bits").alias("root")
-    )
-    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    members = placed.join(smallest, "root").select(F.col("bits").alias("class"), "component_id")
-    return marked.join(members, F.col("bits") == F.col("class")).select(
+    return components(df, doc_id, text, shingle_words, max_bits).select(
         "doc_id",
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
-        "component_id",
+        F.col("first.doc_id").alias("component_id"),
     )
+
+
+def one_of_each(
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """The rows of ``df`` that hold the first document of their component, with all their columns.
+
+    First is the smallest doc_id, then the smallest hash of the text. Rows equal in both are one document
+    and all stay.
+    """
+    found = components(df, doc_id, text, shingle_words, max_bits)
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    # only those that go need to be told
+    gone = found.where(~first).select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"))
+    same = df[doc_id].eqNullSafe(F.col("gone_id")) & (F.xxhash64(df[text]) == F.col("gone_key"))
+    return df.join(gone.distinct(), same, "left_anti")
