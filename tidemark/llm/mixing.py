@@ -34,13 +34,15 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tidemark.llm.common import map_batches, map_rows, picked, staged
 from tidemark.llm.learning import sampled
 
-# Sampled texts of each domain, word buckets, and the weight of the pooled frequencies.
+# Sampled texts of each domain, word buckets, bytes of a word's beginning, and how weights are shrunk.
 SAMPLE = 1500
-BUCKETS = 1 << 16
-SHRINK = 5.0
+BUCKETS = 1 << 17
+BEGINNING = 5
+SHRINK = 2.0
+LEAST_DEVIATION = 3.5
 STEPS = 1000
 # The iterations end at this relative miss or this little progress, or after so many.
-CLOSE = 1e-6
+CLOSE = 1e-5
 ROUNDS = 300
 
 
@@ -55,7 +57,7 @@ class Domains:
     def features(self, text: str | None) -> tuple[int, np.ndarray]:
         """(number of words, features)."""
         found = (text or "").lower().encode().split()
-        buckets = np.unique(np.fromiter(map(zlib.crc32, found), np.int64, len(found)) % BUCKETS)
+        buckets = word_buckets(found)
         evidence = self.words[buckets].sum(axis=0, dtype=np.float64)
         spread = evidence / np.sqrt(1 + len(buckets))
         return len(found), np.concatenate(([1.0], evidence / 10, spread))
@@ -88,8 +90,22 @@ def fit_softmax(x: np.ndarray, y: np.ndarray, classes: int, ridge: float = 1e-3)
     return weights
 
 
-def word_buckets(text: str | None) -> list[int]:
-    return sorted({zlib.crc32(w) % BUCKETS for w in (text or "").lower().encode().split()})
+def word_buckets(words: list[bytes]) -> np.ndarray:
+    """Buckets of the different words and of their beginnings."""
+    different = set(words)
+    different |= {b"*" + w[:BEGINNING] for w in different}
+    return np.unique(np.fromiter(map(zlib.crc32, different), np.int64, len(different)) % BUCKETS)
+
+
+def word_weights(seen: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Logarithm of how much more often a domain's texts have a bucket than all texts do.
+
+    Shrunk towards 0, and 0 where the difference is within ``LEAST_DEVIATION`` deviations of chance.
+    """
+    expected = seen.sum(axis=1, keepdims=True) / max(1.0, texts.sum()) * texts
+    weights = np.log((seen + SHRINK) / (expected + SHRINK))
+    weights[np.abs(seen - expected) < LEAST_DEVIATION * np.sqrt(expected + 1)] = 0.0
+    return weights.astype(np.float32)
 
 
 def fit(
@@ -113,7 +129,7 @@ def fit(
     known = staged(known, "sample")
     third = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0
     first = known.where(~third)
-    listed = map_rows(first, lambda: lambda value: (word_buckets(value),), "buckets array<int>", ("doc_id", "label"))
+    listed = map_rows(first, lambda: _buckets_of, "buckets array<int>", ("doc_id", "label"))
     table = listed.select("label", F.explode("buckets").alias("bucket")).groupBy("label", "bucket").count()
     seen = np.zeros((BUCKETS, count))
     for r in table.collect():
@@ -121,9 +137,7 @@ def fit(
     texts = np.zeros(count)
     for r in first.groupBy("label").count().collect():
         texts[r.label] = r["count"]
-    pooled = seen.sum(axis=1) / max(1.0, texts.sum())
-    words = np.log((seen + SHRINK) / (pooled[:, None] * texts + SHRINK)).astype(np.float32)
-    model = Domains(list(names), words, np.zeros((1 + 2 * count, count)))
+    model = Domains(list(names), word_weights(seen, texts), np.zeros((1 + 2 * count, count)))
 
     def start():
         return lambda value: (model.features(value)[1].tolist(),)
@@ -148,6 +162,10 @@ def memberships(df: DataFrame, model: Domains, doc_id: str = "doc_id", text: str
     return map_rows(picked(df, doc_id=doc_id, text=text), start, "n_tokens long, posterior array<double>")
 
 
+def _buckets_of(text: str | None) -> tuple[list[int]]:
+    return (word_buckets((text or "").lower().encode().split()).tolist(),)
+
+
 class Descent:
     """The steps so far: a rate is a function of them and of the posterior."""
 
