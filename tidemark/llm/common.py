@@ -57,7 +57,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back, so that no later job repeats the work."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
