@@ -1,6 +1,6 @@
 import pytest
 
-from tests.llm.cases import DOCUMENTS, EDGE_ROWS
+from llm.cases import DOCUMENTS, EDGE_ROWS
 
 
 @pytest.fixture(scope="session")

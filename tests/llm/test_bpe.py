@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tests.llm.cases import EDGE_ROWS
+from llm.cases import EDGE_ROWS
 from tidemark.llm import bpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

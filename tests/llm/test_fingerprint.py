@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.llm.cases import EDGE_ROWS
+from llm.cases import EDGE_ROWS
 from tidemark.llm import fingerprint
 from tidemark.llm.fingerprint import Fingerprint
 

@@ -1,6 +1,6 @@
 """Templates on hand-made lines; the full result is compared with SQL in test_oracle."""
 
-from tests.llm.cases import DOCUMENTS, EDGE_ROWS, row
+from llm.cases import DOCUMENTS, EDGE_ROWS, row
 from tidemark.llm import line_dedup
 
 BODY = "Document {i} alone says {w} here and nothing else does so at all"

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.cases import DOCUMENTS, row
+from llm.cases import DOCUMENTS, row
 from tidemark.llm import mixing
 
 NAMES = ["red", "blue", "grey"]

@@ -7,8 +7,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tests.llm.cases import DOCUMENTS, row
-from tests.llm.test_simhash import slow_components, slow_fingerprint
+from llm.cases import DOCUMENTS, row
+from llm.test_simhash import slow_components, slow_fingerprint
 from tidemark.llm import simhash
 
 

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tests.llm.cases import EDGE_ROWS, row
+from llm.cases import EDGE_ROWS, row
 from tidemark.llm import quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -87,7 +87,7 @@ def site(spark):
 
 
 def test_shared_lines_go_and_depleted_documents_too(spark, site):
-    from tests.llm.cases import DOCUMENTS
+    from llm.cases import DOCUMENTS
 
     df = spark.createDataFrame(site, DOCUMENTS)
     limits = {"least_limit": 3, "max_share": 0.1}

@@ -7,7 +7,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from tests.llm.cases import EDGE_ROWS
+from llm.cases import EDGE_ROWS
 from tidemark.llm import simhash
 from tidemark.llm.components import smallest_reachable
 
