@@ -15,8 +15,10 @@ from tidemark.plans.model_tests import MODEL_TESTS, ModelTestError, require_pass
 from tidemark.plans.lake import Lake
 from tidemark.sources.bronze import land_bronze
 from tidemark.sources.fact import read_fact
+from tidemark.schemas import MARTS, QUARANTINE
 from tidemark.sources.runs import read_runs
 from tidemark.sources.silver import read_silver
+from tidemark.sources.tables import read_mart, read_table
 
 DAY = date(2024, 1, 1)
 BOUNDS = SuiteBounds(min_rows=1, residual_threshold=0.3)
@@ -64,7 +66,8 @@ TABLES = [
 
 
 def _gold(spark, lake):
-    return {t: rows(spark.read.parquet(lake.gold(t))) for t in TABLES}
+    marts_of = {t: read_mart(spark, lake.gold(t), MARTS[t]) for t in TABLES if t in MARTS}
+    return {t: rows(marts_of.get(t) or spark.read.parquet(lake.gold(t))) for t in TABLES}
 
 
 def test_hours_one_by_one_in_any_order_equal_one_backfill(spark, tmp_path, lake):
@@ -150,6 +153,73 @@ def test_a_red_hour_does_not_hold_up_the_others(spark, lake):
     assert verdicts == {"13": True, "14": False, "15": True, "16": None}
 
 
+def _land_text(spark, lake, hour, good, bad_lines, day=DAY):
+    fields = ["id", "type", "public", "created_at", "actor", "repo"]
+    raw = sourced_frame(spark, good, day, hour)
+    lines = raw.select(F.to_json(F.struct(*fields)).alias("value"), "source_date", "source_hour")
+    bad = spark.createDataFrame([(x, day, hour) for x in bad_lines], lines.schema)
+    land_bronze(lines.unionByName(bad), lake.bronze)
+
+
+def _ran(spark, lake, calls):
+    for hours in calls:
+        try:
+            hourly.run_hours(spark, lake, hours, bounds=BOUNDS)
+        except QualityGateError:
+            pass
+    history = run_history(read_runs(spark, lake.runs), limit=100).collect()
+    verdicts = {r.run_id: (r.verdict, r.hour_rows, r.quarantine_rows, r.residual_rows) for r in history}
+    silver = rows(read_silver(spark, lake.silver.events))
+    quarantine = rows(
+        read_table(spark, lake.silver.quarantine, QUARANTINE), "source_hour", "raw_text"
+    )
+    return verdicts, silver, quarantine
+
+
+def test_corrupt_lines_turn_every_hour_red_however_it_is_run(spark, tmp_path):
+    ran = []
+    for name, calls in {"one": [[(DAY, 1)], [(DAY, 2)]], "all": [[(DAY, 1), (DAY, 2)]]}.items():
+        lake = Lake(str(tmp_path / name))
+        for hour in (1, 2):
+            _land_text(spark, lake, hour, _hour_rows(hour, 8)[:8], ["no json", "none either"])
+        ran.append(_ran(spark, lake, calls))
+    assert ran[0] == ran[1]
+    verdicts, _, quarantine = ran[0]
+    assert all(v[0] is False and v[2] == 2 and v[3] == 0 for v in verdicts.values())
+    assert quarantine == sorted([(h, t) for h in (1, 2) for t in ("no json", "none either")], key=repr)
+
+
+def test_an_event_on_two_days_is_one_row_of_the_fact(spark, tmp_path):
+    next_day = date(2024, 1, 2)
+    twice = {
+        (DAY, 23): raw_row("X", "2024-01-01T23:30:00Z", "PushEvent", (1, "ann"), (7, "a/b")),
+        (next_day, 0): raw_row("X", "2024-01-02T00:10:00Z", "PushEvent", (1, "ann"), (7, "a/b")),
+    }
+    gold_of = []
+    orders = {"on": [[h] for h in twice], "back": [[h] for h in reversed(twice)], "all": [list(twice)]}
+    for name, calls in orders.items():
+        lake = Lake(str(tmp_path / name))
+        seed = spark.createDataFrame([(0, "Go")], "repo_id bigint, language string")
+        seed.coalesce(1).write.option("header", True).csv(lake.seed)
+        for (day, hour), row in twice.items():
+            own = raw_row(f"{day}-{hour}", f"{day}T{hour:02d}:00:00Z")
+            _land_text(spark, lake, hour, [own, row], [], day)
+        verdicts, _, _ = _ran(spark, lake, calls)
+        assert all(v[0] for v in verdicts.values()), name
+        gold_of.append(_gold(spark, lake))
+        events = read_fact(spark, lake.gold("fact_events"))
+        assert rows(events.where("event_id = 'X'"), "event_date") == [(next_day,)], name
+    assert gold_of[0] == gold_of[1] == gold_of[2]
+
+
+def test_an_event_outside_the_calendar_fails(spark, lake):
+    late_year = Lake(lake.root, "2023-01-01", "2024-01-01")
+    _land(spark, lake, 13, _hour_rows(13))
+    with pytest.raises(ModelTestError, match="relationships"):
+        hourly.run_hours(spark, late_year, [(DAY, 13)], bounds=BOUNDS)
+    assert dims.dim_date(spark).count() == 366
+
+
 def test_model_tests_are_all_declared_and_can_fail(spark):
     count = sum(
         len(t.not_null)

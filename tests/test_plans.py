@@ -60,20 +60,64 @@ def test_scratch_lies_in_the_checkpoint_folder(spark):
     assert scratch_root(spark).startswith(base)
 
 
-def test_shuffles_grow_with_the_input_and_never_shrink(spark, small, monkeypatch):
+def test_shuffles_suit_the_input_and_the_session_keeps_its_number(spark, small):
     from tidemark import session
 
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
     events = spark.read.parquet(f"{small}/events.parquet")
-    try:
-        session.fit_shuffles(events)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == before
-        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1000)
-        session.fit_shuffles(events)
-        grown = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert int(before) < grown <= session.MAX_PARTITIONS
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with session.shuffles_for(events):
+        assert spark.conf.get(name) == before
+    size = 100 * 10**12
+    statistics = events._jdf.queryExecution().optimizedPlan().stats()
+    times = size // int(statistics.sizeInBytes())
+    wanted = session.partitions_for(events, times)
+    assert wanted > 300_000 and size / wanted <= session.BYTES_PER_PARTITION
+    with session.shuffles_for(events, times):
+        assert int(spark.conf.get(name)) == wanted
+    assert spark.conf.get(name) == before
+
+
+def test_late_rows_are_read_by_day(spark, tmp_path):
+    from datetime import date
+
+    from tidemark.schemas import SILVER_WITH_SOURCE
+    from tidemark.sources.tables import replace_partitions
+
+    rows = [("1", date(2024, 1, d), d, date(2024, 1, 9), 3) for d in (1, 2, 3)]
+    frame = spark.createDataFrame(rows, "event_id string, event_date date, event_hour int, source_date date, source_hour int")
+    names = SILVER_WITH_SOURCE.fieldNames()
+    full = frame.unionByName(spark.createDataFrame([], SILVER_WITH_SOURCE), allowMissingColumns=True)
+    path = str(tmp_path / "late")
+    replace_partitions(full.select(*names), path, silver_io.LATE_COLUMNS)
+    read = silver_io.read_late(spark, path, received=[(date(2024, 1, 2), 2)])
+    assert "event_date=2024-01-02" in read.inputFiles()[0] and len(read.inputFiles()) == 1
+    assert read.count() == 1
+    sent = silver_io.read_late(spark, path, sent=[(date(2024, 1, 9), 3)])
+    assert sent.count() == 3
+    assert silver_io.read_late(spark, path, sent=[(date(2024, 1, 9), 4)]).count() == 0
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.tables import replace_table
+
+    path = str(tmp_path / "table")
+    replace_table(spark.range(5), path)
+    bad = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        replace_table(bad, path)
+    assert spark.read.parquet(path).count() == 5
+    # a table may be computed from itself
+    replace_table(spark.read.parquet(path).where("id > 2"), path)
+    assert spark.read.parquet(path).count() == 2
+    # lost between the two renames: the old table comes back
+    (tmp_path / "table").rename(tmp_path / "table__old")
+    with pytest.raises(Exception, match="no"):
+        replace_table(bad, path)
+    assert spark.read.parquet(path).count() == 2
 
 
 def test_a_day_of_the_fact_prunes_its_partition(spark, small):

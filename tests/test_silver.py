@@ -7,7 +7,8 @@ from helpers import raw_frame, raw_row, sourced_frame
 from tidemark.operators import silver
 from tidemark.sources import bronze as bronze_io
 from tidemark.sources import silver as silver_io
-from tidemark.sources.tables import list_partitions
+from tidemark.schemas import QUARANTINE
+from tidemark.sources.tables import list_partitions, read_table
 
 DAY = date(2024, 1, 1)
 
@@ -65,13 +66,22 @@ def test_bronze_keeps_corrupt_lines_visible(spark, tmp_path):
     by_id = {r.id: r for r in raw.where("id IS NOT NULL").collect()}
     assert by_id["2"].actor.id is None and by_id["2"].actor.login == "bob"
     assert {(r.source_date, r.source_hour) for r in raw.collect()} == {(DAY, 5)}
-    # all NULL ids count as one key
-    assert silver.transform_events(raw).count() == 3
-
-    good, bad = silver.split_corrupt(bronze_io.read_bronze(spark, root, keep_corrupt=True))
+    # every corrupt line stays, and its text with it
+    kept = silver.transform_events(bronze_io.read_bronze(spark, root, [(DAY, 5)], keep_corrupt=True))
+    good, bad = silver.split_quarantine(kept)
+    assert good.count() == 2
+    assert rows(bad, "raw_text") == [("this is no json",), ("{also not json",)]
+
+
+def test_copies_are_counted_by_hour_file(spark):
+    copies = [raw_row("1", "2024-01-01T05:10:00Z"), raw_row("1", "2024-01-01T05:20:00Z")]
+    none = [raw_row(None, "2024-01-01T05:30:00Z")] * 2
+    both = sourced_frame(spark, [*copies, *none], DAY, 5).unionByName(sourced_frame(spark, copies, DAY, 6))
+    out = silver.transform_events(both)
+    kept = rows(out.where("event_id IS NOT NULL"), "source_hour", "created_at")
+    assert kept == [(5, datetime(2024, 1, 1, 5, 20)), (6, datetime(2024, 1, 1, 5, 20))]
+    good, bad = silver.split_quarantine(out)
     assert good.count() == 2 and bad.count() == 2
-    texts = {r._corrupt_record for r in bad.collect()}
-    assert {"this is no json", "{also not json"} <= texts
 
 
 def test_landing_skips_hours_already_there(spark, tmp_path):
@@ -123,10 +133,10 @@ def test_late_rows_survive_any_order_of_runs(spark, tmp_path):
 def test_quarantine_is_replaced_by_a_clean_rerun(spark, tmp_path):
     paths = _paths(tmp_path)
     _write(spark, paths, 15, H15)
-    assert spark.read.parquet(paths.quarantine).count() == 1
+    assert read_table(spark, paths.quarantine, QUARANTINE).count() == 1
     _write(spark, paths, 15, [H15[0]])
-    assert spark.read.parquet(paths.quarantine).count() == 0
-    assert spark.read.parquet(paths.late).count() == 0
+    assert read_table(spark, paths.quarantine, QUARANTINE).count() == 0
+    assert read_table(spark, paths.late, QUARANTINE).count() == 0
 
 
 def test_parity_writer_replaces_only_written_hours(spark, tmp_path):

@@ -16,13 +16,13 @@ def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
     return counts.where(F.col("n") * share > total).select(key)
 
 
-def join_lookup(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
     """Inner join to a lookup that is unique on ``key``, with no shuffle of the hot keys' rows.
 
-    Hot keys are few by definition, so their lookup rows are broadcast. All other rows take
+    Keys with more than 1/share of the rows are hot. They are few by definition, so their lookup rows are broadcast. All other rows take
     the ordinary join, where no key is large enough to hold up a task.
     """
-    hot = hot_keys(rows, key)
+    hot = hot_keys(rows, key, share)
     hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
     hot_rows = rows.join(F.broadcast(hot_lookup), key)
     cold_rows = rows.join(F.broadcast(hot), key, "left_anti").join(lookup, key)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import default_unknown
-from tidemark.operators.joins import join_lookup
+from tidemark.operators.joins import HOT_SHARE, join_lookup
 from tidemark.operators.ranking import with_daily_rank
 from tidemark.schemas import CONTRIBUTION_TYPES, STAR_TYPE
 
@@ -124,6 +124,8 @@ def language_momentum(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) ->
     return rank_languages(count_per_day(fact, "repo_sk", "events"), dim_repo, seed)
 
 
-def enrich_language(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
+def enrich_language(
+    fact: DataFrame, dim_repo: DataFrame, seed: DataFrame, share: int = HOT_SHARE
+) -> DataFrame:
     """Fact rows with their repository's language; drops and multiplies none."""
-    return join_lookup(fact, repo_language(dim_repo, seed), "repo_sk")
+    return join_lookup(fact, repo_language(dim_repo, seed), "repo_sk", share)

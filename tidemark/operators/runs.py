@@ -34,9 +34,17 @@ def fresh_summaries(runs: DataFrame, summaries: DataFrame) -> DataFrame:
 
 
 def run_tasks(tasks: DataFrame) -> DataFrame:
-    """The tasks of each run as an array by task id; a run has a handful of them."""
-    task = F.struct("task_id", "state", F.col("duration").cast("double").alias("duration"))
-    return tasks.groupBy("run_id").agg(F.array_sort(F.collect_list(task)).alias("tasks"))
+    """The tasks of each run as an array; a run has a handful of them.
+
+    They are in the order of ``position`` if there is such a column, else of their ids.
+    """
+    fields = ["task_id", "state", F.col("duration").cast("double").alias("duration")]
+    if "position" not in tasks.columns:
+        listed = F.array_sort(F.collect_list(F.struct(*fields)))
+    else:
+        placed = F.array_sort(F.collect_list(F.struct("position", F.struct(*fields).alias("task"))))
+        listed = F.transform(placed, lambda x: x["task"])
+    return tasks.groupBy("run_id").agg(listed.alias("tasks"))
 
 
 def run_rows(runs: DataFrame, tasks: DataFrame, summaries: DataFrame) -> DataFrame:

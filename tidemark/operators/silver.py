@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.schemas import CORRUPT_RECORD, SOURCE_COLUMNS
+from tidemark.schemas import CORRUPT_RECORD, RAW_TEXT, SOURCE_COLUMNS
 
 
 def flatten(raw: DataFrame) -> DataFrame:
-    """Lift the nested actor and repo fields; every field not listed is dropped."""
+    """Lift the nested actor and repo fields; every field not listed is dropped.
+
+    Bronze read with ``keep_corrupt`` gives a column with the text of lines that are no events. A line
+    with only a field of the wrong type counts as parsed, with NULL in that field.
+    """
     source = [c for c in SOURCE_COLUMNS if c in raw.columns]
+    if CORRUPT_RECORD in raw.columns:
+        nothing_parsed = F.coalesce("id", "type", "created_at").isNull()
+        source.append(F.when(nothing_parsed, F.col(CORRUPT_RECORD)).alias(RAW_TEXT))
     return raw.select(
         F.col("id").alias("event_id"),
         F.col("type").alias("event_type"),
@@ -36,45 +43,48 @@ def partition_columns(events: DataFrame) -> DataFrame:
 
 
 def dedupe(events: DataFrame, key: str = "event_id") -> DataFrame:
-    """One row per key: the copy with the latest parsable timestamp, other columns breaking ties.
+    """One row per key and hour file: the copy with the latest parsable timestamp, other columns breaking ties.
+
+    Copies in different hour files stay apart, as separate runs of those files would keep them. Rows with
+    a NULL key are no copies of one another and all stay.
 
     The choice depends only on the rows, so a stage that is run again after a lost executor
     keeps the same copy. Copies collapse in the map-side aggregate, so a key with very many
-    copies sends one row per map task. All NULL keys count as one key.
+    copies sends one row per map task.
     """
-    rest = ["created_at", *[c for c in events.columns if c not in (key, "created_at")]]
-    kept = events.groupBy(key).agg(F.max(F.struct(*rest)).alias("kept"))
-    return kept.select(key, "kept.*").select(*events.columns)
+    keys = [*[c for c in SOURCE_COLUMNS if c in events.columns], key]
+    rest = ["created_at", *[c for c in events.columns if c not in (*keys, "created_at")]]
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    kept = (
+        events.withColumn("alone", alone)
+        .groupBy(*keys, "alone")
+        .agg(F.max(F.struct(*rest)).alias("kept"))
+    )
+    return kept.select(*keys, "kept.*").select(*events.columns)
 
 
 def transform_events(raw: DataFrame) -> DataFrame:
     return dedupe(partition_columns(typed(flatten(raw))))
 
 
-def split_quarantine(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with a timestamp, rows without one)."""
-    return events.where("created_at IS NOT NULL"), events.where("created_at IS NULL")
-
+def is_bad() -> Column:
+    """Rows that silver cannot hold: without a time, or without an id to tell them apart."""
+    return F.col("created_at").isNull() | F.col("event_id").isNull()
 
-def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, unparsable lines), for bronze read with ``keep_corrupt=True``.
 
-    Without this split an unparsable line is a row of NULLs, and all of those share one key. A
-    line with only a field of the wrong type counts as parsed, with NULL in that field.
-    """
-    nothing_parsed = F.coalesce("id", "type", "created_at").isNull()
-    corrupt = F.col(CORRUPT_RECORD).isNotNull() & nothing_parsed
-    return raw.where(~corrupt).drop(CORRUPT_RECORD), raw.where(corrupt)
+def split_quarantine(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with a timestamp and an id, the others)."""
+    return events.where(~is_bad()).drop(RAW_TEXT), events.where(is_bad())
 
 
 def row_kind(events: DataFrame) -> DataFrame:
-    """Tag each row against its source hour: 'own', 'late' (another hour), or 'bad' (no time)."""
+    """Tag each row against its source hour: 'own', 'late' (another hour), or 'bad' (no time or no id)."""
     own = (F.col("event_date") == F.col("source_date")) & (
         F.col("event_hour") == F.col("source_hour")
     )
     return events.withColumn(
         "row_kind",
-        F.when(F.col("created_at").isNull(), "bad").when(own, "own").otherwise("late"),
+        F.when(is_bad(), "bad").when(own, "own").otherwise("late"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.silver import stg_events
-from tidemark.session import fit_shuffles, scratch_path, use_utc, written_once
+from tidemark.session import scratch_path, use_utc, written_once
 from tidemark.sources.bronze import land_bronze
 from tidemark.sources.seed import read_seed
 
@@ -39,7 +39,7 @@ def _event_type() -> Column:
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean silver rows. The table's event ids are unique already."""
     use_utc(spark)
-    events = fit_shuffles(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     ts = F.col("ts").cast("timestamp")
     # props is always {"k": n}; a pattern reads it four times as fast as a JSON parser
     repo = F.regexp_extract("props", r'"k":\s*(-?\d+)', 1).try_cast("bigint")
@@ -76,26 +76,49 @@ def seed(stg: DataFrame) -> DataFrame:
 def raw_events(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """Nested raw events with the hour file each is dumped in.
 
-    The dirty form repeats every 50th event once and breaks every 97th event's timestamp.
+    The dirty form repeats every 50th event once, in turn exactly, a second later under another login,
+    and in the next hour's file. Every 97th event has a broken timestamp, every 211th no id, every 173rd
+    no actor.
     """
     silver = silver_events(spark, sf_dir)
-    created = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    pattern = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     copies = F.array(F.lit(0))
-    if dirty:
+    if not dirty:
+        silver = silver.withColumn("copy", F.explode(copies)).withColumn("time", F.date_format("created_at", pattern))
+        actor = F.struct(F.col("actor_id").alias("id"), F.col("actor_login").alias("login"))
+        event_id = F.col("event_id")
+    else:
         event = F.col("event_id").cast("bigint")
-        created = F.when(event % 97 == 0, "not-a-timestamp").otherwise(created)
-        copies = F.when(event % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(copies)
+        twice = F.array(F.lit(0), F.pmod(F.floor(event / 50), F.lit(3)).cast("int") + 1)
+        silver = silver.withColumn("copy", F.explode(F.when(event % 50 == 0, twice).otherwise(copies)))
+        later = F.col("copy") == 2
+        moved = F.when(later, F.col("created_at") + F.expr("INTERVAL 1 SECOND")).otherwise(F.col("created_at"))
+        time = F.when(event % 97 == 0, "not-a-timestamp").otherwise(F.date_format(moved, pattern))
+        # the copy of another hour lies in the file after its own
+        file_time = F.when(F.col("copy") == 3, F.col("created_at") + F.expr("INTERVAL 1 HOUR")).otherwise(
+            F.col("created_at")
+        )
+        silver = (
+            silver.withColumn("time", time)
+            .withColumn("event_date", F.to_date(file_time))
+            .withColumn("event_hour", F.hour(file_time))
+        )
+        login = F.when(later, F.concat("actor_login", F.lit("_x"))).otherwise(F.col("actor_login"))
+        someone = event % 173 != 0
+        actor = F.struct(
+            F.when(someone, F.col("actor_id")).alias("id"), F.when(someone, login).alias("login")
+        )
+        event_id = F.when(event % 211 != 0, F.col("event_id"))
     return silver.select(
-        F.col("event_id").alias("id"),
+        event_id.alias("id"),
         F.col("event_type").alias("type"),
         "public",
-        created.alias("created_at"),
-        F.struct(F.col("actor_id").alias("id"), F.col("actor_login").alias("login")).alias("actor"),
+        F.col("time").alias("created_at"),
+        actor.alias("actor"),
         F.struct(F.col("repo_id").alias("id"), F.col("repo_name").alias("name")).alias("repo"),
         F.col("event_date").alias("source_date"),
         F.col("event_hour").alias("source_hour"),
-        F.explode(copies).alias("copy"),
-    ).drop("copy")
+    )
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

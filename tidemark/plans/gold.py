@@ -16,10 +16,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from tidemark.functions.hours import Hour
 from tidemark.operators import dims, fact, marts, quality
-from tidemark.operators.silver import stg_events
+from tidemark.operators.silver import dedupe, stg_events
 from tidemark.plans.lake import Lake
 from tidemark.plans.model_tests import require_passing
-from tidemark.session import fit_shuffles
+from tidemark.schemas import MARTS
+from tidemark.session import scratch_scope, shuffles_for
 from tidemark.sources.fact import read_fact, read_fact_days, write_fact
 from tidemark.sources.seed import read_seed
 from tidemark.sources.silver import read_silver, read_silver_hours
@@ -28,7 +29,6 @@ from tidemark.sources.tables import (
     read_table,
     replace_partitions,
     replace_table,
-    stage,
 )
 
 
@@ -45,7 +45,6 @@ ACTOR_DAYS = _fields(actor_sk=StringType(), contributions=LongType(), date_key=L
 
 
 DIMENSIONS = ["dim_event_type", "dim_repo", "dim_actor", "dim_date"]
-MARTS = ["trending_repos_daily", "language_momentum", "contributor_leaderboard"]
 
 
 def refresh_gold(
@@ -53,6 +52,20 @@ def refresh_gold(
     lake: Lake,
     hours: Sequence[Hour] | None = None,
     full_refresh: bool = False,
+) -> None:
+    """``_refresh`` with shuffles that suit the loaded silver, and nothing staged left behind."""
+    everything = read_silver(spark, lake.silver_events)
+    if hours is not None and not full_refresh:
+        everything = read_silver_hours(spark, lake.silver_events, hours)
+    with scratch_scope(spark), shuffles_for(everything):
+        _refresh(spark, lake, hours, full_refresh)
+
+
+def _refresh(
+    spark: SparkSession,
+    lake: Lake,
+    hours: Sequence[Hour] | None = None,
+    full_refresh: bool = False,
 ) -> None:
     """Bring gold up to date with the given silver hours.
 
@@ -62,7 +75,7 @@ def refresh_gold(
     if hours is not None and not full_refresh:
         changed = read_silver_hours(spark, lake.silver_events, hours)
     else:
-        changed = fit_shuffles(read_silver(spark, lake.silver_events))
+        changed = read_silver(spark, lake.silver_events)
         if not full_refresh:
             loaded = read_fact(spark, lake.gold("fact_events"))
             changed = fact.incremental_slice(changed, loaded)
@@ -71,15 +84,11 @@ def refresh_gold(
     def table(name: str) -> DataFrame:
         return spark.read.parquet(lake.gold(name))
 
-    require_passing({"stg_events": stg})
+    # an event may come again in another hour's file; the fact takes the latest of each
+    require_passing({"stg_events": dedupe(stg)})
 
-    # created_at of an event never changes, so its day does not either
     days = write_fact(
-        spark,
-        lake.gold("fact_events"),
-        fact.fact_events(stg),
-        full_refresh=full_refresh,
-        events_may_move=False,
+        spark, lake.gold("fact_events"), fact.fact_events(stg), full_refresh=full_refresh
     )
     _refresh_dims(spark, lake, stg, full_refresh)
     touched = read_fact_days(spark, lake.gold("fact_events"), days)
@@ -89,7 +98,7 @@ def refresh_gold(
     require_passing({**built, "fact_events": touched, "repo_languages": seed}, table)
     _refresh_counts(lake, touched, full_refresh)
     _refresh_marts(spark, lake, seed)
-    require_passing({name: read_mart(spark, lake.gold(name)) for name in MARTS}, table)
+    require_passing({name: read_mart(spark, lake.gold(name), MARTS[name]) for name in MARTS}, table)
 
 
 def _refresh_dims(spark: SparkSession, lake: Lake, stg: DataFrame, full_refresh: bool) -> None:
@@ -102,18 +111,17 @@ def _refresh_dims(spark: SparkSession, lake: Lake, stg: DataFrame, full_refresh:
         seen = dims.spellings(stg, key, attribute)
         if not full_refresh:
             known = read_table(spark, path, schema)
-            # staged, since the result replaces the table it is computed from
-            seen = stage(dims.merge_spellings(known, seen, key, attribute), "spellings")
+            seen = dims.merge_spellings(known, seen, key, attribute)
         replace_table(seen, path)
         replace_table(build(read_table(spark, path, schema)), lake.gold(f"dim_{name}"))
 
     types = dims.dim_event_type(stg)
     if not full_refresh:
         known = read_table(spark, lake.gold("dim_event_type"), types.schema)
-        types = stage(known.unionByName(types).distinct(), "event-types")
+        types = known.unionByName(types).distinct()
     replace_table(types, lake.gold("dim_event_type"))
-    events = read_fact(spark, lake.gold("fact_events"))
-    replace_table(dims.dim_date_for(events), lake.gold("dim_date"))
+    calendar = dims.dim_date(spark, lake.calendar_start, lake.calendar_end)
+    replace_table(calendar, lake.gold("dim_date"))
 
 
 def _refresh_counts(lake: Lake, touched: DataFrame, full_refresh: bool) -> None:
@@ -140,5 +148,5 @@ def reconcile(spark: SparkSession, lake: Lake) -> DataFrame:
     return quality.mart_reconciliation(
         read_fact(spark, lake.gold("fact_events")),
         spark.read.parquet(lake.gold("dim_repo")),
-        *[read_mart(spark, lake.gold(name)) for name in MARTS],
+        *[read_mart(spark, lake.gold(name), schema) for name, schema in MARTS.items()],
     )

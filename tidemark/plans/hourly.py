@@ -14,13 +14,14 @@ from tidemark.operators import quality, runs
 from tidemark.operators.silver import transform_events
 from tidemark.plans.gold import refresh_gold
 from tidemark.plans.lake import Lake
-from tidemark.schemas import SILVER_WITH_SOURCE, SOURCE_COLUMNS
-from tidemark.session import fit_shuffles, use_utc
+from tidemark.schemas import QUARANTINE, SOURCE_COLUMNS
+from tidemark.session import scratch_scope, shuffles_for, use_utc
 from tidemark.sources.bronze import read_bronze, read_bronze_lines
 from tidemark.sources.runs import append_runs, append_summaries, read_summaries
 from tidemark.sources.silver import (
     load_hours,
     loaded_hours,
+    read_late,
     read_silver_hours,
     write_silver_hours,
 )
@@ -37,8 +38,9 @@ def _now() -> datetime:
 
 def to_silver(spark: SparkSession, lake: Lake, hours: Sequence[Hour]) -> list[Hour]:
     """Returns the event hours rewritten: the given ones, and others their late rows belong to."""
-    raw = fit_shuffles(read_bronze(spark, lake.bronze, hours), expansion=GZIP_EXPANSION)
-    return write_silver_hours(transform_events(raw), lake.silver, hours)
+    raw = read_bronze(spark, lake.bronze, hours, keep_corrupt=True)
+    with shuffles_for(raw, expansion=GZIP_EXPANSION):
+        return write_silver_hours(transform_events(raw), lake.silver, hours)
 
 
 def verdict(
@@ -50,7 +52,7 @@ def verdict(
 ) -> DataFrame:
     """Run summary of the given hours."""
     bad = read_table(
-        spark, lake.silver.quarantine, SILVER_WITH_SOURCE, "source_date", days_of(hours)
+        spark, lake.silver.quarantine, QUARANTINE, "source_date", days_of(hours)
     )
     rows = quality.suite_verdict(
         read_bronze_lines(spark, lake.bronze, hours),
@@ -58,7 +60,7 @@ def verdict(
         bad.where(in_hours(hours, SOURCE_COLUMNS)),
         recorded_at,
         bounds,
-        late=read_table(spark, lake.silver.late, SILVER_WITH_SOURCE),
+        late=read_late(spark, lake.silver.late, received=hours, sent=hours),
     )
     return rows.where(in_hours(hours, ["partition_date", "partition_hour"]))
 
@@ -114,6 +116,18 @@ def run_hours(
     would; the error is raised at the end. Every hour's run is recorded, whatever happens.
     """
     use_utc(spark)
+    with scratch_scope(spark):
+        _run_hours(spark, lake, hours, kind, bounds, full_refresh)
+
+
+def _run_hours(
+    spark: SparkSession,
+    lake: Lake,
+    hours: Sequence[Hour],
+    kind: str,
+    bounds: quality.SuiteBounds,
+    full_refresh: bool,
+) -> None:
     started = _now()
     log = _TaskLog(hours, ["silver_transform", "validate_silver", "load_silver", "build_gold"])
     try:
@@ -159,8 +173,12 @@ def record_runs(
         "run_id string, run_start timestamp, logical_date timestamp, recorded_at timestamp",
     )
     task_frame = spark.createDataFrame(
-        [(f"{kind}__{ids[h].isoformat()}", *task) for h, rows in tasks.items() for task in rows],
-        "run_id string, task_id string, state string, duration double",
+        [
+            (f"{kind}__{ids[h].isoformat()}", i, *task)
+            for h, rows in tasks.items()
+            for i, task in enumerate(rows)
+        ],
+        "run_id string, position int, task_id string, state string, duration double",
     )
     recent = read_summaries(spark, lake.summaries).where(F.col("timestamp") > F.lit(started))
     append_runs(runs.run_rows(run_frame, task_frame, recent), lake.runs)

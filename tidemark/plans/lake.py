@@ -9,7 +9,11 @@ from tidemark.sources.silver import SilverPaths
 
 @dataclass(frozen=True)
 class Lake:
+    """The calendar is declared, not derived: an event outside it fails the fact's date check."""
+
     root: str
+    calendar_start: str = "2024-01-01"
+    calendar_end: str = "2025-01-01"
 
     @property
     def bronze(self) -> str:

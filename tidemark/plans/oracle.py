@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark.plans.model_tests import MODEL_TESTS
 
-# Shared views. Duplicates are exact copies, so DISTINCT is the whole de-duplication.
+# Shared views.
 _VIEWS = """
 WITH env AS (
   SELECT cast(e.event_id AS varchar) AS event_id,
@@ -88,16 +88,27 @@ momentum AS (
   FROM lang_day
 ),
 copies AS (
-  SELECT * FROM stg
+  SELECT *, 0 AS copy FROM stg
   UNION ALL
-  SELECT * FROM stg WHERE cast(event_id AS bigint) % 50 = 0
+  SELECT *, (cast(event_id AS bigint) // 50) % 3 + 1 AS copy
+  FROM stg WHERE cast(event_id AS bigint) % 50 = 0
 ),
 flat AS (
-  SELECT event_id, event_type, actor_id, actor_login, repo_id, repo_name, "public",
-         CASE WHEN cast(event_id AS bigint) % 97 = 0 THEN 'not-a-timestamp'
-              ELSE strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
-         event_date AS source_date, event_hour AS source_hour
-  FROM copies
+  SELECT CASE WHEN e % 211 <> 0 THEN event_id END AS event_id, event_type,
+         CASE WHEN e % 173 <> 0 THEN actor_id END AS actor_id,
+         CASE WHEN e % 173 <> 0 THEN actor_login || CASE WHEN copy = 2 THEN '_x' ELSE '' END END
+           AS actor_login,
+         repo_id, repo_name, "public",
+         CASE WHEN e % 97 = 0 THEN 'not-a-timestamp'
+              ELSE strftime(created_at + CASE WHEN copy = 2 THEN INTERVAL 1 SECOND
+                                              ELSE INTERVAL 0 SECOND END, '%Y-%m-%dT%H:%M:%SZ') END
+           AS created_at,
+         cast(file_time AS date) AS source_date,
+         cast(extract(hour FROM file_time) AS integer) AS source_hour
+  FROM (SELECT *, cast(event_id AS bigint) AS e,
+               created_at + CASE WHEN copy = 3 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END
+                 AS file_time
+        FROM copies)
 ),
 typed AS (
   SELECT * REPLACE (try_strptime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at) FROM flat
@@ -107,19 +118,34 @@ parted AS (
          cast(extract(hour FROM created_at) AS integer) AS event_hour
   FROM typed
 ),
-silver AS (SELECT DISTINCT * FROM parted),
+silver AS (
+  SELECT * FROM parted
+  QUALIFY event_id IS NULL OR row_number() OVER (
+    PARTITION BY source_date, source_hour, event_id
+    ORDER BY created_at DESC NULLS LAST, actor_login DESC NULLS LAST) = 1
+),
 valid AS (
-  SELECT * EXCLUDE (source_date, source_hour) FROM silver WHERE created_at IS NOT NULL
+  SELECT * EXCLUDE (source_date, source_hour) FROM silver
+  WHERE created_at IS NOT NULL AND event_id IS NOT NULL
+),
+bad AS (SELECT * FROM silver WHERE created_at IS NULL OR event_id IS NULL),
+merged AS (
+  SELECT * FROM valid
+  QUALIFY row_number() OVER (
+    PARTITION BY event_id ORDER BY created_at DESC, actor_login DESC NULLS LAST) = 1
 ),
-bad AS (SELECT * FROM silver WHERE created_at IS NULL),
 metrics AS (
   SELECT partition_date, partition_hour, sum(r)::bigint AS raw_rows, sum(h)::bigint AS hour_rows,
-         sum(q)::bigint AS quarantine_rows
+         sum(q)::bigint AS quarantine_rows, sum(d)::bigint AS distinct_ids,
+         sum(a)::bigint AS actors
   FROM (
-    SELECT source_date AS partition_date, source_hour AS partition_hour, 1 AS r, 0 AS h, 0 AS q
+    SELECT source_date AS partition_date, source_hour AS partition_hour, 1 AS r, 0 AS h, 0 AS q,
+           0 AS d, 0 AS a
     FROM flat
-    UNION ALL SELECT event_date, event_hour, 0, 1, 0 FROM valid
-    UNION ALL SELECT source_date, source_hour, 0, 0, 1 FROM bad
+    UNION ALL
+    SELECT event_date, event_hour, 0, count(*), 0, count(DISTINCT event_id), count(actor_id)
+    FROM valid GROUP BY ALL
+    UNION ALL SELECT source_date, source_hour, 0, 0, 1, 0, 0 FROM bad
   ) GROUP BY ALL
 ),
 verdict AS (
@@ -129,7 +155,9 @@ verdict AS (
          raw_rows > 0 AND raw_rows - hour_rows - quarantine_rows >= 0
            AND (raw_rows - hour_rows - quarantine_rows) / raw_rows::double <= 0.1
            AS residual_check,
-         hour_rows BETWEEN 1 AND 900000 AS great_expectations_suite_check,
+         hour_rows BETWEEN 2 AND 900000 AND hour_rows = distinct_ids
+           AND (hour_rows = 0 OR actors / hour_rows::double >= 0.9999)
+           AS great_expectations_suite_check,
          quarantine_check AND residual_check AND great_expectations_suite_check
            AS pipeline_check,
          partition_date, partition_hour, timestamp '2024-02-01 00:00:00' AS "timestamp"
@@ -225,7 +253,12 @@ def _nulls(table: str, columns: list[str]) -> str:
 
 
 def _orphans() -> str:
-    old = "created_at < timestamp '2024-01-20 00:00:00'"
+    known = {
+        "repo_sk": "SELECT repo_sk FROM dim_repo WHERE repo_id % 7 <> 3",
+        "actor_sk": "SELECT actor_sk FROM dim_actor WHERE actor_id % 7 <> 3",
+        "date_key": "SELECT date_key FROM fact WHERE created_at < timestamp '2024-01-20 00:00:00'",
+        "event_type": "SELECT event_type FROM fact WHERE event_type <> 'ForkEvent'",
+    }
     fks = {
         "fact_events": ("fact", ["repo_sk", "actor_sk", "date_key", "event_type"]),
         "trending_repos_daily": ("trending", ["repo_sk", "date_key"]),
@@ -234,7 +267,7 @@ def _orphans() -> str:
     }
     return " UNION ALL ".join(
         f"SELECT '{name}' AS child, '{fk}' AS fk, cast({fk} AS varchar) AS value, count(*) AS n "
-        f"FROM {table} WHERE {fk} NOT IN (SELECT {fk} FROM fact WHERE {old}) GROUP BY {fk}"
+        f"FROM {table} WHERE {fk} NOT IN ({known[fk]}) GROUP BY {fk}"
         for name, (table, keys) in fks.items()
         for fk in keys
     )
@@ -259,9 +292,7 @@ _DIM_DATE = (
     "year(d) AS year, quarter(d) AS quarter, month(d) AS month, day(d) AS day, "
     "dayofweek(d) + 1 AS day_of_week, strftime(d, '%A') AS day_name, "
     "dayofweek(d) IN (0, 6) AS is_weekend FROM (SELECT cast(unnest(generate_series("
-    "date_trunc('year', min(event_date)), "
-    "date_trunc('year', max(event_date)) + INTERVAL 1 YEAR - INTERVAL 1 DAY, "
-    "INTERVAL 1 DAY)) AS date) AS d FROM stg)"
+    "timestamp '2024-01-01', timestamp '2024-12-31', INTERVAL 1 DAY)) AS date) AS d)"
 )
 
 
@@ -316,7 +347,7 @@ _SELECTS = {
     "silver_hour_slice": (
         f"SELECT {_STG} FROM silver WHERE event_date = date '2024-01-17' AND event_hour = 12"
     ),
-    "quarantine_scan": f"SELECT {_STG} FROM bad",
+    "quarantine_scan": f"SELECT {_STG} FROM silver WHERE created_at IS NULL",
     "seed_scan": "SELECT * FROM seed",
     "run_metadata_scan": (
         f"SELECT run_id, recorded_at, logical_date, {_COUNTS}, "
@@ -331,7 +362,7 @@ _SELECTS = {
         "AS table_partition, count(*) AS n FROM stg GROUP BY event_date, event_hour"
     ),
     "bronze_land": _HOURLY_LINES,
-    "silver_partition_overwrite": f"SELECT {_STG} FROM valid",
+    "silver_partition_overwrite": f"SELECT {_STG} FROM merged",
     "silver_load_hour": f"SELECT {_STG} FROM valid",
     "fact_upsert": "SELECT * FROM fact",
     "mart_table_sink": "SELECT * FROM trending",
@@ -344,8 +375,10 @@ _SELECTS = {
     "silver_typed": "SELECT * FROM typed",
     "silver_partition_columns": "SELECT * FROM parted",
     "silver_quarantine_split": (
-        "SELECT source_date, source_hour, count(created_at) AS valid_rows, "
-        "count(*) - count(created_at) AS quarantine_rows FROM silver GROUP BY ALL"
+        "SELECT source_date, source_hour, "
+        "count(*) FILTER (created_at IS NOT NULL AND event_id IS NOT NULL) AS valid_rows, "
+        "count(*) FILTER (created_at IS NULL OR event_id IS NULL) AS quarantine_rows "
+        "FROM silver GROUP BY ALL"
     ),
     "column_allowlist": "SELECT * EXCLUDE (source_date, source_hour) FROM flat",
     "filter_event_type": "SELECT * FROM fact WHERE event_type = 'WatchEvent'",
@@ -388,7 +421,10 @@ _SELECTS = {
     ),
     "dim_repo": "SELECT * FROM dim_repo",
     "dim_actor": "SELECT * FROM dim_actor",
-    "dim_date": _DIM_DATE,
+    "dim_date": (
+        f"SELECT d.*, coalesce(e.n, 0) AS events FROM ({_DIM_DATE}) d LEFT JOIN "
+        "(SELECT date_key, count(*) AS n FROM fact GROUP BY ALL) e USING (date_key)"
+    ),
     "fact_events": "SELECT * FROM fact",
     "trending_repos_daily": "SELECT * FROM trending",
     "contributor_leaderboard": "SELECT * FROM leaderboard",
@@ -428,7 +464,8 @@ _SELECTS = {
     "residual_ok": "SELECT partition_date, partition_hour, residual_check FROM verdict",
     "dq_not_null": _nulls("silver", _NULL_COLUMNS),
     "dq_unique": (
-        "SELECT event_id, count(*) AS n FROM flat GROUP BY event_id HAVING count(*) > 1"
+        "SELECT event_id, count(*) AS n FROM flat WHERE event_id IS NOT NULL "
+        "GROUP BY event_id HAVING count(*) > 1"
     ),
     "dq_accepted_values": (
         "SELECT event_type, count(*) AS n FROM (SELECT event_type FROM events "

@@ -18,6 +18,7 @@ def _struct(**fields) -> StructType:
     return StructType([StructField(name, kind) for name, kind in fields.items()])
 
 
+# Names and types of every column contract below.
 # Fields that are not named here (payload, org, ...) never leave bronze.
 ENVELOPE = _struct(
     id=StringType(),
@@ -61,6 +62,12 @@ SILVER_WITH_SOURCE = StructType(
     + [StructField("source_date", DateType()), StructField("source_hour", IntegerType())]
 )
 
+# Quarantined rows keep the text of lines that could not be parsed.
+RAW_TEXT = "raw_text"
+QUARANTINE = StructType(
+    [*SILVER.fields, StructField(RAW_TEXT, StringType()), *SILVER_WITH_SOURCE.fields[-2:]]
+)
+
 FACT_COLUMNS = [
     "event_id",
     "repo_sk",
@@ -71,6 +78,33 @@ FACT_COLUMNS = [
     "created_at",
 ]
 
+MARTS = {
+    "trending_repos_daily": _struct(
+        repo_sk=StringType(),
+        repo_id=LongType(),
+        repo_name=StringType(),
+        stars=LongType(),
+        daily_rank=LongType(),
+        date_key=LongType(),
+    ),
+    "language_momentum": _struct(
+        language=StringType(),
+        event_count=LongType(),
+        active_repos=LongType(),
+        momentum_delta=LongType(),
+        daily_rank=LongType(),
+        date_key=LongType(),
+    ),
+    "contributor_leaderboard": _struct(
+        actor_sk=StringType(),
+        actor_id=LongType(),
+        actor_login=StringType(),
+        contributions=LongType(),
+        daily_rank=LongType(),
+        date_key=LongType(),
+    ),
+}
+
 SEED = "repo_id BIGINT, language STRING"
 
 RUN_SUMMARY = _struct(

@@ -81,9 +81,11 @@ def land_bronze(lines: DataFrame, root: str) -> None:
     that can be seen is complete and skipping it is safe.
     """
     spark = lines.sparkSession
-    landed = list_partitions(spark, root, ["date", "hour"])
+    # calendar days of what is to be landed; only their folders are listed
+    days = {r.source_date for r in lines.select("source_date").distinct().collect()}
+    landed = list_partitions(spark, root, ["date", "hour"], days) if days else set()
     if landed:
-        # one row per hour on disk, a few thousand a year
+        # at most 24 rows for each of those days
         known = spark.createDataFrame(
             [(r["date"], int(r["hour"])) for r in landed], "d string, source_hour int"
         ).select(F.col("d").cast("date").alias("source_date"), "source_hour")

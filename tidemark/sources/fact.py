@@ -6,10 +6,9 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
-from tidemark.operators.fact import upsert
-from tidemark.operators.quality import unique
 from tidemark.schemas import FACT_COLUMNS
 from tidemark.sources.tables import (
     clear_partitions,
@@ -37,6 +36,16 @@ def read_fact_days(spark: SparkSession, path: str, days: Iterable[date]) -> Data
     return read_table(spark, path, FACT, "event_date", days).select(*FACT_COLUMNS)
 
 
+def latest(rows: DataFrame) -> DataFrame:
+    """One row per event_id: the one created last, other columns breaking ties; NULL ids all stay."""
+    rest = ["created_at", *[c for c in FACT_COLUMNS if c not in ("event_id", "created_at")]]
+    alone = F.when(F.col("event_id").isNull(), F.monotonically_increasing_id())
+    kept = rows.withColumn("alone", alone).groupBy("event_id", "alone").agg(
+        F.max(F.struct(*rest)).alias("kept")
+    )
+    return kept.select("event_id", "kept.*").select(*FACT_COLUMNS)
+
+
 def write_fact(
     spark: SparkSession,
     path: str,
@@ -46,33 +55,31 @@ def write_fact(
 ) -> list[date]:
     """Upsert ``incoming`` on event_id, rewriting only the days it touches; returns those days.
 
-    ``events_may_move`` also looks for incoming ids on other days of the target, which reads two
-    columns of all of it. Turn that off where an event's timestamp never changes. The
-    replacement is staged before any target file goes, so a lost driver leaves either the old
-    days or a complete copy of the new ones to write again.
+    The fact has one row per event_id over all days. Where an id comes with several times, in one call
+    or in several, the latest stays, so calls in any order end in the same table. ``events_may_move``
+    looks for incoming ids on other days, which reads two columns of the target but shuffles neither
+    side's events where the ids are few enough to broadcast. Turn that off where an id is known never to
+    come on two days. The replacement is staged before any target file goes.
     """
     if set(incoming.columns) != set(FACT_COLUMNS):
         raise ValueError(f"fact columns changed: {sorted(set(incoming.columns) ^ set(FACT_COLUMNS))}")
-    incoming = stage(incoming.select(*FACT_COLUMNS), "fact-incoming")
-    repeated = unique(incoming, "event_id").take(1)
-    if repeated:
-        raise ValueError(f"incoming rows repeat event_id {repeated[0]['event_id']}")
+    incoming = stage(latest(incoming.select(*FACT_COLUMNS)), "fact-incoming")
     if full_refresh:
         replace_table(incoming, path, ["event_date"], ["event_type"])
         return [r.event_date for r in incoming.select("event_date").distinct().collect()]
 
     days = incoming.select("event_date").distinct()
     if events_may_move:
-        moved = read_fact(spark, path).select("event_id", "event_date").join(
-            incoming.select("event_id"), "event_id", "left_semi"
-        )
+        ids = incoming.select("event_id", F.col("event_date").alias("new_date"))
+        moved = read_fact(spark, path).select("event_id", "event_date").join(ids, "event_id")
+        moved = moved.where("event_date <> new_date")
         days = days.unionByName(moved.select("event_date")).distinct()
     # calendar days, bounded by the calendar
     touched = [r.event_date for r in days.collect()]
-    merged = stage(upsert(read_fact_days(spark, path, touched), incoming), "fact-merged")
+    both = read_fact_days(spark, path, touched).unionByName(incoming)
+    merged = stage(latest(both), "fact-merged")
     replace_partitions(merged, path, ["event_date"], ["event_type"])
-    if events_may_move:
-        left = {r.event_date for r in merged.select("event_date").distinct().collect()}
-        gone = [Row(event_date=d.isoformat()) for d in touched if d not in left]
-        clear_partitions(spark, path, FACT, gone)
+    left = {r.event_date for r in merged.select("event_date").distinct().collect()}
+    gone = [Row(event_date=d.isoformat()) for d in touched if d not in left]
+    clear_partitions(spark, path, gone)
     return touched

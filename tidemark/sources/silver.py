@@ -14,6 +14,8 @@ from tidemark.functions.keys import check_hour, parse_day
 from tidemark.operators.silver import dedupe, row_kind
 from tidemark.schemas import (
     HOUR_COLUMNS,
+    QUARANTINE,
+    RAW_TEXT,
     SILVER,
     SILVER_REQUIRED,
     SILVER_WITH_SOURCE,
@@ -22,6 +24,7 @@ from tidemark.schemas import (
 from tidemark.sources.tables import (
     clear_partitions,
     list_partitions,
+    read_folders,
     read_table,
     replace_partitions,
     stage,
@@ -29,7 +32,7 @@ from tidemark.sources.tables import (
 
 @dataclass(frozen=True)
 class SilverPaths:
-    """Valid rows by event hour; unparsable and late rows by the hour file they came from."""
+    """Valid rows by event hour; bad rows by the hour file they came from; late rows by both."""
 
     events: str
     quarantine: str
@@ -59,6 +62,28 @@ def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     return read_silver(spark, root).where("event_date IS NULL")
 
 
+LATE_COLUMNS = ["event_date", *SOURCE_COLUMNS]
+
+
+def read_late(
+    spark: SparkSession, path: str, received: Sequence[Hour] = (), sent: Sequence[Hour] = ()
+) -> DataFrame:
+    """Late rows that belong to the hours ``received``, or came in the files of the hours ``sent``.
+
+    The table is partitioned by the day of the event, then by the hour file, so only the folders of
+    either are listed.
+    """
+    folders = [f"event_date={day.isoformat()}" for day in sorted(days_of(received))]
+    taken = set(folders)
+    if sent:
+        days = ",".join(sorted(day.isoformat() for day in days_of(sent)))
+        found = list_partitions(spark, f"{path}/*/source_date={{{days}}}", LATE_COLUMNS, base=path)
+        named = {f"event_date={r.event_date}/source_date={r.source_date}" for r in found}
+        folders += sorted(n for n in named if n.split("/")[0] not in taken)
+    table = read_folders(spark, path, SILVER_WITH_SOURCE, folders)
+    return table.where(in_hours(received, HOUR_COLUMNS) | in_hours(sent, SOURCE_COLUMNS))
+
+
 def write_silver(events: DataFrame, root: str) -> None:
     """Replace the event hours that ``events`` has rows for; rows without a time share one."""
     replace_partitions(events.select(*SILVER.fieldNames()), root, HOUR_COLUMNS)
@@ -81,15 +106,19 @@ def write_silver_hours(
         kind: staged.where(F.col("row_kind") == kind).drop("row_kind")
         for kind in ("own", "late", "bad")
     }
-    _replace_by_source(rows["bad"], paths.quarantine, hours)
-    _replace_by_source(rows["late"], paths.late, hours)
+    bad = rows["bad"] if RAW_TEXT in staged.columns else rows["bad"].withColumn(RAW_TEXT, F.lit(None).cast("string"))
+    replace_partitions(bad.select(*QUARANTINE.fieldNames()), paths.quarantine, SOURCE_COLUMNS)
+    _clear_stale(spark, paths.quarantine, SOURCE_COLUMNS, hours, bad)
+    replace_partitions(
+        rows["late"].select(*SILVER_WITH_SOURCE.fieldNames()), paths.late, LATE_COLUMNS
+    )
+    _clear_stale_late(spark, paths.late, hours, rows["late"])
 
     # calendar hours, not rows: bounded by the calendar
     targets = rows["late"].select(*HOUR_COLUMNS).distinct().collect()
     sent = {(r.event_date, r.event_hour) for r in targets}
     others = sorted(sent - set(hours))
-    late = read_table(spark, paths.late, SILVER_WITH_SOURCE)
-    late = late.where(in_hours([*hours, *others], HOUR_COLUMNS))
+    late = read_late(spark, paths.late, received=[*hours, *others])
     if late.isEmpty():
         content = rows["own"].select(*SILVER.fieldNames())
     else:
@@ -98,24 +127,31 @@ def write_silver_hours(
         picked = [p.select(*SILVER.fieldNames()) for p in parts]
         content = stage(dedupe(picked[0].unionByName(picked[1]).unionByName(picked[2])), "merged")
     replace_partitions(content, paths.events, HOUR_COLUMNS)
-    _clear_stale(spark, paths.events, SILVER, HOUR_COLUMNS, hours, content)
+    _clear_stale(spark, paths.events, HOUR_COLUMNS, hours, content)
     return sorted({*hours, *others})
 
 
-def _replace_by_source(rows: DataFrame, path: str, hours: Sequence[Hour]) -> None:
-    replace_partitions(rows, path, SOURCE_COLUMNS)
-    _clear_stale(rows.sparkSession, path, SILVER_WITH_SOURCE, SOURCE_COLUMNS, hours, rows)
-
-
-def _clear_stale(spark, path, schema, columns, hours, written: DataFrame) -> None:
-    """Empty the partitions of ``hours`` that an earlier run filled and this one did not."""
+def _clear_stale(spark, path, columns, hours, written: DataFrame) -> None:
+    """Remove the partitions of ``hours`` that an earlier run filled and this one did not."""
     wanted = {(day.isoformat(), str(hour)) for day, hour in hours}
     listed = list_partitions(spark, path, columns, days_of(hours))
     found = {r for r in listed if tuple(r) in wanted}
-    if found:
-        texts = [F.col(c).cast("string").alias(c) for c in columns]
-        now: set[Row] = set(written.select(*texts).distinct().collect())
-        clear_partitions(spark, path, schema, found - now)
+    clear_partitions(spark, path, found - _partitions_of(written, columns) if found else [])
+
+
+def _clear_stale_late(spark, path, hours, written: DataFrame) -> None:
+    """The same for late rows, whose hour files lie under several event days."""
+    wanted = {(day.isoformat(), str(hour)) for day, hour in hours}
+    days = ",".join(sorted(day.isoformat() for day in days_of(hours)))
+    listed = list_partitions(spark, f"{path}/*/source_date={{{days}}}", LATE_COLUMNS, base=path)
+    found = {r for r in listed if (r.source_date, r.source_hour) in wanted}
+    clear_partitions(spark, path, found - _partitions_of(written, LATE_COLUMNS) if found else [])
+
+
+def _partitions_of(written: DataFrame, columns: Sequence[str]) -> set[Row]:
+    """Calendar values only."""
+    texts = [F.col(c).cast("string").alias(c) for c in columns]
+    return set(written.select(*texts).distinct().collect())
 
 
 def loaded_hours(spark: SparkSession, table: str, hours: Sequence[Hour]) -> set[Hour]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import scratch_path
+from tidemark.session import file_system, scratch_path
 
 
 def _day_folders(path: str, column: str, days: Iterable[date]) -> str:
@@ -29,19 +29,36 @@ def read_table(
     With ``day_column``, the first partition column, only the folders of ``days`` are listed,
     which keeps a small job on a large table from listing all of it.
     """
-    folders = path
-    if day_column:
-        if not days:
-            return spark.createDataFrame([], schema)
-        folders = _day_folders(path, day_column, days)
+    if not day_column:
+        return _read(spark, path, schema, path)
+    if not days:
+        return spark.createDataFrame([], schema)
+    return _read(spark, path, schema, _day_folders(path, day_column, days))
+
+
+def _read(spark: SparkSession, path: str, schema: StructType, *folders: str) -> DataFrame:
     try:
-        return spark.read.schema(schema).option("basePath", path).parquet(folders)
+        return spark.read.schema(schema).option("basePath", path).parquet(*folders)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def read_folders(
+    spark: SparkSession, path: str, schema: StructType, folders: Iterable[str]
+) -> DataFrame:
+    """Those of the partition folders, named relative to ``path``, that exist."""
+    present = []
+    for folder in folders:
+        fs, at = file_system(spark, f"{path}/{folder}")
+        if fs.exists(at):
+            present.append(f"{path}/{folder}")
+    if not present:
+        return spark.createDataFrame([], schema)
+    return _read(spark, path, schema, *present)
+
+
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write to the shared scratch folder and read back, so that ``df`` is computed once."""
     path = scratch_path(df.sparkSession, name)
@@ -71,7 +88,22 @@ def replace_partitions(
 def replace_table(
     df: DataFrame, path: str, columns: Sequence[str] = (), sort_by: Sequence[str] = ()
 ) -> None:
-    """Replace the whole table."""
+    """Replace the whole table.
+
+    The rows are written beside the table first and take its place by renaming, so a write that
+    fails leaves the table as it was, and ``df`` may read the table it replaces. A driver lost between
+    the two renames leaves the old table beside; the next call puts it back before anything else.
+    """
+    spark = df.sparkSession
+    fresh, old = f"{path}__new", f"{path}__old"
+    fs, at = file_system(spark, path)
+    _, fresh_at = file_system(spark, fresh)
+    _, old_at = file_system(spark, old)
+    if fs.exists(old_at):
+        if fs.exists(at):
+            fs.delete(old_at, True)
+        else:
+            fs.rename(old_at, at)
     rows = df.hint("rebalance", *columns) if columns else df
     if sort_by:
         rows = rows.sortWithinPartitions(*columns, *sort_by)
@@ -79,13 +111,21 @@ def replace_table(
         rows.write.partitionBy(*columns)
         .option("partitionOverwriteMode", "static")
         .mode("overwrite")
-        .parquet(path)
+        .parquet(fresh)
     )
+    had = fs.exists(at)
+    if had and not fs.rename(at, old_at) or not fs.rename(fresh_at, at):
+        raise OSError(f"cannot put the new table in place at {path}")
+    if had:
+        fs.delete(old_at, True)
+
 
+def read_mart(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A table partitioned by date_key, with that column back in its declared type.
 
-def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    """A table partitioned by date_key, with that column back in its declared type."""
-    mart = spark.read.parquet(path)
+    With its ``schema`` also one without rows can be read, as a day without stars leaves it.
+    """
+    mart = read_table(spark, path, schema) if schema else spark.read.parquet(path)
     return mart.withColumn("date_key", F.col("date_key").cast("bigint"))
 
 
@@ -95,15 +135,20 @@ def save_as_table(df: DataFrame, name: str, path: str, columns: Sequence[str] =
 
 
 def list_partitions(
-    spark: SparkSession, path: str, columns: Sequence[str], days: Iterable[date] = ()
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    days: Iterable[date] = (),
+    base: str | None = None,
 ) -> set[Row]:
     """Partition values on disk, as text, from a file listing; no file is opened.
 
-    ``days`` narrows the listing to those values of the first column.
+    ``days`` narrows the listing to those values of the first column. ``path`` may be a pattern of
+    folders below ``base``.
     """
     folders = _day_folders(path, columns[0], days) if days else path
     try:
-        files = spark.read.format("binaryFile").option("basePath", path).load(folders)
+        files = spark.read.format("binaryFile").option("basePath", base or path).load(folders)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -114,11 +159,12 @@ def list_partitions(
     return set(values.distinct().collect())
 
 
-def clear_partitions(
-    spark: SparkSession, path: str, schema: StructType, partitions: Iterable[Row]
-) -> None:
-    """Leave these partitions without rows. A dynamic overwrite cannot, having no row for them."""
+def clear_partitions(spark: SparkSession, path: str, partitions: Iterable[Row]) -> None:
+    """Leave these partitions without rows. A dynamic overwrite cannot, having no row for them.
+
+    Folders are removed through the file system; no Spark job is needed.
+    """
     for values in partitions:
         leaf = "/".join(f"{c}={v}" for c, v in values.asDict().items())
-        kept = StructType([f for f in schema.fields if f.name not in values.asDict()])
-        spark.createDataFrame([], kept).write.mode("overwrite").parquet(f"{path}/{leaf}")
+        fs, at = file_system(spark, f"{path}/{leaf}")
+        fs.delete(at, True)
