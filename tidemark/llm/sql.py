@@ -49,3 +49,54 @@ SELECT d.doc_id, coalesce(k.text, '') AS text, len(d.lines) AS n_lines,
        (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_dropped
 FROM docs d LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLE_SQL["op7_quality_rules"] = r"""
+WITH docs AS (
+  SELECT doc_id, source, text, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+places AS (
+  SELECT doc_id, generate_subscripts(words, 1) AS place, words FROM docs WHERE len(words) >= 8),
+windows AS (
+  SELECT doc_id, place, list_slice(words, place, place + 7) AS win
+  FROM places WHERE place + 7 <= len(words)),
+twice AS (
+  SELECT w.doc_id, w.place FROM windows w JOIN (
+    SELECT doc_id, win FROM windows GROUP BY ALL HAVING count(*) > 1) r USING (doc_id, win)),
+covered AS (
+  SELECT doc_id, count(DISTINCT place + step) AS n
+  FROM twice CROSS JOIN range(8) AS steps(step) GROUP BY doc_id),
+raw_lines AS (
+  SELECT doc_id, source, text, unnest(string_split(body, chr(10))) AS raw FROM docs),
+lines AS (
+  SELECT doc_id, source, text, raw, len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS n,
+         trim(regexp_replace(lower(raw), '[\x20\x09-\x0D]+', ' ', 'g')) AS line
+  FROM raw_lines WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')),
+repeats AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM lines GROUP BY doc_id),
+hosts AS (SELECT source, count(DISTINCT text) AS texts FROM docs GROUP BY source),
+frequent AS (
+  SELECT l.source, l.line, min(l.doc_id) AS first_id
+  FROM lines l JOIN hosts h ON l.source = h.source
+  GROUP BY l.source, l.line, h.texts
+  HAVING count(DISTINCT l.text) > 20 AND count(DISTINCT l.text) > h.texts * 0.02),
+removed AS (
+  SELECT l.doc_id, sum(l.n)::bigint AS n FROM lines l
+  JOIN frequent f ON l.source = f.source AND l.line = f.line AND l.doc_id <> f.first_id
+  GROUP BY l.doc_id),
+counts AS (
+  SELECT d.doc_id, len(d.words) AS n_words,
+         length(regexp_replace(d.body, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(d.body) - length(regexp_replace(d.body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(r.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         coalesce(g.n, 0) AS removed_words
+  FROM docs d LEFT JOIN repeats r USING (doc_id) LEFT JOIN covered c USING (doc_id)
+  LEFT JOIN removed g USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         removed_words > 0 AND (n_words - removed_words < 20
+           OR n_words - removed_words < n_words * 0.2) AS depleted
+  FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT depleted AS kept, removed_words
+FROM judged
+"""
