@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from tidemark.plans.model_tests import MODEL_TESTS
-
 # Shared views.
 _VIEWS = """
 WITH env AS (
@@ -296,48 +294,97 @@ _DIM_DATE = (
 )
 
 
+# The tests declared for each model, written out here so that the code is checked against them.
+_DECLARED = {
+    "stg_events": {"not_null": "event_id event_type created_at", "unique": "event_id"},
+    "repo_languages": {"not_null": "repo_id language", "unique": "repo_id"},
+    "dim_event_type": {
+        "not_null": "event_type",
+        "unique": "event_type",
+        "accepted_values": "event_type",
+    },
+    "dim_repo": {"not_null": "repo_sk repo_id repo_name", "unique": "repo_sk repo_id"},
+    "dim_actor": {"not_null": "actor_sk actor_id actor_login", "unique": "actor_sk actor_id"},
+    "dim_date": {
+        "not_null": "date_key full_date",
+        "unique": "date_key full_date",
+        "accepted_range": "month:1:12 day_of_week:1:7",
+    },
+    "fact_events": {
+        "not_null": "event_id repo_sk actor_sk date_key event_type",
+        "unique": "event_id",
+        "relationships": (
+            "repo_sk:dim_repo actor_sk:dim_actor date_key:dim_date event_type:dim_event_type"
+        ),
+    },
+    "trending_repos_daily": {
+        "not_null": "date_key repo_sk repo_name stars daily_rank",
+        "unique_combination": "date_key,repo_sk",
+        "relationships": "date_key:dim_date repo_sk:dim_repo",
+    },
+    "language_momentum": {
+        "not_null": "date_key language event_count active_repos daily_rank",
+        "unique_combination": "date_key,language",
+        "relationships": "date_key:dim_date",
+    },
+    "contributor_leaderboard": {
+        "not_null": "date_key actor_sk actor_login contributions daily_rank",
+        "unique_combination": "date_key,actor_sk",
+        "relationships": "date_key:dim_date actor_sk:dim_actor",
+    },
+}
+
+
+def _failing(test: str, table: str, column: str, tables: dict[str, str]) -> tuple[str, str]:
+    """(column name in the result, rows that break the test)."""
+    name, *more = column.split(":")
+    if test == "not_null":
+        return name, f"SELECT 1 FROM {table} WHERE {name} IS NULL"
+    if test == "unique":
+        return name, (
+            f"SELECT {name} FROM {table} WHERE {name} IS NOT NULL GROUP BY {name} HAVING count(*) > 1"
+        )
+    if test == "unique_combination":
+        return name, f"SELECT {name} FROM {table} GROUP BY {name} HAVING count(*) > 1"
+    if test == "accepted_values":
+        return name, f"SELECT 1 FROM {table} WHERE {name} NOT IN ({_DOMAIN})"
+    if test == "accepted_range":
+        return name, f"SELECT 1 FROM {table} WHERE {name} NOT BETWEEN {more[0]} AND {more[1]}"
+    known = f"SELECT {name} FROM {tables[more[0]]}"
+    return name, f"SELECT DISTINCT {name} FROM {table} WHERE {name} NOT IN ({known})"
+
+
 def _model_tests() -> str:
-    """Every declared test as a failure count."""
+    """Every declared test as a failure count, over models of which some are broken on purpose."""
     tables = {
-        "stg_events": "stg",
-        "repo_languages": "seed",
-        "dim_event_type": "(SELECT DISTINCT event_type FROM stg)",
-        "dim_repo": "dim_repo",
-        "dim_actor": "dim_actor",
-        "dim_date": f"({_DIM_DATE})",
-        "fact_events": "fact",
+        "stg_events": "parted",
+        "repo_languages": (
+            "(SELECT * FROM seed UNION ALL SELECT * FROM seed WHERE repo_id % 5 = 0)"
+        ),
+        "dim_event_type": (
+            "(SELECT event_type FROM events UNION SELECT event_type FROM stg)"
+        ),
+        "dim_repo": "(SELECT * FROM dim_repo WHERE repo_id % 7 <> 3)",
+        "dim_actor": "(SELECT * FROM dim_actor WHERE actor_id % 7 <> 3)",
+        "dim_date": f"(SELECT * FROM ({_DIM_DATE}) WHERE full_date < date '2024-01-20')",
+        "fact_events": (
+            "(SELECT event_id, md5(cast(repo_id AS varchar)) AS repo_sk, "
+            "md5(coalesce(cast(actor_id AS varchar), '_dbt_utils_surrogate_key_null_')) AS actor_sk, "
+            "cast(strftime(event_date, '%Y%m%d') AS bigint) AS date_key, event_type FROM parted)"
+        ),
         "trending_repos_daily": "trending",
         "language_momentum": "momentum",
         "contributor_leaderboard": "leaderboard",
     }
     counts = []
-
-    def add(model: str, test: str, column: str, rows: str) -> None:
-        counts.append(
-            f"SELECT '{model}' AS model, '{test}' AS test, '{column}' AS column_name, "
-            f"count(*) AS failures FROM ({rows})"
-        )
-
-    for model, tests in MODEL_TESTS.items():
-        table = tables[model]
-        for c in tests.not_null:
-            add(model, "not_null", c, f"SELECT 1 FROM {table} WHERE {c} IS NULL")
-        for c in tests.unique:
-            rows = f"SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c}"
-            add(model, "unique", c, f"{rows} HAVING count(*) > 1")
-        if tests.unique_combination:
-            keys = ",".join(tests.unique_combination)
-            rows = f"SELECT {keys} FROM {table} GROUP BY {keys} HAVING count(*) > 1"
-            add(model, "unique_combination", keys, rows)
-        for c in tests.accepted_values:
-            add(model, "accepted_values", c, f"SELECT 1 FROM {table} WHERE {c} NOT IN ({_DOMAIN})")
-        for c, (low, high) in tests.accepted_range.items():
-            rows = f"SELECT 1 FROM {table} WHERE {c} NOT BETWEEN {low} AND {high}"
-            add(model, "accepted_range", c, rows)
-        for fk, parent in tests.relationships.items():
-            known = f"SELECT {fk} FROM {tables[parent]}"
-            rows = f"SELECT DISTINCT {fk} FROM {table} WHERE {fk} NOT IN ({known})"
-            add(model, "relationships", fk, rows)
+    for model, tests in _DECLARED.items():
+        for test, columns in tests.items():
+            for column in columns.split():
+                name, rows = _failing(test, tables[model], column, tables)
+                counts.append(
+                    f"SELECT '{model}' AS model, '{test}' AS test, '{name}' AS column_name, "
+                    f"count(*) AS failures FROM ({rows})"
+                )
     return " UNION ALL ".join(counts)
 
 

@@ -638,16 +638,22 @@ def dq_unique_combination(spark, sf_dir):
 
 @query
 def dq_model_tests(spark, sf_dir):
-    """Every test declared on the seed, the staging view, the star schema and the marts."""
+    """Every test declared on the seed, the staging view, the star schema and the marts.
+
+    Staging and fact come from the dirty events, and the seed and the dimensions have a row too many or
+    too few, so that every kind of test has something to find.
+    """
     star = Star(spark, sf_dir)
+    dirty = silver.stg_events(silver.typed(_dirty_flat(spark, sf_dir)))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type")
     models = {
-        "stg_events": star.stg,
-        "repo_languages": star.seed,
-        "dim_event_type": dims.dim_event_type(star.stg),
-        "dim_repo": star.repo,
-        "dim_actor": star.actor,
-        "dim_date": dims.dim_date(spark),
-        "fact_events": star.fact,
+        "stg_events": dirty,
+        "repo_languages": star.seed.unionByName(star.seed.where("repo_id % 5 = 0")),
+        "dim_event_type": dims.dim_event_type(events.unionByName(star.stg.select("event_type"))),
+        "dim_repo": star.repo.where("repo_id % 7 <> 3"),
+        "dim_actor": star.actor.where("actor_id % 7 <> 3"),
+        "dim_date": dims.dim_date(spark, "2024-01-01", "2024-01-20"),
+        "fact_events": fact.fact_events(dirty),
         "trending_repos_daily": star.trending(),
         "language_momentum": star.momentum(),
         "contributor_leaderboard": star.leaderboard(),
