@@ -1,0 +1,90 @@
+"""The grammar clause by clause, what is learned, and accuracy on texts kept apart."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm.cases import DOCUMENTS, EDGE_ROWS, row
+from tidemark.llm import toxicity
+from tidemark.llm.queries import op1_toxicity
+from tidemark.llm.toxicity import Grammar, Walker
+
+GRAMMAR = Grammar({"fool": 2.0}, {"scoun": 3.0}, (-2.0, 2.0, 0.5))
+
+
+@pytest.mark.parametrize(
+    ("clause", "score"),
+    [
+        ("a fool came by", 2.0),
+        ("you are a fool", 3.0),
+        ("a fool like you", 3.0),
+        ("he is not a fool", 0.5),
+        ("not one of us four is a fool", 2.0),
+        ("she said a fool came", 1.0),
+        ("she said not a fool", 0.25),
+        ("a scoundrel and a fool", 5.0),
+        ("i will kill you", 3.0),
+        ("i will kill time", 0.5),
+        ("nobody is foolish here", 0.0),
+    ],
+)
+def test_clauses(clause, score):
+    assert Walker(GRAMMAR).clause(clause) == pytest.approx(score)
+
+
+def test_clauses_are_scored_apart():
+    walker = Walker(GRAMMAR)
+    _, total, best = walker.features("You came. A FOOL left, not the scoundrel!")
+    assert best == pytest.approx(2.0)
+    assert total == pytest.approx(math.log1p(2.0 + 0.75))
+    assert walker.features("foolish people befooled") == (1.0, 0.0, 0.0)
+    assert walker.features("") == walker.features(None) == (1.0, 0.0, 0.0)
+
+
+def test_composed_table_is_closed():
+    table, addressed = toxicity.composed()
+    states = {s for s, _ in table}
+    assert {after for after, _ in table.values()} <= states
+    assert len(table) == 6 * len(states) == 6 * len(addressed)
+
+
+def _corpus(spark, n=240):
+    rows = []
+    for i in range(n):
+        filler = " ".join(f"w{(i * 7 + k) % 50}" for k in range(30))
+        bad = f". zorkhead{i % 5} you are, " if i % 3 == 0 else ". plain words, "
+        rows.append(row(i, filler + bad + filler))
+    return spark.createDataFrame(rows, DOCUMENTS)
+
+
+def test_learns_beginnings_and_judges_unseen_texts(spark):
+    docs = _corpus(spark)
+    labels = spark.createDataFrame(
+        [(i, int(i % 3 == 0)) for i in range(0, 240, 2)], "doc_id long, toxic int"
+    )
+    grammar = toxicity.fit(docs, labels)
+    hits = {*grammar.words, *grammar.beginnings}
+    assert any("zorkhead".startswith(h[:4]) for h in hits)
+    scored = toxicity.score(docs, grammar).where("doc_id % 2 = 1").collect()
+    assert all((r.score > 0.7) == (r.doc_id % 3 == 0) for r in scored)
+
+
+def test_edge_rows_and_labels(spark, edge, nothing):
+    labels = spark.createDataFrame(
+        [(None, 1), (1, None), (2, 0), (2, 1), (9, 7)], "doc_id long, toxic int"
+    )
+    grammar = toxicity.fit(edge, labels)
+    got = toxicity.score(edge, grammar).collect()
+    assert len(got) == len(EDGE_ROWS) and {r.score for r in got} == {0.5}
+    assert toxicity.score(nothing, toxicity.fit(nothing, labels)).count() == 0
+    one = spark.createDataFrame([(6, 1), (8, 1), (10, 1)], labels.schema)
+    scores = {r.score for r in toxicity.score(edge, toxicity.fit(edge, one)).collect()}
+    assert len(scores) == 1 and 0.5 < scores.pop() < 1
+
+
+def test_query(spark, small):
+    df = op1_toxicity(spark, small)
+    assert df.columns == ["doc_id", "held_out", "score", "predicted"]
+    ranks = df.agg(F.min("score"), F.max("score"), F.count("*")).first()
+    assert 0 <= ranks[0] <= ranks[1] <= 1 and ranks[2] == 200
