@@ -28,6 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import simhash
 from tidemark.llm.common import map_rows, picked, staged
 from tidemark.llm.learning import fit_logistic, sampled, sigmoid
 
@@ -214,6 +215,8 @@ def fit(
     The driver gets at most ``LEXICON`` words and three numbers for each sampled text of the third part.
     """
     known = staged(sampled(df, labels, label, learn, sample, doc_id, text), "sample")
+    # many near copies of one text would make any word of theirs look telling
+    known = staged(simhash.one_of_each(known), "sample")
     third = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0
     grammar = Grammar(*lexicon(known.where(~third)))
     counts = dict(known.groupBy("label").count().collect())
