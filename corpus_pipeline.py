@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, line_dedup, mixing, quality_rules, simhash
 from tidemark.llm.common import documents, staged
-from tidemark.llm.queries import SCALE, TARGETS, WORD_BPE, domain_labels
+from tidemark.llm.queries import SCALE, TILTS, WORD_BPE, domain_labels
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +32,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated or left out so that the domains' tokens come near the target weights."""
-    model = mixing.fit(docs, domain_labels(spark, sf_dir), "domain", list(TARGETS))
-    return mixing.mixed(docs, model, TARGETS, SCALE)
+    """Documents are repeated or left out so that the domains' tokens match their targets."""
+    model = mixing.fit(docs, domain_labels(spark, sf_dir), "domain", list(TILTS))
+    return mixing.mixed(docs, model, TILTS, SCALE, tilt=True)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -230,14 +230,23 @@ def descend(totals: DataFrame, targets: np.ndarray) -> Descent:
 
 
 def solved(
-    df: DataFrame, model: Domains, weights: Mapping[str, float], scale: float, doc_id: str, text: str
+    df: DataFrame,
+    model: Domains,
+    weights: Mapping[str, float],
+    scale: float,
+    tilt: bool,
+    doc_id: str,
+    text: str,
 ) -> tuple[DataFrame, Descent]:
     """The memberships, stored, and the steps that fit their rates."""
     placed = staged(memberships(df, model, doc_id, text), "memberships")
     totals = staged(placed.groupBy("posterior").agg(F.sum("n_tokens").alias("tokens")), "posteriors")
     everything = totals.agg(F.sum("tokens").alias("n")).first().n or 0
     share = np.array([weights.get(n, 0.0) for n in model.names], float)
-    return placed, descend(totals, share / share.sum() * everything * scale)
+    if tilt:
+        share *= _sums(totals, lambda tokens, posterior: tokens @ posterior, len(share))
+    share /= max(share.sum(), 1e-300)
+    return placed, descend(totals, share * everything * scale)
 
 
 def rates(
@@ -245,12 +254,14 @@ def rates(
     model: Domains,
     weights: Mapping[str, float],
     scale: float = 1.0,
+    tilt: bool = False,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """(doc_id, n_tokens, posterior, rate) of every row. The targets are ``weights`` (which are brought to
-    sum 1) of ``scale`` times all tokens; the posterior is in the order of ``model.names``."""
-    placed, descent = solved(df, model, weights, scale, doc_id, text)
+    sum 1) of ``scale`` times all tokens; with ``tilt`` the weights multiply the shares that the domains are
+    expected to have now. The posterior is in the order of ``model.names``."""
+    placed, descent = solved(df, model, weights, scale, tilt, doc_id, text)
     schema = StructType([*placed.schema.fields, StructField("rate", DoubleType())])
     count, names = len(model.names), schema.names
 
@@ -268,12 +279,13 @@ def mixed(
     model: Domains,
     weights: Mapping[str, float],
     scale: float = 1.0,
+    tilt: bool = False,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """The rows of ``df``, each as often as its rate says: the whole part, and once more if a hash of the
     row is below the rest, so that expected tokens match the targets."""
-    _, descent = solved(df, model, weights, scale, doc_id, text)
+    _, descent = solved(df, model, weights, scale, tilt, doc_id, text)
     numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     at = [f"c{i}" for i in range(len(df.columns))]
     own = at[df.columns.index(text)]
