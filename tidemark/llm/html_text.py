@@ -62,6 +62,8 @@ CLOSES = {
     "tfoot": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
 }
 SCOPE = {"table", "td", "th", "caption"}
+TABLE_PARTS = {"table", "tr", "tbody", "thead", "tfoot"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z>][^>]*(?:>|\Z)|</>"
@@ -114,10 +116,10 @@ class Builder:
         if name in CLOSES:
             names, stops = CLOSES[name]
             self.close(names, stops)
-        if name == "tr" or name in ("tbody", "thead", "tfoot"):
+        if name in TABLE_PARTS - {"table"}:
             self.close({"td", "th"}, {"table"})
             self.close({"tr"}, {"table"})
-        if name.startswith("h") and name[1:] in "123456" and self.stack[-1].name[:1] == "h" and self.stack[-1].name[1:] in tuple("123456"):
+        if name in HEADINGS and self.stack[-1].name in HEADINGS:
             self.stack.pop()
         if name in ("td", "th") and self.stack[-1].name in ("table", "tbody", "thead", "tfoot"):
             self.start("tr", {})
@@ -131,7 +133,8 @@ class Builder:
         if name == "br":
             self.start("br", {})
         elif name not in ("html", "body") and name not in VOID:
-            self.close({name}, SCOPE - {name} if name not in ("table", "tr", "tbody", "thead", "tfoot") else {"table"} - {name})
+            stops = {"table"} if name in TABLE_PARTS else SCOPE
+            self.close({name}, stops - {name})
 
 
 def parse(source: str) -> Node:
