@@ -68,8 +68,3 @@ def incremental_slice(
         mark = watermark(fact).select(F.unix_micros("watermark")).first()[0]
         since = None if mark is None else _EPOCH + timedelta(microseconds=mark) - lookback
     return between(events, since, until)
-
-
-def upsert(target: DataFrame, incoming: DataFrame, key: str = "event_id") -> DataFrame:
-    """Target rows with no incoming namesake, plus the incoming rows."""
-    return target.join(incoming.select(key), key, "left_anti").unionByName(incoming)

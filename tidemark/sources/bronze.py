@@ -82,7 +82,8 @@ def land_bronze(lines: DataFrame, root: str) -> None:
     """
     spark = lines.sparkSession
     # calendar days of what is to be landed; only their folders are listed
-    days = {r.source_date for r in lines.select("source_date").distinct().collect()}
+    named = lines.select("source_date").distinct().where("source_date IS NOT NULL")
+    days = {r.source_date for r in named.collect()}
     landed = list_partitions(spark, root, ["date", "hour"], days) if days else set()
     if landed:
         # at most 24 rows for each of those days
