@@ -21,7 +21,7 @@ from tidemark.plans.lake import Lake
 from tidemark.plans.model_tests import require_passing
 from tidemark.schemas import MARTS
 from tidemark.session import scratch_scope, shuffles_for
-from tidemark.sources.fact import read_fact, read_fact_days, write_fact
+from tidemark.sources.fact import latest, read_fact, read_fact_days, write_fact
 from tidemark.sources.seed import read_seed
 from tidemark.sources.silver import read_silver, read_silver_hours
 from tidemark.sources.tables import (
@@ -88,7 +88,7 @@ def _refresh(
     require_passing({"stg_events": dedupe(stg)})
 
     days = write_fact(
-        spark, lake.gold("fact_events"), fact.fact_events(stg), full_refresh=full_refresh
+        spark, lake.gold("fact_events"), latest(fact.fact_events(stg)), full_refresh=full_refresh
     )
     _refresh_dims(spark, lake, stg, full_refresh)
     touched = read_fact_days(spark, lake.gold("fact_events"), days)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
+from tidemark.operators.quality import unique
 from tidemark.schemas import FACT_COLUMNS
 from tidemark.sources.tables import (
     clear_partitions,
@@ -55,15 +56,19 @@ def write_fact(
 ) -> list[date]:
     """Upsert ``incoming`` on event_id, rewriting only the days it touches; returns those days.
 
-    The fact has one row per event_id over all days. Where an id comes with several times, in one call
-    or in several, the latest stays, so calls in any order end in the same table. ``events_may_move``
+    The fact has one row per event_id over all days. Incoming rows that repeat an id are refused (see
+    ``latest``). Where an id comes again in another call, the later row stays, so calls in any order end in
+    the same table. ``events_may_move``
     looks for incoming ids on other days, which reads two columns of the target but shuffles neither
     side's events where the ids are few enough to broadcast. Turn that off where an id is known never to
     come on two days. The replacement is staged before any target file goes.
     """
     if set(incoming.columns) != set(FACT_COLUMNS):
         raise ValueError(f"fact columns changed: {sorted(set(incoming.columns) ^ set(FACT_COLUMNS))}")
-    incoming = stage(latest(incoming.select(*FACT_COLUMNS)), "fact-incoming")
+    incoming = stage(incoming.select(*FACT_COLUMNS), "fact-incoming")
+    repeated = unique(incoming, "event_id").take(1)
+    if repeated:
+        raise ValueError(f"incoming rows repeat event_id {repeated[0]['event_id']}")
     if full_refresh:
         replace_table(incoming, path, ["event_date"], ["event_type"])
         return [r.event_date for r in incoming.select("event_date").distinct().collect()]
