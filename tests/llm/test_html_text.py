@@ -87,3 +87,24 @@ def test_edge_rows(spark):
     got = html_text.extract_text(df).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(1, None), (None, "a"), (2, ""), (2, "")]))
     assert html_text.extract_text(df.limit(0)).count() == 0
+
+
+SEEN = {
+    "<html><head><title>t</title><body><p>text": "text",
+    "<head><meta charset=utf-8> <p>one<p>two": "one\n\ntwo",
+    "<head><title>t</title>\nbare text <b>on": "bare text on",
+    "<head><style>p{}</style><template><p>no</template><script>x</script></head><body>yes": "yes",
+    "<html><head></body>late": "late",
+    "a<head><title>t</title>b": "ab",
+    "<p>see <svg viewBox='0 0 9 9'>no<g><path d='M0'/><title>no</title><text>A</text><text x=1>B</text></g>"
+    "<defs><text>no</text></defs></svg> here": "see\nA\nB\nhere",
+    "<svg><path d='M0'><p>broken out": "broken out",
+    "so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>.": "so x=2.",
+    "<form><input name=q value=word> <input type=submit value='Go &amp; see'> <input type=BUTTON value=b>"
+    "<input type=hidden value=no><input type=checkbox value=no></form>": "word Go & see b",
+}
+
+
+@pytest.mark.parametrize("source", list(SEEN))
+def test_what_browsers_show(source):
+    assert extract(source) == SEEN[source]

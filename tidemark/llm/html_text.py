@@ -1,13 +1,16 @@
 """HTML to text by layout: a tree builder with implied tags, visibility rules, and a renderer.
 
 The tree builder closes what HTML lets authors leave open (paragraphs, list items, table parts, options),
-opens what they may leave out (table rows), ignores end tags without a start, and never lets an end tag
+opens what they may leave out (table rows), ends a head at the first tag or text that may not stand there,
+ignores end tags without a start, and never lets an end tag
 inside a table cell close what lies outside it. Below ``MAX_DEPTH`` nested elements, further ones become
 children of the element at that depth, as in browsers.
 
 What is not shown gives no text: head, scripts, styles, templates, comments, elements with ``hidden``, with
-``display:none`` or ``visibility:hidden`` in their style, and what ``noscript`` holds. Details are shown
-whether open or not. All other text is: navigation and footers too.
+``display:none`` or ``visibility:hidden`` in their style, and what ``noscript`` and other elements of
+``UNSEEN`` hold. Details are shown whether open or not. All other text is: navigation and footers too, the
+values of buttons and text inputs, formulas, and the text elements of drawings, each on a line of its own
+(not their definitions, descriptions and annotations).
 
 Blocks stand on lines of their own, those with a margin with an empty line around them. List items get
 "- " or their number and a hanging indent; white space runs to one space but in ``pre``; a table has one
@@ -39,7 +42,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
 UNSEEN = set(
     "head script style template title noscript iframe noembed noframes datalist canvas audio video object "
-    "svg math area base link meta param source track col colgroup".split()
+    "area base link meta param source track col colgroup".split()
 )
 MARGIN = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr fieldset form".split())
 BLOCK = MARGIN | set(
@@ -64,6 +67,20 @@ CLOSES = {
 SCOPE = {"table", "td", "th", "caption"}
 TABLE_PARTS = {"table", "tr", "tbody", "thead", "tfoot"}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+IN_HEAD = set("base basefont bgsound link meta title noframes noscript script style template".split())
+# within drawings and formulas: what is not shown, what holds HTML, and tags that end them
+FOREIGN = {"svg", "math"}
+FOREIGN_UNSEEN = {
+    "svg": set("defs desc metadata symbol clippath mask pattern marker".split()),
+    "math": {"annotation", "annotation-xml"},
+}
+HTML_INSIDE = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+ENDS_FOREIGN = BLOCK & set(
+    "blockquote body center dd dir div dl dt h1 h2 h3 h4 h5 h6 hr li menu ol p pre table ul".split()
+) | set("b big br code em embed i img nobr s small span strike strong sub sup tt u var".split())
+# inputs that show their value
+SHOWN_INPUTS = set("submit button reset text search email url tel number".split())
+DRAWN = "\x00drawn"
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z>][^>]*(?:>|\Z)|</>"
@@ -98,9 +115,25 @@ class Builder:
         self.stack = [self.root]
 
     def text(self, text: str) -> None:
-        if text:
+        if self.stack[-1].name == "head" and text.strip(" \t\n\r\f"):
+            self.stack.pop()
+        # drawings show the text of text elements only
+        if text and self.stack[-1].name != "svg" and not (self.stack[-1].name == "g" and self.foreign()):
             self.stack[-1].children.append(text)
 
+    def foreign(self) -> str | None:
+        """svg or math, if the next element belongs to one."""
+        for node in reversed(self.stack):
+            if node.name in FOREIGN:
+                return node.name
+            if node.name in HTML_INSIDE:
+                return None
+        return None
+
+    def begun(self) -> bool:
+        """Whether anything but space has come."""
+        return any(not isinstance(c, str) or c.strip() for c in self.root.children)
+
     def close(self, names: set[str], stops: set[str]) -> None:
         """Close the nearest open element of ``names``, unless one of ``stops`` stands between."""
         for i in range(len(self.stack) - 1, 0, -1):
@@ -111,6 +144,12 @@ class Builder:
                 return
 
     def start(self, name: str, attributes: dict[str, str]) -> Node:
+        if self.stack[-1].name == "head" and name not in IN_HEAD:
+            self.stack.pop()
+        if foreign := self.foreign():
+            if name not in ENDS_FOREIGN:
+                return self.start_foreign(name, attributes, foreign)
+            self.close({foreign}, set())
         if name in CLOSES_P:
             self.close({"p"}, SCOPE | {"button", "object"})
         if name in CLOSES:
@@ -129,7 +168,20 @@ class Builder:
             self.stack.append(node)
         return node
 
+    def start_foreign(self, name: str, attributes: dict[str, str], foreign: str) -> Node:
+        if name in FOREIGN_UNSEEN[foreign]:
+            attributes = {**attributes, "hidden": ""}
+        if name == "text" and foreign == "svg":
+            attributes = {**attributes, DRAWN: ""}
+        node = Node(name, attributes)
+        self.stack[-1].children.append(node)
+        if len(self.stack) < MAX_DEPTH:
+            self.stack.append(node)
+        return node
+
     def end(self, name: str) -> None:
+        if name in ("html", "body") and self.stack[-1].name == "head":
+            self.stack.pop()
         if name == "br":
             self.start("br", {})
         elif name not in ("html", "body") and name not in VOID:
@@ -152,10 +204,17 @@ def parse(source: str) -> Node:
         if found["end"] or found["end2"]:
             builder.end(name)
             continue
-        if name in ("html", "body"):
+        if name in ("html", "body") or name == "head" and builder.begun():
+            if name == "body" and builder.stack[-1].name == "head":
+                builder.stack.pop()
             continue
-        attributes = attributes_of(found["attributes"] or found["attributes2"] or "")
-        if name in RAW:
+        inside = found["attributes"] or found["attributes2"] or ""
+        attributes = attributes_of(inside)
+        if inside.endswith("/") and (name in FOREIGN or builder.foreign() and name not in ENDS_FOREIGN):
+            node = builder.start(name, attributes)
+            if builder.stack[-1] is node:
+                builder.stack.pop()
+        elif name in RAW:
             node = builder.start(name, attributes)
             if builder.stack[-1] is node:
                 builder.stack.pop()
@@ -172,7 +231,7 @@ def parse(source: str) -> Node:
 def visible(node: Node) -> bool:
     if node.name in UNSEEN or "hidden" in node.attributes:
         return False
-    if node.name == "input":
+    if node.name == "input" and node.attributes.get("type", "text").lower() not in SHOWN_INPUTS:
         return False
     return not _HIDDEN.search(node.attributes.get("style", ""))
 
@@ -243,6 +302,8 @@ def render(node: Node, page: Page, keep: bool = False, inside_list: bool = False
             continue
         if name == "br":
             page.inline.append(BREAK)
+        elif name == "input":
+            page.text(child.attributes.get("value", ""), keep)
         elif name == "table":
             page.block(True)
             page.put(table(child))
@@ -255,7 +316,7 @@ def render(node: Node, page: Page, keep: bool = False, inside_list: bool = False
             page.block(name in MARGIN)
             page.put(indented(lines_of(child), "  "))
             page.block(name in MARGIN)
-        elif name in BLOCK:
+        elif name in BLOCK or DRAWN in child.attributes:
             page.block(name in MARGIN)
             render(child, page, keep or name == "pre", inside_list)
             page.block(name in MARGIN)
