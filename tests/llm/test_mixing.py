@@ -85,3 +85,28 @@ def test_no_labels_or_strange_ones(spark, corpus):
     model = mixing.fit(corpus, labels, "domain", NAMES)
     placed = mixing.memberships(corpus, model).agg(F.max(F.array_max("posterior"))).first()
     assert placed[0] <= 0.34
+
+
+def test_query_meets_fixed_targets_on_skewed_shares(spark, corpus, tmp_path):
+    """A third of the documents each are good, poor and toxic."""
+    from tidemark.llm.queries import QUERIES
+
+    corpus.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i % 3 != 1), int(i % 3 == 2)) for i in range(0, 240, 2)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = QUERIES["op2_source_mixing"](spark, str(tmp_path)).collect()
+    expected = np.array([r.n_tokens * r.rate for r in got]) @ np.array([r.posterior for r in got])
+    targets = np.array([0.85, 0.07, 0.08]) * 1.25 * sum(r.n_tokens for r in got)
+    np.testing.assert_allclose(expected, targets, rtol=1e-3)
+    assert all(r.rate >= 1 for r in got if r.posterior[0] >= mixing.SURE)
+
+
+def test_rounds_go_on_to_the_target_and_misses_are_told(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROUNDS", 1)
+    posterior = [[0.90, 0.06, 0.04], [0.84, 0.10, 0.06], [0.80, 0.10, 0.10], [0.1, 0.5, 0.4]]
+    totals = spark.createDataFrame([(p, 1000) for p in posterior], "posterior array<double>, tokens long")
+    met = mixing.descend(totals, np.array([2600.0, 700.0, 600.0]))
+    assert max(map(abs, met.misses)) < 0.01
+    sure = np.array(posterior)[:3]
+    bound = mixing.descend(totals, np.array([2600.0, 0.1, 0.1]), kept=0)
+    assert (bound.rates(sure) >= 1).all() and max(map(abs, bound.misses)) > 0.5
