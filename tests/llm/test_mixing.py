@@ -107,6 +107,9 @@ def test_rounds_go_on_to_the_target_and_misses_are_told(spark, monkeypatch):
     totals = spark.createDataFrame([(p, 1000) for p in posterior], "posterior array<double>, tokens long")
     met = mixing.descend(totals, np.array([2600.0, 700.0, 600.0]))
     assert max(map(abs, met.misses)) < 0.01
+    monkeypatch.setattr(mixing, "HERE_ROWS", 0)
+    spread = mixing.descend(totals.coalesce(1), np.array([2600.0, 700.0, 600.0]))
+    np.testing.assert_allclose(spread.misses, met.misses, atol=1e-6)
     sure = np.array(posterior)[:3]
     bound = mixing.descend(totals, np.array([2600.0, 0.1, 0.1]), kept=0)
     assert (bound.rates(sure) >= 1).all() and max(map(abs, bound.misses)) > 0.5

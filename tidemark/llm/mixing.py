@@ -10,9 +10,11 @@ r = 1, whose momentum starts anew where the misses grow. With ``keep``, a domain
 posterior of it is ``SURE`` or more have a rate of 1 at least, so that none is lost for a trace of another
 domain. The rounds end when every target is met to ``CLOSE``, or when 25 of them bring no progress; what is
 missed then is kept with the steps and warned of. A gradient step moves a document by its posterior alone (gradients are taken per token), so
-documents of one posterior have one rate, and the iterations run over token totals by posterior. That
-table stays distributed; a pass sends one number for each domain to the driver and none of the rates: a
-task works them out anew from the steps so far.
+documents of one posterior have one rate, and the iterations run over token totals by posterior. Three
+domains have at most 501,501 rounded posteriors however many documents there are; a table of up to
+``HERE_ROWS`` of them, counted first, is iterated over on the driver. A larger one stays distributed; a pass
+sends one number for each domain to the driver and none of the rates: a task works them out anew from the
+steps so far.
 
 Defined results: a NULL or empty text has no tokens, the posterior that no evidence gives, and a rate like
 any other. A domain without labelled texts has posterior 0 everywhere; with no labelled text at all
@@ -50,6 +52,8 @@ CLOSE = 1e-5
 ROUNDS = 25
 # Documents of the kept domain with at least this posterior are never dropped.
 SURE = 0.8
+# Posteriors the driver iterates over itself: 20 MB with three domains.
+HERE_ROWS = 600_000
 
 
 @dataclass
@@ -188,16 +192,28 @@ class Descent:
             return np.zeros(len(posterior))
         return (posterior[:, self.kept] >= SURE).astype(float)
 
-    def rates(self, posterior: np.ndarray, ahead: bool = False) -> np.ndarray:
-        """Rates of the rows of ``posterior``; ``ahead``: where the next gradient is taken."""
-        rate = look = np.ones(len(posterior))
+    def rates(self, posterior: np.ndarray, ahead: bool = False, state: list | None = None) -> np.ndarray:
+        """Rates of the rows of ``posterior``; ``ahead``: where the next gradient is taken. ``state`` is a list,
+        empty at first, that saves the steps already done for the same rows."""
+        done, rate, look = state or (0, np.ones(len(posterior)), np.ones(len(posterior)))
         least = self.least(posterior)
-        for momentum, gradient in zip(self.momenta, self.gradients):
+        for momentum, gradient in zip(self.momenta[done:], self.gradients[done:]):
             new = np.maximum(least, look - self.step * (posterior @ gradient))
             rate, look = new, np.maximum(least, new + momentum * (new - rate))
+        if state is not None:
+            state[:] = len(self.gradients), rate, look
         return look if ahead else rate
 
 
+def _here(totals: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Tokens and posteriors on the driver, if there are few enough."""
+    if not 0 < totals.count() <= HERE_ROWS:
+        return None
+    table = totals.select("tokens", "posterior").toArrow()
+    flat = np.concatenate([c.flatten().to_numpy() for c in table.column("posterior").chunks])
+    return table.column("tokens").to_numpy().astype(float), flat.reshape(table.num_rows, -1)
+
+
 def _sums(totals: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
     """Sum over all rows (tokens, posterior) of a vector that ``of`` makes of a batch of them."""
 
@@ -221,21 +237,27 @@ def descend(totals: DataFrame, targets: np.ndarray, kept: int | None = None) ->
     """Steps after which the expected tokens match ``targets``, or miss them least; ``misses`` has the
     relative miss of each target there."""
     count = len(targets)
+    here = _here(totals)
+    state = [] if here else None
+
+    def sums(of, size):
+        return of(*here) if here else _sums(totals, of, size)
+
     weight = 1 / np.maximum(targets, 1e-9 * max(1.0, targets.sum()))
 
     def square(tokens, posterior):
         return ((posterior * tokens[:, None]).T @ posterior).ravel()
 
-    matrix = _sums(totals, square, count * count).reshape(count, count)
+    matrix = sums(square, count * count).reshape(count, count)
     half = np.sqrt(weight)
     largest = float(np.linalg.eigvalsh(half[:, None] * matrix * half)[-1])
     descent = Descent(1 / largest if largest > 0 else 0.0, kept)
 
     def missed(ahead):
         def expected(tokens, posterior):
-            return (tokens * descent.rates(posterior, ahead)) @ posterior
+            return (tokens * descent.rates(posterior, ahead, state)) @ posterior
 
-        return (_sums(totals, expected, count) - targets) * weight
+        return (sums(expected, count) - targets) * weight
 
     def worst(miss):
         return float(np.abs(miss[targets > 0]).max(initial=0.0))
