@@ -16,6 +16,7 @@ from tidemark.llm import (
     line_dedup,
     mixing,
     quality_rules,
+    secret_scan,
     simhash,
     token_counts,
     toxicity,
@@ -120,3 +121,16 @@ def op9_simhash(spark, sf_dir):
 @query
 def op10_fingerprints(spark, sf_dir):
     return fingerprint.with_next(documents(spark, sf_dir))
+
+
+@query
+def op11_secret_scan(spark, sf_dir):
+    base = [rule.kind for rule in secret_scan.BASE]
+    found = secret_scan.find_secrets(documents(spark, sf_dir))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[F.size(secret_scan.of_kinds(spans, [k])).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(secret_scan.listed(secret_scan.of_kinds(spans, base)), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"),
+    )
