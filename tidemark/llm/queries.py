@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     bpe,
     compression,
+    filter_audit,
     fingerprint,
     html_text,
     line_dedup,
@@ -134,3 +135,8 @@ def op11_secret_scan(spark, sf_dir):
         F.sha2(secret_scan.listed(secret_scan.of_kinds(spans, base)), 256).alias("base_sha256"),
         secret_scan.listed(spans).alias("spans"),
     )
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(documents(spark, sf_dir), labels(spark, sf_dir))

@@ -100,3 +100,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT depleted AS kept, removed_words
 FROM judged
 """
+
+ORACLE_SQL["op12_filter_audit"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+firsts AS (SELECT body, min(doc_id) AS first_id FROM docs GROUP BY body),
+judged AS (
+  SELECT part,
+    CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 10 * length(body)
+           THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS fails,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = docs.doc_id AND l.quality = 1) AS good,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = docs.doc_id AND l.toxic = 1) AS toxic
+  FROM docs JOIN firsts USING (body)),
+masks AS (SELECT part, fails, good, toxic, count(*) AS n FROM judged GROUP BY ALL),
+letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+         [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a JOIN letters b ON b.bit <> a.bit
+  JOIN letters c ON c.bit NOT IN (a.bit, b.bit)
+  JOIN letters d ON d.bit NOT IN (a.bit, b.bit, c.bit)
+  JOIN letters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+steps AS (
+  SELECT filter_order, step::int AS step, bits[step] AS own,
+         list_sum(list_slice(bits, 1, step))::int - bits[step] AS earlier
+  FROM orders CROSS JOIN range(1, 6) AS of(step)),
+counted AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER ((fails & (own + earlier)) = 0), 0)::bigint AS kept,
+    coalesce(sum(n) FILTER ((fails & own) > 0 AND (fails & earlier) = 0), 0)::bigint AS removed,
+    coalesce(sum(n) FILTER ((fails & own) > 0 AND (fails & earlier) > 0), 0)::bigint AS redundant,
+    coalesce(sum(n) FILTER (fails = own), 0)::bigint AS unique_fails,
+    coalesce(sum(n) FILTER ((fails & own) > 0 AND (fails & earlier) = 0 AND good), 0)::bigint AS good_lost,
+    coalesce(sum(n) FILTER ((fails & own) > 0 AND (fails & earlier) = 0 AND toxic), 0)::bigint AS toxic_lost
+  FROM masks CROSS JOIN steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::bigint AS shapley
+FROM counted
+"""
