@@ -1,0 +1,125 @@
+"""Pairs and terms against plain loops over exact fractions, in one chunk of sources and in many."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from llm.cases import DOCUMENTS, EDGE_ROWS, row
+from tidemark.llm import source_divergence
+from tidemark.llm.queries import QUERIES
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+COLUMNS = ["lang", "source", "part", "item", "value", "rank"]
+
+
+def plain(rows, least, top=50):
+    """All result rows of (text, lang, source)."""
+    counts, docs, sources = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        terms = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERM.findall(text or "")]
+        counts[lang, source].update(terms)
+        docs[lang].update(set(terms))
+        sources[lang].add(source)
+    out = []
+    for lang, names in sources.items():
+        kept = [t for t, n in docs[lang].items() if n >= least]
+
+        def shares(of):
+            total = sum(of[t] for t in kept)
+            return {t: 1 + 10**9 * (of[t] + 5) // (total + 5 * len(kept)) for t in kept}
+
+        q = shares(sum((counts[lang, s] for s in names), Counter()))
+        p = {s: shares(counts[lang, s]) for s in names}
+        for s in names:
+            pairs = [(sum(abs(p[s][t] - p[o][t]) for t in kept), o) for o in names - {s}]
+            terms = [(p[s][t] - q[t], t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, found, last in (("pair", pairs, len(pairs)), ("term", terms, top)):
+                order = sorted(found, key=lambda x: (-x[0], x[1].encode()))[:last]
+                out += [(lang, s, part, item, value, i) for i, (value, item) in enumerate(order, 1)]
+    return sorted(out)
+
+
+def got(df):
+    return sorted(tuple(r) for r in df.select(*COLUMNS).collect())
+
+
+def texts(df):
+    return [tuple(r) for r in df.select("text", "lang", "source").collect()]
+
+
+def corpus(seed, sources, count=150):
+    rng = random.Random(seed)
+    words = ["the", "The", "of", "Été", "é", "日本", "a1b", "x_y", "zebra", *(f"w{chr(97 + i)}" for i in range(26))]
+    rows = []
+    for i in range(count):
+        s = rng.randrange(sources)
+        picked = rng.choices(words[: 6 + 3 * (s % 9)], k=rng.randint(0, 40))
+        rows.append(row(i, " ".join(picked), rng.choice(["en", "fr", None]), f"s{s}"))
+    return rows
+
+
+@pytest.mark.parametrize("tile", [1, 40, 1024])
+@pytest.mark.parametrize("groups", [2, 5, 64])
+def test_any_blocks_and_chunks_give_the_same(spark, monkeypatch, tile, groups):
+    monkeypatch.setattr(source_divergence, "GROUPS", groups)
+    monkeypatch.setattr(source_divergence, "BLOCK_CELLS", 8 * groups)
+    rows = corpus(groups, 12) + [row(999, "", "en", "empty"), row(1000, "...", "xx", "a"), row(1001, None, "xx", "b")]
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    rows = [(r[1], r[2], r[3]) for r in rows]
+    counts = source_divergence.term_counts(df)
+    found = source_divergence.Corpus(counts, 4)
+
+    def block(table):
+        # the workers import the module anew
+        source_divergence.TILE_COLUMNS = tile
+        return of_block(table)
+
+    of_block = source_divergence._of_block
+    monkeypatch.setattr(source_divergence, "_of_block", block)
+    expected = [r for r in plain(rows, 4) if r[2] == "pair"]
+    assert got(source_divergence._ranked(source_divergence.pairs(found), "pair")) == expected
+    assert got(source_divergence.divergence(df, least_documents=4)) == plain(rows, 4)
+
+
+def test_documents(spark, small, docs):
+    assert got(QUERIES["op13_source_divergence"](spark, small)) == plain(texts(docs), 30)
+
+
+def test_the_top_terms_only(spark):
+    df = spark.createDataFrame(corpus(5, 3), DOCUMENTS)
+    assert got(source_divergence.divergence(df, least_documents=2, top_terms=3)) == plain(texts(df), 2, 3)
+
+
+def test_edge_rows(spark, edge, nothing):
+    rows = [(r[1], r[2], r[3]) for r in EDGE_ROWS]
+    for least in (1, 2, 30):
+        assert got(source_divergence.divergence(edge, least_documents=least)) == plain(rows, least)
+    assert source_divergence.divergence(nothing).count() == 0
+
+
+def test_small_holdings_are_added_up(spark, docs, monkeypatch):
+    whole = sorted(map(tuple, source_divergence.term_counts(docs).collect()), key=repr)
+    monkeypatch.setattr(source_divergence, "HELD", 50)
+    assert sorted(map(tuple, source_divergence.term_counts(docs.repartition(5)).collect()), key=repr) == whole
+
+
+def test_shares_past_64_bits(spark):
+    cases = [(5 * 10**11, 9 * 10**12, 10**7), (0, 0, 1), (3, 10, 4)]
+    df = spark.createDataFrame(cases, "c long, n long, v long")
+    made = df.select("c", "n", "v", source_divergence._price(df.c, df.n, df.v).alias("p")).collect()
+    assert all(r.p == source_divergence.price(r.c, r.n, r.v) == 1 + 10**9 * (r.c + 5) // (r.n + 5 * r.v) for r in made)
+
+
+def test_products_are_joint_tables():
+    rng = np.random.default_rng(1)
+    levels = rng.integers(0, 4, (50, 3))
+    codes = levels + np.arange(3) * 4
+    present, joint = source_divergence._product(codes)
+    for i, a in enumerate(present):
+        for j, b in enumerate(present):
+            both = (levels[:, a // 4] == a % 4) & (levels[:, b // 4] == b % 4)
+            assert joint[i, j] == both.sum()

@@ -19,6 +19,7 @@ from tidemark.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    source_divergence,
     token_counts,
     toxicity,
 )
@@ -140,3 +141,8 @@ def op11_secret_scan(spark, sf_dir):
 @query
 def op12_filter_audit(spark, sf_dir):
     return filter_audit.audit(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence.divergence(documents(spark, sf_dir))

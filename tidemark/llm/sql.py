@@ -144,3 +144,45 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
        sum(removed) OVER (PARTITION BY part, own)::bigint AS shapley
 FROM counted
 """
+
+ORACLE_SQL["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+each_term AS (SELECT row_id, lang, source, unnest(terms) AS term FROM docs),
+words AS (
+  SELECT lang, term, count(*) AS n FROM each_term GROUP BY ALL HAVING count(DISTINCT row_id) >= 30),
+langs AS (
+  SELECT lang, coalesce(n_terms, 0) AS n_terms, coalesce(total, 0) AS total
+  FROM (SELECT DISTINCT lang FROM docs)
+  LEFT JOIN (SELECT lang, count(*) AS n_terms, sum(n) AS total FROM words GROUP BY lang) USING (lang)),
+counts AS (
+  SELECT lang, source, term, count(*) AS n FROM each_term JOIN words USING (lang, term) GROUP BY ALL),
+totals AS (
+  SELECT lang, source, coalesce(total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) USING (lang, source)),
+shares AS (
+  SELECT t.lang, t.source, w.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (t.total + 5 * l.n_terms) AS p,
+         1 + (1000000000::hugeint * (w.n + 5)) // (l.total + 5 * l.n_terms) AS q
+  FROM totals t JOIN langs l USING (lang) JOIN words w USING (lang)
+  LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = w.term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::bigint AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM totals a JOIN totals b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+telling AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q)::bigint AS value
+  FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::int AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM telling))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
