@@ -39,7 +39,7 @@ TOP_TERMS = 50
 
 # Sources of a chunk, cells (sources x terms) of a block, and columns of a tile: 4 MB in float32, 8 MB of each table.
 GROUPS = 64
-BLOCK_CELLS = 1 << 18
+BLOCK_CELLS = 1 << 16
 TILE_COLUMNS = 1024
 # Different terms of groups held in a task before they are sent on.
 HELD = 1 << 17
