@@ -1,6 +1,7 @@
 """Rates against the same least squares solved in one place, and held-out memberships."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,88 @@ def test_rounds_go_on_to_the_target_and_misses_are_told(spark, monkeypatch):
     sure = np.array(posterior)[:3]
     bound = mixing.descend(totals, np.array([2600.0, 0.1, 0.1]), kept=0)
     assert (bound.rates(sure) >= 1).all() and max(map(abs, bound.misses)) > 0.5
+
+
+def unsure(certainty, size=20_000):
+    """Token totals of documents whose posteriors have so much of the truth, the rest being noise."""
+    rng = np.random.default_rng(3)
+    truth = np.eye(3)[rng.choice(3, size, p=[0.56, 0.2, 0.24])]
+    posterior = np.round(certainty * truth + (1 - certainty) * rng.dirichlet([1, 1, 1], size), 3)
+    return posterior / posterior.sum(axis=1, keepdims=True), rng.lognormal(5, 1, size).astype(int) + 1
+
+
+@pytest.fixture(scope="module")
+def names():
+    return mixing.Domains(NAMES, np.zeros((mixing.BUCKETS, 3), np.float32), np.zeros((7, 3)))
+
+
+@pytest.mark.parametrize("certainty", [1.0, 0.9, 0.5, 0.3, 0.1])
+def test_unsure_posteriors_do_not_drop_the_documents(spark, names, certainty):
+    posterior, tokens = unsure(certainty)
+    rows = [(p, int(n)) for p, n in zip(posterior.tolist(), tokens.tolist())]
+    placed = spark.createDataFrame(rows, "posterior array<double>, n_tokens long")
+    weights = dict(zip(NAMES, (0.85, 0.07, 0.08)))
+    descent = mixing.solved(placed, names, weights, 1.25, False, "red", 8.0, 0.05)
+    rates = descent.rates(posterior)
+    assert np.mean(rates <= mixing.DROPPED) <= 0.05 and rates.max() <= 8
+    targets = np.array([0.85, 0.07, 0.08]) * 1.25 * tokens.sum()
+    np.testing.assert_allclose((tokens * rates) @ posterior / targets - 1, descent.misses, atol=1e-6)
+    if certainty >= 0.9:
+        assert descent.ridge == 0 and max(map(abs, descent.misses)) < 1e-4
+    else:
+        assert descent.ridge > 0 and max(map(abs, descent.misses)) > 0.1
+    # the same documents five times over have the same rates
+    if certainty == 0.3:
+        more = placed.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(5)))).drop("again")
+        again = mixing.solved(more, names, weights, 1.25, False, "red", 8.0, 0.05)
+        np.testing.assert_allclose(again.rates(posterior), rates, atol=1e-6)
+
+
+def test_the_ridge_finds_the_least_sum(spark, names):
+    posterior, tokens = unsure(0.5, 300)
+    totals = spark.createDataFrame(
+        [(p, int(n)) for p, n in zip(posterior.tolist(), tokens.tolist())], "posterior array<double>, tokens long"
+    )
+    targets = np.array([0.85, 0.07, 0.08]) * 1.25 * tokens.sum()
+    descent = mixing.descend(totals, targets, ridge=0.3, most=2.0)
+    rates = descent.rates(posterior)
+    slow = np.ones(len(tokens))
+    for _ in range(30_000):
+        miss = (tokens * slow) @ posterior / targets - 1
+        slow = np.clip(slow - 0.02 * (posterior @ miss + 0.3 * (slow - 1)), 0, 2)
+    np.testing.assert_allclose(rates, slow, atol=0.01)
+
+
+def test_a_batch_works_out_each_posterior_once(monkeypatch):
+    descent = mixing.Descent(0.1, 0)
+    descent.gradients, descent.momenta = [np.array([-1.0, 2.0, 0.5])] * 4, [0.0, 0.1, 0.2, 0.3]
+    some = np.array([[0.5, 0.25, 0.25], [1.0, 0.0, 0.0], [0.2, 0.3, 0.5]])
+    rows = some[[0, 1, 0, 2, 2, 1, 0]]
+    asked = []
+    rates = mixing.Descent.rates
+    monkeypatch.setattr(mixing.Descent, "rates", lambda self, p, *a: asked.append(len(p)) or rates(self, p, *a))
+    made = descent.rates_of_rows(pa.array(rows.tolist()))
+    np.testing.assert_allclose(made, [rates(descent, row[None])[0] for row in rows])
+    assert asked == [3] and len(descent.rates_of_rows(pa.array([], pa.list_(pa.float64())))) == 0
+
+
+def test_report_tells_targets_and_misses(corpus, model):
+    weights = {"red": 0.8, "blue": 0.15, "grey": 0.05}
+    rated = mixing.rates(corpus, model, weights, 1.0)
+    rows = rated.collect()
+    everything = sum(r.n_tokens for r in rows)
+    for at, r in enumerate(mixing.report(rated, model, weights, 1.0).collect()):
+        assert r.domain == NAMES[at] and abs(r.target - weights[r.domain] * everything) < 1e-6
+        assert abs(r.reached - sum(x.n_tokens * x.rate * x.posterior[at] for x in rows)) < 1e-6
+        assert abs(r.miss - (r.reached - r.target) / r.target) < 1e-9
+        assert (r.documents, r.largest_rate) == (240, max(x.rate for x in rows))
+        assert r.dropped == sum(x.rate <= mixing.DROPPED for x in rows)
+
+
+def test_chances_follow_the_labelled_shares(spark, corpus):
+    """The words tell nothing, so what is left are the shares among the labels: 1 of 4, 3 of 4, none."""
+    same = corpus.withColumn("text", F.lit("one text for all"))
+    labels = spark.createDataFrame([(i, NAMES[i % 4 > 0]) for i in range(200)], "doc_id long, domain string")
+    model = mixing.fit(same, labels, "domain", NAMES, sample=60)
+    (got,) = mixing.memberships(same, model).select("posterior").distinct().collect()
+    np.testing.assert_allclose(got.posterior, [0.25, 0.75, 0], atol=0.06)

@@ -33,6 +33,9 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 # quarter more than there are, so that good text is rather repeated than lost.
 WEIGHTS = {"good": 0.85, "poor": 0.07, "toxic": 0.08}
 SCALE = 1.25
+# No document is repeated more often than this, and at most this share of them is dropped.
+MOST = 8.0
+MOST_DROPPED = 0.05
 
 
 def query(fn):
@@ -74,7 +77,7 @@ def domain_labels(spark, sf_dir) -> DataFrame:
 def op2_source_mixing(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = mixing.fit(docs, domain_labels(spark, sf_dir), "domain", list(WEIGHTS))
-    return mixing.rates(docs, model, WEIGHTS, SCALE, keep="good")
+    return mixing.rates(docs, model, WEIGHTS, SCALE, keep="good", most=MOST, most_dropped=MOST_DROPPED)
 
 
 @query
