@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, line_dedup, mixing, quality_rules, simhash
 from tidemark.llm.common import documents, staged
-from tidemark.llm.queries import SCALE, WEIGHTS, WORD_BPE, domain_labels
+from tidemark.llm.queries import MOST, MOST_DROPPED, SCALE, WEIGHTS, WORD_BPE, domain_labels
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out so that the domains' tokens match their targets."""
     model = mixing.fit(docs, domain_labels(spark, sf_dir), "domain", list(WEIGHTS))
-    return mixing.mixed(docs, model, WEIGHTS, SCALE, keep="good")
+    return mixing.mixed(docs, model, WEIGHTS, SCALE, keep="good", most=MOST, most_dropped=MOST_DROPPED)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
