@@ -97,7 +97,11 @@ def momentum_delta(counts: DataFrame) -> DataFrame:
 
 
 def rank_languages(events: DataFrame, dim_repo: DataFrame, seed: DataFrame) -> DataFrame:
-    counts = count_languages(events, dim_repo, seed)
+    return momentum_of(count_languages(events, dim_repo, seed))
+
+
+def momentum_of(counts: DataFrame) -> DataFrame:
+    """The mart from the counts of all days, one row for each language and day."""
     return language_rank(momentum_delta(counts)).select(
         "date_key", "language", "event_count", "active_repos", "momentum_delta", "daily_rank"
     )

@@ -25,6 +25,7 @@ from tidemark.sources.silver import (
     read_silver_hours,
     write_silver_hours,
 )
+from tidemark.sources.swaps import finish_swaps
 from tidemark.sources.tables import read_table, stage
 
 
@@ -36,6 +37,12 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def finish_pending(spark: SparkSession, lake: Lake) -> dict[str, list[str]]:
+    """Finish the swaps that a run which did not end has left in any table; returns the partitions moved."""
+    moved = {path: finish_swaps(spark, path, depth) for path, depth in lake.partitioned.items()}
+    return {path: folders for path, folders in moved.items() if folders}
+
+
 def to_silver(spark: SparkSession, lake: Lake, hours: Sequence[Hour]) -> list[Hour]:
     """Returns the event hours rewritten: the given ones, and others their late rows belong to."""
     raw = read_bronze(spark, lake.bronze, hours, keep_corrupt=True)
@@ -116,6 +123,7 @@ def run_hours(
     would; the error is raised at the end. Every hour's run is recorded, whatever happens.
     """
     use_utc(spark)
+    finish_pending(spark, lake)
     with scratch_scope(spark):
         _run_hours(spark, lake, hours, kind, bounds, full_refresh)
 

@@ -36,6 +36,26 @@ class Lake:
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
 
+    @property
+    def partitioned(self) -> dict[str, int]:
+        """Tables whose partitions are swapped, with the number of their partition columns."""
+        tables = {self.silver.events: 2, self.silver.quarantine: 2, self.silver.late: 3, self.silver_events: 2}
+        by_one = [
+            "fact_events",
+            "fact_events_ids",
+            "repo_spellings",
+            "actor_spellings",
+            "dim_repo",
+            "dim_actor",
+            "repo_days",
+            "actor_days",
+            "language_days",
+            "trending_repos_daily",
+            "contributor_leaderboard",
+            "language_momentum",
+        ]
+        return {**tables, **{self.gold(name): 1 for name in by_one}}
+
     @property
     def summaries(self) -> str:
         return f"{self.root}/ops/run_summaries"

@@ -11,8 +11,9 @@ from pyspark.sql.types import DateType, LongType, StringType, StructField, Struc
 
 from tidemark.operators.quality import unique
 from tidemark.schemas import FACT_COLUMNS
+from tidemark.sources import fact_ids
+from tidemark.sources.swaps import finish_swaps
 from tidemark.sources.tables import (
-    clear_partitions,
     read_table,
     replace_partitions,
     replace_table,
@@ -58,33 +59,38 @@ def write_fact(
 
     The fact has one row per event_id over all days. Incoming rows that repeat an id are refused (see
     ``latest``). Where an id comes again in another call, the later row stays, so calls in any order end in
-    the same table. ``events_may_move``
-    looks for incoming ids on other days, which reads two columns of the target but shuffles neither
-    side's events where the ids are few enough to broadcast. Turn that off where an id is known never to
-    come on two days. The replacement is staged before any target file goes.
+    the same table. ``events_may_move`` looks for incoming ids on other days, in the blocks of the id index
+    that they fall in (``fact_ids``); a fact without an index, as an earlier version left it, gets one first.
+    Turn that off where an id is known never to come on two days. New days are written whole before any
+    target file goes, and a swap that was cut short is finished by the next call.
     """
     if set(incoming.columns) != set(FACT_COLUMNS):
         raise ValueError(f"fact columns changed: {sorted(set(incoming.columns) ^ set(FACT_COLUMNS))}")
+    finish_swaps(spark, path, 1)
     incoming = stage(incoming.select(*FACT_COLUMNS), "fact-incoming")
     repeated = unique(incoming, "event_id").take(1)
     if repeated:
         raise ValueError(f"incoming rows repeat event_id {repeated[0]['event_id']}")
+    index = fact_ids.ids_path(path)
     if full_refresh:
+        # an index that does not cover the fact must not be there at any time
+        fact_ids.drop_index(spark, index)
         replace_table(incoming, path, ["event_date"], ["event_type"])
+        fact_ids.build_index(incoming, index)
         return [r.event_date for r in incoming.select("event_date").distinct().collect()]
 
     days = incoming.select("event_date").distinct()
+    if not fact_ids.has_index(spark, index):
+        fact_ids.build_index(read_fact(spark, path), index)
+    pairs = fact_ids.pairs_of(incoming)
+    blocks = fact_ids.blocks_of(pairs)
     if events_may_move:
-        ids = incoming.select("event_id", F.col("event_date").alias("new_date"))
-        moved = read_fact(spark, path).select("event_id", "event_date").join(ids, "event_id")
-        moved = moved.where("event_date <> new_date")
-        days = days.unionByName(moved.select("event_date")).distinct()
+        moved = fact_ids.known_days(spark, index, pairs, blocks).select("event_date")
+        days = days.unionByName(moved).distinct()
     # calendar days, bounded by the calendar
     touched = [r.event_date for r in days.collect()]
-    both = read_fact_days(spark, path, touched).unionByName(incoming)
-    merged = stage(latest(both), "fact-merged")
-    replace_partitions(merged, path, ["event_date"], ["event_type"])
-    left = {r.event_date for r in merged.select("event_date").distinct().collect()}
-    gone = [Row(event_date=d.isoformat()) for d in touched if d not in left]
-    clear_partitions(spark, path, gone)
+    fact_ids.add_pairs(spark, index, pairs, blocks)
+    merged = latest(read_fact_days(spark, path, touched).unionByName(incoming))
+    owned = [Row(event_date=d.isoformat()) for d in touched]
+    replace_partitions(merged, path, ["event_date"], ["event_type"], owned)
     return touched

@@ -21,8 +21,8 @@ from tidemark.schemas import (
     SILVER_WITH_SOURCE,
     SOURCE_COLUMNS,
 )
+from tidemark.sources.swaps import folders, leaf_of
 from tidemark.sources.tables import (
-    clear_partitions,
     list_partitions,
     read_folders,
     read_table,
@@ -107,12 +107,15 @@ def write_silver_hours(
         for kind in ("own", "late", "bad")
     }
     bad = rows["bad"] if RAW_TEXT in staged.columns else rows["bad"].withColumn(RAW_TEXT, F.lit(None).cast("string"))
-    replace_partitions(bad.select(*QUARANTINE.fieldNames()), paths.quarantine, SOURCE_COLUMNS)
-    _clear_stale(spark, paths.quarantine, SOURCE_COLUMNS, hours, bad)
     replace_partitions(
-        rows["late"].select(*SILVER_WITH_SOURCE.fieldNames()), paths.late, LATE_COLUMNS
+        bad.select(*QUARANTINE.fieldNames()), paths.quarantine, SOURCE_COLUMNS, owned=_partitions(hours, SOURCE_COLUMNS)
+    )
+    replace_partitions(
+        rows["late"].select(*SILVER_WITH_SOURCE.fieldNames()),
+        paths.late,
+        LATE_COLUMNS,
+        owned=_late_partitions(spark, paths.late, hours),
     )
-    _clear_stale_late(spark, paths.late, hours, rows["late"])
 
     # calendar hours, not rows: bounded by the calendar
     targets = rows["late"].select(*HOUR_COLUMNS).distinct().collect()
@@ -126,32 +129,22 @@ def write_silver_hours(
         parts = [rows["own"], late, existing]
         picked = [p.select(*SILVER.fieldNames()) for p in parts]
         content = stage(dedupe(picked[0].unionByName(picked[1]).unionByName(picked[2])), "merged")
-    replace_partitions(content, paths.events, HOUR_COLUMNS)
-    _clear_stale(spark, paths.events, HOUR_COLUMNS, hours, content)
+    replace_partitions(content, paths.events, HOUR_COLUMNS, owned=_partitions(hours, HOUR_COLUMNS))
     return sorted({*hours, *others})
 
 
-def _clear_stale(spark, path, columns, hours, written: DataFrame) -> None:
-    """Remove the partitions of ``hours`` that an earlier run filled and this one did not."""
-    wanted = {(day.isoformat(), str(hour)) for day, hour in hours}
-    listed = list_partitions(spark, path, columns, days_of(hours))
-    found = {r for r in listed if tuple(r) in wanted}
-    clear_partitions(spark, path, found - _partitions_of(written, columns) if found else [])
+def _partitions(hours: Sequence[Hour], columns: Sequence[str]) -> list[Row]:
+    """What a run of these hours owns: what an earlier run filled and this one does not is emptied."""
+    day, hour = columns
+    return [Row(**{day: d.isoformat(), hour: h}) for d, h in hours]
 
 
-def _clear_stale_late(spark, path, hours, written: DataFrame) -> None:
+def _late_partitions(spark: SparkSession, path: str, hours: Sequence[Hour]) -> list[str]:
     """The same for late rows, whose hour files lie under several event days."""
-    wanted = {(day.isoformat(), str(hour)) for day, hour in hours}
     days = ",".join(sorted(day.isoformat() for day in days_of(hours)))
-    listed = list_partitions(spark, f"{path}/*/source_date={{{days}}}", LATE_COLUMNS, base=path)
-    found = {r for r in listed if (r.source_date, r.source_hour) in wanted}
-    clear_partitions(spark, path, found - _partitions_of(written, LATE_COLUMNS) if found else [])
-
-
-def _partitions_of(written: DataFrame, columns: Sequence[str]) -> set[Row]:
-    """Calendar values only."""
-    texts = [F.col(c).cast("string").alias(c) for c in columns]
-    return set(written.select(*texts).distinct().collect())
+    wanted = tuple(leaf_of(row) for row in _partitions(hours, SOURCE_COLUMNS))
+    found = folders(spark, path, ["event_date=*", f"source_date={{{days}}}", "source_hour=*"])
+    return [folder for folder in found if folder.endswith(wanted)]
 
 
 def loaded_hours(spark: SparkSession, table: str, hours: Sequence[Hour]) -> set[Hour]:

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.session import file_system, scratch_path
+from tidemark.sources.swaps import finish_swap, finish_swaps, write_swap
+
+# Beside a table, while the one that replaces it takes its place.
+OLD = "__old"
 
 
 def _day_folders(path: str, column: str, days: Iterable[date]) -> str:
@@ -31,18 +35,29 @@ def read_table(
     """
     if not day_column:
         return _read(spark, path, schema, path)
-    if not days:
+    return read_table_folders(spark, path, schema, day_column, [d.isoformat() for d in days])
+
+
+def read_table_folders(
+    spark: SparkSession, path: str, schema: StructType, column: str, values: Iterable[str]
+) -> DataFrame:
+    """Those partitions of the table, by its only partition column; no other folder is listed."""
+    names = sorted(set(values))
+    if not names:
         return spark.createDataFrame([], schema)
-    return _read(spark, path, schema, _day_folders(path, day_column, days))
+    return _read(spark, path, schema, f"{path}/{column}={{{','.join(names)}}}")
 
 
 def _read(spark: SparkSession, path: str, schema: StructType, *folders: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(*folders)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    """A table is also there while ``replace_table`` renames it: then the old one is read."""
+    for base in (path, f"{path}{OLD}", path):
+        at = [base + folder.removeprefix(path) for folder in folders]
+        try:
+            return spark.read.schema(schema).option("basePath", base).parquet(*at)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return spark.createDataFrame([], schema)
 
 
 def read_folders(
@@ -67,22 +82,27 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
 
 
 def replace_partitions(
-    df: DataFrame, path: str, columns: Sequence[str], sort_by: Sequence[str] = ()
-) -> None:
-    """Replace exactly the partitions that ``df`` has rows for.
+    df: DataFrame,
+    path: str,
+    columns: Sequence[str],
+    sort_by: Sequence[str] = (),
+    owned: Iterable[Row | str] = (),
+) -> list[str]:
+    """Replace exactly the partitions that ``df`` has rows for, and empty those of ``owned``
+    (by values or folder) that it has none for.
+
+    Returns the folders that changed. ``df`` may read the table: it is written beside it before any partition
+    goes (``swaps``), and a swap that an earlier call could not end is finished first.
 
     The rebalance brings each partition's rows together, and splits a partition that is too
     large for one task, so neither tiny files nor a single huge writer come out of it.
     """
+    spark = df.sparkSession
+    finish_swaps(spark, path, len(columns))
     rows = df.hint("rebalance", *columns)
     if sort_by:
         rows = rows.sortWithinPartitions(*columns, *sort_by)
-    (
-        rows.write.partitionBy(*columns)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    return finish_swap(spark, path, write_swap(rows, path, columns, owned), len(columns))
 
 
 def replace_table(
@@ -95,7 +115,7 @@ def replace_table(
     the two renames leaves the old table beside; the next call puts it back before anything else.
     """
     spark = df.sparkSession
-    fresh, old = f"{path}__new", f"{path}__old"
+    fresh, old = f"{path}__new", f"{path}{OLD}"
     fs, at = file_system(spark, path)
     _, fresh_at = file_system(spark, fresh)
     _, old_at = file_system(spark, old)
@@ -157,14 +177,3 @@ def list_partitions(
         return set()
     values = files.selectExpr(*[f"cast({c} as string) as {c}" for c in columns])
     return set(values.distinct().collect())
-
-
-def clear_partitions(spark: SparkSession, path: str, partitions: Iterable[Row]) -> None:
-    """Leave these partitions without rows. A dynamic overwrite cannot, having no row for them.
-
-    Folders are removed through the file system; no Spark job is needed.
-    """
-    for values in partitions:
-        leaf = "/".join(f"{c}={v}" for c, v in values.asDict().items())
-        fs, at = file_system(spark, f"{path}/{leaf}")
-        fs.delete(at, True)
