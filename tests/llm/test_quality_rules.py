@@ -30,13 +30,13 @@ def normal(line):
 
 def plain(rows, least_limit, max_share, least_left):
     """(doc_id, counts, base_failed, kept, removed_words) of (doc_id, text, host), by brute force."""
-    texts, hosts = defaultdict(set), defaultdict(set)
+    found, hosts = defaultdict(set), defaultdict(set)
     for doc_id, text, host in rows:
-        hosts[host].add(text)
+        hosts[host].add((doc_id, text))
         for line in filter(None, map(normal, (text or "").split("\n"))):
-            texts[host, line].add(text)
+            found[host, line].add((doc_id, text))
     over = {
-        k for k, v in texts.items() if len(v) > least_limit and len(v) > len(hosts[k[0]]) * max_share
+        k for k, v in found.items() if len(v) > least_limit and len(v) > len(hosts[k[0]]) * max_share
     }
     holders = defaultdict(set)
     for doc_id, text, host in rows:
@@ -98,5 +98,33 @@ def test_shared_lines_go_and_depleted_documents_too(spark, site):
     texts = {r.doc_id: r.text for r in out.collect()}
     assert [i for i in range(8) if "Subscribe" in texts[i]] == [0]
     assert [i for i in range(20, 28) if i in texts] == [20]
-    # copies of one text count once, so nothing of theirs is over the limit
-    assert all("Subscribe" in texts[40 + i] for i in range(8))
+    # copies are documents too: all but the first lose the line, and here all of their lines
+    assert [i for i in range(40, 48) if i in texts] == [40]
+
+
+def test_the_limit_does_not_grow_with_the_host(spark):
+    shared = "This line stands in only ninety nine of the many documents here"
+    rows = [row(i, f"{prose(i)}\n{shared if i % 50 == 0 and i < 4950 else ''}", source="big") for i in range(5000)]
+    copy = f"{prose(-1)}\nThree hundred copies of one text have this line in them, too"
+    rows += [row(10_000 + i, copy, source="copies") for i in range(300)]
+    df = spark.createDataFrame([r[:4] for r in rows], "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r.text for r in quality_rules.apply_rules(df).collect()}
+    assert [i for i in range(0, 5000) if shared in out[i]] == [0]
+    assert [i for i in out if i >= 10_000] == [10_000]
+
+
+def prose(i):
+    return " ".join(f"w{i}x{k}" for k in range(30))
+
+
+def test_columns_with_the_names_used_inside(spark, site):
+    names = ["_lines", "_kept", "_of_id", "_of_key", "_of_host", "_made", "_text", "kept", "left", "c0", "of_id"]
+    df = spark.createDataFrame([r[:4] for r in site], "doc_id long, text string, lang string, source string")
+    from pyspark.sql import functions as F
+
+    clashing = df.withColumns({n: F.lit(7) for n in names})
+    out = quality_rules.apply_rules(clashing, least_limit=3)
+    assert out.columns == clashing.columns
+    plainly = quality_rules.apply_rules(df, least_limit=3)
+    assert sorted(map(tuple, out.select(df.columns).collect())) == sorted(map(tuple, plainly.collect()))
+    assert {tuple(r[n] for n in names) for r in out.collect()} == {(7,) * len(names)}

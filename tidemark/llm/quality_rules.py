@@ -1,8 +1,10 @@
 """Quality rules: counts over each text, and lines that too many documents of a host share.
 
 A line is normalised (lower case, white space to single spaces), hashed, and counted by host over the
-distinct texts that hold it, so exact copies count once. A line is over the limit where it stands in more
-than ``LEAST_LIMIT`` texts of a host and in more than ``MAX_SHARE`` of them. Such a line is taken out of
+distinct documents that hold it; exact copies are documents of their own. A line is over the limit where it
+stands in more than ``LEAST_LIMIT`` documents of a host, however many that host has. ``max_share``
+can ask for a share of the host's documents besides; it is 0 unless given, as a share would let a line of
+a large host stand in any number of documents. Such a line is taken out of
 every document of the host but the first (smallest doc_id), so that one document keeps it. A document that
 loses so much that fewer than ``LEAST_WORDS`` words, or less than ``LEAST_LEFT`` of its words, are left is
 depleted and rejected.
@@ -29,7 +31,7 @@ LEAST_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 LEAST_LIMIT = 20
-MAX_SHARE = 0.02
+MAX_SHARE = 0.0
 LEAST_LEFT = 0.2
 
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(1, WINDOW + 1)], np.uint64)
@@ -110,18 +112,18 @@ def frequent_lines(
 ) -> DataFrame:
     """(host, line, first): lines over the limit, with the document that keeps each."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    document = F.xxhash64("doc_id", "key")
     lines = stats.select("host", "key", "doc_id", F.explode("lines.line").alias("line"))
     counts = lines.groupBy("host", "line").agg(
-        F.countDistinct("key").alias("texts"), F.min(rank).alias("first")
-    )
-    hosts = stats.groupBy("host").agg(F.countDistinct("key").alias("host_texts"))
-    hosts = hosts.withColumnRenamed("host", "of")
-    return (
-        counts.where(F.col("texts") > least_limit)
-        .join(hosts, F.col("host").eqNullSafe(F.col("of")))
-        .where(F.col("texts") > F.col("host_texts") * max_share)
-        .select("host", "line", "first")
+        F.countDistinct(document).alias("documents"), F.min(rank).alias("first")
     )
+    over = counts.where(F.col("documents") > least_limit)
+    if max_share > 0:
+        hosts = stats.groupBy("host").agg(F.countDistinct(document).alias("host_documents"))
+        hosts = hosts.withColumnRenamed("host", "of")
+        over = over.join(hosts, F.col("host").eqNullSafe(F.col("of")))
+        over = over.where(F.col("documents") > F.col("host_documents") * max_share)
+    return over.select("host", "line", "first")
 
 
 def _removed(stats: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -208,16 +210,17 @@ def apply_rules(
     # only documents that change need to be told
     told = judged.where(~F.col("kept") | F.col("removed_lines").isNotNull())
     told = told.groupBy(
-        F.col("doc_id").alias("_of_id"), F.col("key").alias("_of_key"), F.col("host").alias("_of_host")
-    ).agg(F.first("kept").alias("_kept"), F.first("removed_lines").alias("_lines"))
+        F.col("doc_id").alias("of_id"), F.col("key").alias("of_key"), F.col("host").alias("of_host")
+    ).agg(F.first("kept").alias("kept"), F.first("removed_lines").alias("removed"))
+    # numbered names inside: a caller's may be equal to new ones
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    at = {c: f"c{i}" for i, c in enumerate(df.columns)}
     same = (
-        df[doc_id].eqNullSafe(F.col("_of_id"))
-        & (F.xxhash64(df[text]) == F.col("_of_key"))
-        & df[host].eqNullSafe(F.col("_of_host"))
+        F.col(at[doc_id]).eqNullSafe(F.col("of_id"))
+        & (F.xxhash64(at[text]) == F.col("of_key"))
+        & F.col(at[host]).eqNullSafe(F.col("of_host"))
     )
-    joined = df.join(told, same, "left").where(F.coalesce("_kept", F.lit(True)))
-    names = df.columns
-    asked = joined.select(*[F.col(f"`{c}`") for c in names], "_lines")
+    joined = numbered.join(told, same, "left").where(F.coalesce("kept", F.lit(True)))
 
     def start():
         def of_row(value, lines):
@@ -228,10 +231,7 @@ def apply_rules(
 
         return of_row
 
-    others = [c for c in names if c != text]
-    inner = asked.select(
-        *[F.col(f"`{c}`") for c in others], F.col(f"`{text}`").alias("_text"), "_lines"
-    )
-    return map_rows(inner, start, "_made string", keep=others).select(
-        *[F.col("_made").alias(text) if c == text else F.col(f"`{c}`") for c in names]
-    )
+    others = [c for c in at.values() if c != at[text]]
+    asked = joined.select(*others, at[text], "removed")
+    left = map_rows(asked, start, "left string", keep=others)
+    return left.select(*["left" if c == at[text] else c for c in at.values()]).toDF(*df.columns)

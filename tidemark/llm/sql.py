@@ -5,43 +5,55 @@ ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op3_line_dedup"] = r"""
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 each_line AS (SELECT doc_id, unnest(lines) AS raw, generate_subscripts(lines, 1) AS pos FROM docs),
-masked AS (
-  SELECT doc_id, pos, regexp_replace(
-    trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line
-  FROM each_line),
+plain_lines AS (
+  SELECT doc_id, pos, trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g')) AS plain FROM each_line),
 lines AS (
-  SELECT doc_id, pos, line, len(string_split(line, ' ')) AS n,
+  SELECT doc_id, pos, plain, line, len(string_split(line, ' ')) AS n,
          list_slice(string_split(line, ' '), 1, 3) AS lead_tokens
-  FROM masked WHERE line <> ''),
-candidates AS (
-  SELECT * FROM lines JOIN (
-    SELECT n, lead_tokens FROM lines GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3) USING (n, lead_tokens)),
-different AS (SELECT n, lead_tokens, line, count(*) AS many FROM candidates GROUP BY ALL),
+  FROM (SELECT *, regexp_replace(plain, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS line FROM plain_lines)
+  WHERE line <> ''),
+leaves AS (
+  SELECT n, lead_tokens, count(DISTINCT doc_id) >= 3 AS wide, count(*) AS many_lines FROM lines
+  GROUP BY n, lead_tokens HAVING count(DISTINCT doc_id) >= 2),
+candidates AS (SELECT * FROM lines JOIN leaves USING (n, lead_tokens) WHERE wide OR n >= 10),
+different AS (
+  SELECT n, lead_tokens, line, many_lines, count(*) AS many FROM candidates WHERE wide GROUP BY ALL),
 tokens AS (
-  SELECT n, lead_tokens, line, many, unnest(string_split(line, ' ')) AS token,
+  SELECT n, lead_tokens, line, many_lines, many, unnest(string_split(line, ' ')) AS token,
          generate_subscripts(string_split(line, ' '), 1) AS place
   FROM different),
 constants AS (
-  SELECT n, lead_tokens, place, token FROM tokens GROUP BY ALL HAVING sum(many) >= 3),
+  SELECT n, lead_tokens, place, token FROM tokens WHERE token <> '<*>'
+  GROUP BY n, lead_tokens, place, token, many_lines
+  HAVING sum(many) >= 3 AND sum(many) >= many_lines * 0.05),
 shapes AS (
   SELECT t.n, t.lead_tokens, t.line,
          list({'place': t.place, 'token': c.token} ORDER BY t.place) FILTER (c.token IS NOT NULL) AS template,
+         count(c.token) AS fixed,
          count(*) FILTER (t.place > 3) AS beyond,
-         count(*) FILTER (t.place > 3 AND c.token IS NOT NULL) AS fixed
+         count(*) FILTER (t.place > 3 AND c.token IS NOT NULL) AS fixed_beyond
   FROM tokens t LEFT JOIN constants c
     ON t.n = c.n AND t.lead_tokens = c.lead_tokens AND t.place = c.place AND t.token = c.token
   GROUP BY ALL),
+templated AS (
+  SELECT * FROM shapes WHERE fixed > 0 AND fixed >= n * 0.5 AND fixed_beyond >= beyond * 0.5),
 shaped AS (
-  SELECT c.doc_id, c.pos, s.n, s.lead_tokens, s.template
-  FROM candidates c JOIN shapes s ON c.n = s.n AND c.lead_tokens = s.lead_tokens AND c.line = s.line
-  WHERE s.fixed >= s.beyond * 0.5),
-recurring AS (
-  SELECT n, lead_tokens, template, min(doc_id) AS first_id FROM shaped
+  SELECT c.doc_id, c.pos, c.n, c.lead_tokens, c.plain, s.template
+  FROM candidates c LEFT JOIN templated s
+    ON c.n = s.n AND c.lead_tokens = s.lead_tokens AND c.line = s.line),
+by_template AS (
+  SELECT n, lead_tokens, template, min(doc_id) AS first_id FROM shaped WHERE template IS NOT NULL
   GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
+by_text AS (
+  SELECT plain, min(doc_id) AS first_id FROM shaped WHERE template IS NULL OR n >= 10
+  GROUP BY plain, n HAVING count(DISTINCT doc_id) >= CASE WHEN n >= 10 THEN 2 ELSE 3 END),
 gone AS (
-  SELECT s.doc_id, s.pos FROM shaped s JOIN recurring r
-    ON s.n = r.n AND s.lead_tokens = r.lead_tokens AND s.template IS NOT DISTINCT FROM r.template
-  WHERE s.doc_id <> r.first_id),
+  SELECT s.doc_id, s.pos FROM shaped s JOIN by_template r
+    ON s.n = r.n AND s.lead_tokens = r.lead_tokens AND s.template = r.template
+  WHERE s.doc_id <> r.first_id
+  UNION
+  SELECT s.doc_id, s.pos FROM shaped s JOIN by_text r ON s.plain = r.plain
+  WHERE s.doc_id <> r.first_id AND (s.template IS NULL OR s.n >= 10)),
 kept AS (
   SELECT e.doc_id, string_agg(e.raw, chr(10) ORDER BY e.pos) AS text
   FROM each_line e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos GROUP BY e.doc_id)
@@ -73,12 +85,9 @@ lines AS (
          trim(regexp_replace(lower(raw), '[\x20\x09-\x0D]+', ' ', 'g')) AS line
   FROM raw_lines WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')),
 repeats AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM lines GROUP BY doc_id),
-hosts AS (SELECT source, count(DISTINCT text) AS texts FROM docs GROUP BY source),
 frequent AS (
-  SELECT l.source, l.line, min(l.doc_id) AS first_id
-  FROM lines l JOIN hosts h ON l.source = h.source
-  GROUP BY l.source, l.line, h.texts
-  HAVING count(DISTINCT l.text) > 20 AND count(DISTINCT l.text) > h.texts * 0.02),
+  SELECT source, line, min(doc_id) AS first_id FROM lines
+  GROUP BY source, line HAVING count(DISTINCT doc_id) > 20),
 removed AS (
   SELECT l.doc_id, sum(l.n)::bigint AS n FROM lines l
   JOIN frequent f ON l.source = f.source AND l.line = f.line AND l.doc_id <> f.first_id
