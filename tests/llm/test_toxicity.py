@@ -47,7 +47,94 @@ def test_composed_table_is_closed():
     table, addressed = toxicity.composed()
     states = {s for s, _ in table}
     assert {after for after, _ in table.values()} <= states
-    assert len(table) == 6 * len(states) == 6 * len(addressed)
+    size = len(toxicity.CLASSES)
+    assert len(table) == size * len(states) == size * len(addressed)
+    assert len(toxicity.MACHINES) == 5
+
+
+@pytest.mark.parametrize(
+    ("clause", "weaker"),
+    [
+        ("i will find you and make you pay", ["i will not find you", "she said i will find you and make you pay"]),
+        ("you are a waste of space", ["you are not a waste of space", "he wrote that you are a waste of space"]),
+        ("you're such a pig", ["a pig came by", "there is no pig"]),
+        ("we'll come get you", ["we'll come by", "come get your coat"]),
+        ("i will kill you", ["i will not kill you", "they said i will kill you", "i will kill time"]),
+    ],
+)
+def test_insults_and_threats_of_several_words(clause, weaker):
+    walker = Walker(Grammar(weights=(-2.0, 2.0, 0.5)))
+    score = walker.clause(clause)
+    assert score > 0 and walker.features(clause) > walker.features("")
+    assert all(walker.clause(other) < score for other in weaker)
+
+
+def test_hits_of_several_words():
+    walker = Walker(Grammar({"waste of air": 2.0, "air": 1.0}, threats=frozenset({"air"})))
+    assert walker.clause("what a waste of air") == 2.0
+    assert walker.clause("some air") == 0.25 and walker.clause("your air") == 1.5
+    assert walker.features("so, waste of  air, yes")[2] == 2.0
+
+
+def interpreted(words, classify):
+    """A clause's score by the five rules, word by word, without a table."""
+    insults = threats = pursued = 0.0
+    target = copula = intent = pursuit = report = False
+    reach = 0
+    for word in words:
+        kind, weight = classify(word)
+        factor = (0.25 if reach and kind != toxicity.NEGATION else 1.0) * (0.5 if report else 1.0)
+        if kind == toxicity.INSULT:
+            insults += weight * factor
+        if kind == toxicity.SAID_OF and target and copula:
+            insults += weight * factor
+        if kind == toxicity.THREAT:
+            threats += weight * factor
+        if kind == toxicity.TARGET:
+            if intent and pursuit:
+                pursued += weight * factor
+            target, pursuit = True, False
+        copula = copula or (kind == toxicity.COPULA and target)
+        pursuit = pursuit or (kind == toxicity.PURSUIT and intent)
+        intent = intent or kind == toxicity.INTENT
+        reach = 3 if kind == toxicity.NEGATION else max(0, reach - 1)
+        report = report or kind == toxicity.REPORT
+    return 1.5 * (insults + threats + pursued) if target else insults + 0.25 * threats
+
+
+def test_the_table_agrees_with_the_five_rules():
+    walker = Walker(GRAMMAR)
+    words = "fool scoundrel kill you your not never said are is waste pig will going find get a the plain word".split()
+    rng = random.Random(4)
+    for _ in range(3000):
+        clause = rng.choices(words, k=rng.randint(0, 12))
+        assert walker.clause(" ".join(clause)) == pytest.approx(interpreted(clause, walker.classify))
+
+
+def test_learns_which_hits_are_threats(spark):
+    rows = []
+    for i in range(240):
+        filler = " ".join(f"w{k}" for k in random.Random(i).choices(range(400), k=30))
+        bad = [f". you zorkhead{i % 5}, ", f". i will splurge{i % 5} you, ", ". plain words, "][i % 3]
+        rows.append(row(i, filler + bad + filler))
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    labels = spark.createDataFrame([(i, int(i % 3 < 2)) for i in range(240)], "doc_id long, toxic int")
+    grammar = toxicity.fit(docs, labels)
+    assert any("splurge".startswith(t[:4]) for t in grammar.threats)
+    assert not any("zorkhead".startswith(t[:4]) for t in grammar.threats)
+    assert {*grammar.words, *grammar.beginnings} >= grammar.threats
+
+
+def test_the_same_sample_of_an_id_with_two_texts(spark):
+    from tidemark.llm.learning import sampled
+
+    rows = [row(1, "first text"), row(1, "other text"), row(2, "third"), row(3, "fourth")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    picked = {
+        tuple(sorted(map(tuple, sampled(spark.createDataFrame(r, DOCUMENTS).repartition(n), labels, "toxic", None, 9).collect())))
+        for r, n in ((rows, 1), (rows[::-1], 3), (rows[::-1], 1))
+    }
+    assert len(picked) == 1 and len(picked.pop()) == 3
 
 
 def _corpus(spark, n=240):

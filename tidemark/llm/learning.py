@@ -57,4 +57,6 @@ def sampled(
     chosen = [clear.where(F.col("label") == v).orderBy(*order).limit(size) for v in values]
     rows = picked(df, doc_id=doc_id, text=text).where("text <> ''")
     few = rows.join(F.broadcast(reduce(DataFrame.unionByName, chosen)), F.col("doc_id") == F.col("of"))
-    return few.select("doc_id", "text", "label").dropDuplicates(["doc_id"])
+    # of texts under one id the one with the smallest hash, in whichever order they are read
+    order = F.struct(F.xxhash64("text"), "text")
+    return few.groupBy("doc_id", "label").agg(F.min_by("text", order).alias("text")).select("doc_id", "text", "label")
