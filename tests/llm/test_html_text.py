@@ -108,3 +108,78 @@ SEEN = {
 @pytest.mark.parametrize("source", list(SEEN))
 def test_what_browsers_show(source):
     assert extract(source) == SEEN[source]
+
+
+STYLED = {
+    "<p style='backface-visibility:hidden'>yes</p>": "yes",
+    "<p style='--display:none; x-visibility : hidden'>yes</p>": "yes",
+    "<p style='display:none;display:block'>yes</p>": "yes",
+    "<p style='display:none !important;display:block'>no</p>": "",
+    "<p style='/* display:none */color:red'>yes</p>": "yes",
+    "<p hidden style='display:block'>yes</p>": "yes",
+    "<div style='visibility:hidden'>no<p style='visibility:visible'>yes</p>no</div>": "yes",
+    "<div style='visibility:collapse'>no <b>no</b><span style='visibility:visible'>yes</span></div>": "yes",
+    "<div style='visibility:hidden'><div style='visibility:inherit'>no</div></div>yes": "yes",
+    "<div style='display:none'>no<p style='display:block;visibility:visible'>no</p></div>yes": "yes",
+    "<style>.h{display:none}</style><p class='a h'>no<p class=hh>yes": "yes",
+    "<style>#x{display:none} p{visibility:hidden}</style><p>no<div id=x>no</div><div>yes": "yes",
+    "<style>p{display:none} p.k{display:block}</style><p>no<p class=k>yes": "yes",
+    "<style>p.k{display:block} p{display:none}</style><p>no<p class=k>yes": "yes",
+    "<style>p{display:none!important} p.k{display:block}</style><p class=k>no": "",
+    "<style>.a.b{display:none}</style><p class=a>yes<p class='b a'>no": "yes",
+    "<style>P, .z , h1{ display : NONE }</style><p>no<h1>no</h1><b class=z>no</b><h2>yes": "yes",
+    "<style>.h{display:none}</style><p class=h style='display:block'>yes": "yes",
+    "<style>.h{display:none}.h{display:block}</style><p class=h>yes": "yes",
+    "<style>@media print{p{display:none}}</style><p>yes": "yes",
+    "<style media=print>p{display:none}</style><p>yes": "yes",
+    "<style>@media screen{p{display:none}} h1{color:red}</style><p>no<h1>yes": "yes",
+    "<style>@import url(x.css); p{display:none}</style><p>no<h1>yes": "yes",
+    "<style>div p{display:none} p:hover{display:none} [x]{display:none}</style><div><p x=1>yes": "yes",
+    "<style><!-- p{display:none} --></style><p>no<b>yes": "",
+    "<style>@font-face{src:x} p{display:none}</style><p>no</p>yes": "yes",
+    "<ul><li style='visibility:hidden'>no<b style='visibility:visible'>yes</b><li>b</ul>": "- yes\n- b",
+    "<table><tr><td>a<td style='visibility:hidden'>long one<td>c<tr><td>x<td>yy<td>z</table>": "a      c\nx  yy  z",
+    "<style>p{display:none": "",
+    "<style>p{display:none</style><p>no</p>yes": "yes",
+}
+
+
+@pytest.mark.parametrize("source", list(STYLED))
+def test_styles(source):
+    assert extract(source) == STYLED[source]
+
+
+def shown(node, rules, unseen=False):
+    """Visible text, spaces left out, by walking down and asking for every element anew."""
+    own = html_text.declarations(node.attributes.get("style", ""))
+    said = {}
+    for rule in sorted((r for r in rules if r.matches(node)), key=lambda r: r.weight()):
+        for name, (value, important) in rule.declared.items():
+            if important or not said.get(name, ("", False))[1]:
+                said[name] = value, important
+    for name, (value, important) in own.items():
+        if important or not said.get(name, ("", False))[1]:
+            said[name] = value, important
+    display = said.get("display", (None,))[0]
+    if display == "none" or display is None and "hidden" in node.attributes or node.name in html_text.UNSEEN:
+        return ""
+    unseen = {"hidden": True, "collapse": True, "visible": False}.get(said.get("visibility", ("inherit",))[0], unseen)
+    return "".join(
+        ("" if unseen else "".join(c.split())) if isinstance(c, str) else shown(c, rules, unseen) for c in node.children
+    )
+
+
+PARTS = ["<div>", "</div>", "<p class=a>", "<p class='a b' id=x>", "</p>", "<b id=x>", "</b>", "text ", "more "]
+PARTS += [f"<span style='{s}'>" for s in ("display:none", "visibility:hidden", "visibility:visible", "display:block!important")]
+PARTS += ["</span>", "<i hidden>", "</i>", "<section class=b style='visibility:visible'>", "</section>"]
+SHEETS = ["", ".a{visibility:hidden}", "#x{display:none}", "p{display:none}.b{display:block}", "b,.b{visibility:visible!important}"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(parts=st.lists(st.sampled_from(PARTS), max_size=25), sheets=st.lists(st.sampled_from(SHEETS), max_size=3))
+def test_visible_text_equals_a_plain_walk(parts, sheets):
+    source = "".join(f"<style>{s}</style>" for s in sheets) + "".join(parts)
+    rules = []
+    for sheet in sheets:
+        rules += html_text.rules_of(sheet, len(rules))
+    assert "".join(extract(source).split()) == shown(html_text.parse(source), rules)

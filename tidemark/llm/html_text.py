@@ -6,9 +6,12 @@ ignores end tags without a start, and never lets an end tag
 inside a table cell close what lies outside it. Below ``MAX_DEPTH`` nested elements, further ones become
 children of the element at that depth, as in browsers.
 
-What is not shown gives no text: head, scripts, styles, templates, comments, elements with ``hidden``, with
-``display:none`` or ``visibility:hidden`` in their style, and what ``noscript`` and other elements of
-``UNSEEN`` hold. Details are shown whether open or not. All other text is: navigation and footers too, the
+What is not shown gives no text: head, scripts, styles, templates, comments, what ``noscript`` and other elements of
+``UNSEEN`` hold, elements with ``hidden`` (unless a style displays them) or whose style says ``display:none``, and
+text whose ``visibility``, its own or the nearest given above it, is ``hidden`` or ``collapse``. Styles are those of the
+element and of the page's own ``<style>`` blocks: rules whose selector is an element's name, classes and id, or
+parts of these, by importance, specificity and order. Blocks for media other than a screen, linked style sheets and
+other selectors (with descendants, attributes, states) are not applied. Details are shown whether open or not. All other text is: navigation and footers too, the
 values of buttons and text inputs, formulas, and the text elements of drawings, each on a line of its own
 (not their definitions, descriptions and annotations).
 
@@ -89,7 +92,10 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_RULE = re.compile(r"([^{}]*)\{((?:[^{}]|\{[^{}]*\})*)\}?")
+_COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
+_SHOWN_MEDIA = re.compile(r"@media\s+(?:only\s+)?(?:all|screen)\b(?!.*\bnot\b)", re.I | re.S)
 _SPACE = re.compile(r"[ \t\n\r\f\x00]+")
 # inside the renderer: a forced line break and a space that stays
 BREAK, FIXED = "\x01", "\x02"
@@ -100,6 +106,9 @@ class Node:
     name: str
     attributes: dict[str, str] = field(default_factory=dict)
     children: list[Node | str] = field(default_factory=list)
+    # set by the page's styles: not displayed, and whether its own text is seen
+    gone: bool = False
+    unseen: bool = False
 
 
 def attributes_of(source: str) -> dict[str, str]:
@@ -228,12 +237,124 @@ def parse(source: str) -> Node:
     return builder.root
 
 
+# What styles say about being seen: {property: (value, important)}.
+Declared = dict[str, tuple[str, bool]]
+
+
+def declarations(source: str) -> Declared:
+    """The declarations of ``display`` and ``visibility``; of several the last important one, else the last."""
+    found: Declared = {}
+    for part in _COMMENT.sub(" ", source).split(";"):
+        name, colon, value = part.partition(":")
+        name = name.strip().lower()
+        if not colon or name not in ("display", "visibility"):
+            continue
+        value, _, mark = value.lower().partition("!")
+        important = mark.strip() == "important"
+        if name not in found or important or not found[name][1]:
+            found[name] = value.strip(), important
+    return found
+
+
+@dataclass
+class Rule:
+    """A rule of a style block that says something about being seen."""
+
+    name: str | None
+    classes: set[str]
+    ids: set[str]
+    declared: Declared
+    order: int
+
+    def matches(self, node: Node) -> bool:
+        if self.name and self.name != node.name:
+            return False
+        if self.ids and self.ids != {node.attributes.get("id")}:
+            return False
+        return self.classes <= set(node.attributes.get("class", "").split())
+
+    def weight(self) -> tuple[int, int, int, int]:
+        return len(self.ids), len(self.classes), int(bool(self.name)), self.order
+
+
+def rules_of(sheet: str, order: int = 0) -> list[Rule]:
+    found: list[Rule] = []
+    # a statement such as @import has no block and ends at its semicolon
+    sheet = re.sub(r"@(?:import|charset|namespace)[^;{}]*;", " ", _COMMENT.sub(" ", sheet), flags=re.I)
+    for selectors, body in _RULE.findall(sheet.replace("<!--", " ").replace("-->", " ")):
+        if selectors.strip().startswith("@"):
+            if _SHOWN_MEDIA.match(selectors.strip()):
+                found += rules_of(body, order + len(found))
+            continue
+        declared = declarations(body) if "{" not in body else {}
+        for selector in selectors.split(",") if declared else []:
+            parts = _COMPOUND.fullmatch(selector.strip())
+            if not parts or not selector.strip():
+                continue
+            marks = re.findall(r"([.#])([\w-]+)", parts[2])
+            name = None if parts[1] in (None, "*") else parts[1].lower()
+            classes = {n for kind, n in marks if kind == "."}
+            ids = {n for kind, n in marks if kind == "#"}
+            found.append(Rule(name, classes, ids, declared, order + len(found)))
+    return found
+
+
+def sheets_of(root: Node) -> list[str]:
+    """The style blocks of a page, in order."""
+    found, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        if node.name == "style":
+            if _SHOWN_MEDIA.match(f"@media {node.attributes.get('media') or 'all'}"):
+                found.append("".join(c for c in node.children if isinstance(c, str)))
+        waiting += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return found
+
+
+def apply_styles(root: Node) -> Node:
+    """Tell every element whether it is displayed and whether its own text is seen."""
+    rules: list[Rule] = []
+    for sheet in sheets_of(root):
+        rules += rules_of(sheet, len(rules))
+    waiting = [(root, False)]
+    while waiting:
+        node, unseen = waiting.pop()
+        said: dict[str, tuple[tuple, str]] = {}
+        own = declarations(node.attributes["style"]) if "style" in node.attributes else {}
+        fitting = [(rule.declared, (0, *rule.weight())) for rule in rules if rule.matches(node)]
+        for declared, weight in [*fitting, (own, (1,))]:
+            for name, (value, important) in declared.items():
+                if name not in said or (important, *weight) > said[name][0]:
+                    said[name] = (important, *weight), value
+        display = said["display"][1] if "display" in said else None
+        node.gone = display == "none" or display is None and "hidden" in node.attributes
+        seen = said["visibility"][1] if "visibility" in said else "inherit"
+        if seen in ("hidden", "collapse"):
+            unseen = True
+        elif seen in ("visible", "initial"):
+            unseen = False
+        node.unseen = unseen
+        waiting += [(c, unseen) for c in node.children if isinstance(c, Node)]
+    _drop_unseen(root)
+    return root
+
+
+def _drop_unseen(root: Node) -> None:
+    """An element without any seen text or element in it takes no room."""
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        waiting += [c for c in node.children if isinstance(c, Node)]
+    for node in reversed(order):
+        if node.unseen and all(isinstance(c, str) or c.gone for c in node.children):
+            node.gone = True
+
+
 def visible(node: Node) -> bool:
-    if node.name in UNSEEN or "hidden" in node.attributes:
-        return False
-    if node.name == "input" and node.attributes.get("type", "text").lower() not in SHOWN_INPUTS:
+    if node.name in UNSEEN or node.gone:
         return False
-    return not _HIDDEN.search(node.attributes.get("style", ""))
+    return node.name != "input" or node.attributes.get("type", "text").lower() in SHOWN_INPUTS
 
 
 def width(text: str) -> int:
@@ -295,7 +416,8 @@ def indented(lines: list[str], first: str) -> list[str]:
 def render(node: Node, page: Page, keep: bool = False, inside_list: bool = False) -> None:
     for child in node.children:
         if isinstance(child, str):
-            page.text(child, keep)
+            if not node.unseen:
+                page.text(child, keep)
             continue
         name = child.name
         if not visible(child):
@@ -336,11 +458,11 @@ def lines_of(node: Node, inside_list: bool = False) -> list[str]:
 def listing(node: Node) -> list[str]:
     out: list[str] = []
     count = number(node.attributes.get("start"), 1)
-    loose = Node(node.name)
+    loose = Node(node.name, unseen=node.unseen)
     for child in [*node.children, None]:
         if isinstance(child, Node) and child.name == "li" or child is None:
             out += lines_of(loose, True)
-            loose = Node(node.name)
+            loose = Node(node.name, unseen=node.unseen)
             if child is None:
                 break
             count = number(child.attributes.get("value"), count)
@@ -383,7 +505,7 @@ def misplaced(node: Node) -> list[Node | str]:
 
 def table(node: Node) -> list[str]:
     """Caption and stray text first, then the rows."""
-    out = lines_of(Node("div", {}, misplaced(node)))
+    out = lines_of(Node("div", {}, misplaced(node), unseen=node.unseen))
     grid: list[list[tuple[int, int, list[str]]]] = []
     taken: dict[int, int] = {}  # column -> rows still under a cell from above
     for row in rows_of(node):
@@ -434,7 +556,7 @@ def extract(source: str | None) -> str | None:
     """Visible text of a page."""
     if source is None:
         return None
-    return "\n".join(lines_of(parse(source)))
+    return "\n".join(lines_of(apply_styles(parse(source))))
 
 
 def extract_text(df: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
