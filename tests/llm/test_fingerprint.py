@@ -1,9 +1,12 @@
 """Multiset hash: order, insertion, deletion; the next document by plain sorting."""
 
 import hashlib
+import math
 import random
+import re
 
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -26,8 +29,59 @@ def test_order_insertion_deletion(lines, more, seed):
     assert Fingerprint.from_hex(whole).likeness(Fingerprint.of_paragraphs(lines + more)) == 1.0
 
 
+def plain_lanes(text):
+    """Both kinds of lanes, written out: hashes of paragraphs and signs of clauses, added one by one."""
+    exact, near = [0] * 8, [0] * 128
+    for paragraph in text.split("\n") if text else []:
+        digest = hashlib.blake2b(paragraph.encode(), digest_size=64).digest()
+        for i in range(8):
+            exact[i] = (exact[i] + int.from_bytes(digest[8 * i : 8 * i + 8], "little")) % 2**64
+        for clause in re.findall(r"[^.,;:!?|]{1,80}", paragraph):
+            bits = int.from_bytes(xxhash.xxh3_128_digest(clause.encode()), "big")
+            for i in range(128):
+                near[i] += 1 if bits >> (127 - i) & 1 else -1
+    return exact, near
+
+
+def plain_hex(text):
+    exact, near = plain_lanes(text)
+    return b"".join([*(x.to_bytes(8, "little") for x in exact), *((x % 2**32).to_bytes(4, "little") for x in near)]).hex()
+
+
+def plain_likeness(one, other):
+    (exact, a), (other_exact, b) = plain_lanes(one), plain_lanes(other)
+    if exact == other_exact:
+        return 1.0
+    size = math.sqrt(sum(x * x for x in a) * sum(x * x for x in b))
+    return min(1.0, max(0.0, sum(x * y for x, y in zip(a, b)) / size)) if size else 0.0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("ab c.,é\n", max_size=40), st.text("ab c.,é\n", max_size=40))
+def test_lanes_as_written_out(one, other):
+    assert Fingerprint.of(one).hex() == plain_hex(one)
+    assert Fingerprint.of(one).likeness(Fingerprint.of(other)) == pytest.approx(plain_likeness(one, other), abs=1e-9)
+
+
+def test_likeness_of_very_long_texts():
+    clause = "the same clause again."
+    some, more, other = (Fingerprint.of(text) for text in (clause * 20_000, clause * 40_000, "another one." * 40_000))
+    assert some.likeness(more) == pytest.approx(1.0) and some.likeness(other) < 0.4
+    assert (some + some).likeness(more) == pytest.approx(1.0)
+    assert Fingerprint.from_hex(more.hex()).likeness(more) == 1.0
+
+
+def test_string_ids_and_no_window_over_everything(spark):
+    rows = [("b", "two. words"), ("a", "one"), (None, "last"), ("c", "three")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = fingerprint.with_next(df)
+    check(df, rows)
+    assert dict(got.dtypes)["doc_id"] == "string"
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def expected(rows, keys):
-    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, keys[r[1]]))
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or type(r[0])() if r[0] is not None else 0, keys[r[1]]))
     out = []
     for i, (doc_id, text) in enumerate(rows):
         text, following = text or "", rows[(i + 1) % len(rows)][1] or ""

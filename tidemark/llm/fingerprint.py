@@ -6,10 +6,11 @@ and a paragraph is put in or taken out by adding or subtracting its vector alone
 ``deleted``), without the rest of the text.
 
 A vector has two parts. ``EXACT`` lanes modulo 2^64 hold a cryptographic hash of the paragraph; they
-decide equality. ``NEAR`` lanes modulo 2^16 hold the sum of one sign per lane for each clause of the
+decide equality. ``NEAR`` lanes modulo 2^32 hold the sum of one sign per lane for each clause of the
 paragraph; their products estimate how many clauses two texts share, whatever else they hold.
 ``likeness`` is the cosine of these lanes, 0 where they point apart and 1 where the exact lanes agree; for
-unrelated texts it stays around 0 with a deviation of 1 / sqrt(NEAR).
+unrelated texts it stays around 0 with a deviation of 1 / sqrt(NEAR). It is right for texts of up to 2^31 clauses,
+which is more than a string of Spark's can hold.
 
 Defined results: NULL and empty texts have no paragraphs, a fingerprint of zeros, and likeness 1 to each
 other. An empty line is a paragraph. Rows are ordered by doc_id, then by a hash of the text; a NULL
@@ -26,8 +27,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import ROWS_AT_ONCE, map_batches, map_rows, picked, staged, text_key
 
@@ -48,7 +50,7 @@ class Fingerprint:
 
     def __init__(self, exact: np.ndarray | None = None, near: np.ndarray | None = None):
         self.exact = np.zeros(EXACT, np.uint64) if exact is None else exact
-        self.near = np.zeros(NEAR, np.uint16) if near is None else near
+        self.near = np.zeros(NEAR, np.uint32) if near is None else near
 
     @classmethod
     def of(cls, text: str | None) -> Fingerprint:
@@ -67,7 +69,7 @@ class Fingerprint:
             digests = b"".join(xxhash.xxh3_128_digest(c.encode()) for c in some)
             bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, NEAR // 8), axis=1)
             sums += 2 * bits.sum(axis=0, dtype=np.int64) - len(some)
-        made.near = sums.astype(np.uint16)
+        made.near = sums.astype(np.uint32)
         return made
 
     @classmethod
@@ -75,11 +77,11 @@ class Fingerprint:
         data = bytes.fromhex(text)
         return cls(
             np.frombuffer(data[: 8 * EXACT], "<u8").astype(np.uint64),
-            np.frombuffer(data[8 * EXACT :], "<u2").astype(np.uint16),
+            np.frombuffer(data[8 * EXACT :], "<u4").astype(np.uint32),
         )
 
     def hex(self) -> str:
-        return (self.exact.astype("<u8").tobytes() + self.near.astype("<u2").tobytes()).hex()
+        return (self.exact.astype("<u8").tobytes() + self.near.astype("<u4").tobytes()).hex()
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.exact + other.exact, self.near + other.near)
@@ -90,7 +92,7 @@ class Fingerprint:
     def likeness(self, other: Fingerprint) -> float:
         if np.array_equal(self.exact, other.exact):
             return 1.0
-        a, b = (x.near.astype(np.uint16).view(np.int16).astype(np.float64) for x in (self, other))
+        a, b = (x.near.astype(np.uint32).view(np.int32).astype(np.float64) for x in (self, other))
         size = np.sqrt((a @ a) * (b @ b))
         return float(min(1.0, max(0.0, a @ b / size))) if size else 0.0
 
@@ -137,23 +139,25 @@ def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """Each row's fingerprint beside that of its edited text and of the next document.
 
     One shuffle sorts the texts by range. A task compares each row with the one that follows it and
-    hands on its first and its last row; these edges, one row for each task, are matched in a second,
-    small step, where the last row of the table meets the first.
+    hands on its first and its last row under its range's number. A last row meets the first row of the next range
+    that has any, and that of the last range the first of all, in a join by these numbers, so no task gets more
+    than its own texts.
     """
     rows = picked(df, doc_id=doc_id, text=text).withColumn("key", text_key())
     order = [F.asc_nulls_last("doc_id"), F.asc("key")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    edges = "first_id long, first_key long, first_text string, last_text string"
-    done = map_batches(ordered, _walk, f"doc_id long, {RESULT}, edge boolean, {edges}")
-    done = staged(done, "fingerprints")
+    ordered = ordered.withColumn("range", F.spark_partition_id())
+    id_field = rows.schema["doc_id"]
+    made = df.sparkSession.createDataFrame([], f"{RESULT}, edge boolean, {EDGE}").schema
+    done = staged(map_batches(ordered, _walk, StructType([id_field, *made.fields])), "fingerprints")
     inside = done.where("not edge").select("doc_id", *_names())
     around = done.where("edge")
-    whole = Window.orderBy(F.asc_nulls_last("first_id"), F.asc("first_key"))
-    everything = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    following = F.coalesce(
-        F.lead(F.struct("first_text")).over(whole), F.first(F.struct("first_text")).over(everything)
-    )
-    met = around.select("doc_id", F.col("last_text").alias("text"), following.first_text.alias("following"))
+    # one number for each range, of which there are as many as shuffle partitions
+    ranges = sorted(r[0] for r in around.select("range").collect())
+    following = list(zip(ranges, ranges[1:] + ranges[:1]))
+    after = df.sparkSession.createDataFrame(following, "range int, next int")
+    first = around.select(F.col("range").alias("next"), F.col("first_text").alias("following"))
+    met = around.join(after, "range").join(first, "next").select("doc_id", F.col("last_text").alias("text"), "following")
 
     def start():
         def of_row(value, following):
@@ -169,31 +173,34 @@ def _names() -> list[str]:
     return [field.split()[0] for field in RESULT.split(", ")]
 
 
+EDGE = "range int, first_text string, last_text string"
+
+
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one task in order: a result for all but the last, and one edge row."""
-    first = held = mark = None
-    names = ["doc_id", *_names(), "edge", "first_id", "first_key", "first_text", "last_text"]
-    types = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2, pa.bool_()]
-    types += [pa.int64(), pa.int64(), pa.string(), pa.string()]
+    first = held = mark = number = id_type = None
+    names = ["doc_id", *_names(), "edge", *[field.split()[0] for field in EDGE.split(", ")]]
+    types = [pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2, pa.bool_(), pa.int32(), pa.string(), pa.string()]
 
     def batch_of(made: list[tuple]) -> pa.RecordBatch:
         columns = zip(*made)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [id_type, *types])], names)
 
     for batch in batches:
+        id_type = batch.schema.field("doc_id").type
         for at in range(0, batch.num_rows, ROWS_AT_ONCE):
             part = batch.slice(at, ROWS_AT_ONCE)
             made = []
-            for doc_id, text, key in zip(*[part.column(c).to_pylist() for c in ("doc_id", "text", "key")]):
+            for doc_id, text in zip(*[part.column(c).to_pylist() for c in ("doc_id", "text")]):
                 text = text or ""
                 now = Fingerprint.of(text)
                 if held is None:
-                    first = (doc_id, key, text)
+                    first, number = text, part.column("range")[0].as_py()
                 else:
                     row = compared(held[1], mark, text, now)
-                    made.append((held[0], *row, False, None, None, None, None))
+                    made.append((held[0], *row, False, None, None, None))
                 held, mark = (doc_id, text), now
             if made:
                 yield batch_of(made)
     if held is not None:
-        yield batch_of([(held[0], *[None] * 6, True, *first, held[1])])
+        yield batch_of([(held[0], *[None] * 6, True, number, first, held[1])])
