@@ -1,5 +1,8 @@
 """Counts against the library's Unigram model over the same vocabulary."""
 
+import math
+import random
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -62,8 +65,49 @@ def test_edge_rows(edge, nothing, whole):
     assert token_counts.count_tokens(nothing, PATH).count() == 0
 
 
-def test_vocabularies_that_do_not_fit():
-    with pytest.raises(ValueError):
-        Counter([("<unk>", 0.0), ("a▁b", -1.0)])
-    with pytest.raises(ValueError):
-        Counter([("<unk>", 0.0), ("a", -1.5)])
+def test_vocabularies_that_cannot_be_cut_into_words():
+    assert Counter(TIES).by_word
+    assert not Counter([("<unk>", 0.0), ("a▁b", -1.0)]).by_word
+    assert not Counter([("<unk>", 0.0), ("a", -1.5)]).by_word
+
+
+FLOATS = [("<unk>", 0.0), ("▁", -2.31), ("a", -1.7), ("b", -2.9), ("ab", -4.603), ("▁a", -4.01), ("ba", -3.3)]
+FLOATS += [("a▁b", -5.17), ("▁ab▁", -6.25), ("é", -1.1), ("▁▁", -3.7), ("abab", -9.2060001), ("x▁x▁x", -2.5)]
+BYTES = [(f"<0x{b:02X}>", -9.5) for b in range(256)]
+
+
+@settings(max_examples=500, deadline=None)
+@given(text=st.text("ab é▁x🙂<unk>", max_size=24), fallback=st.booleans())
+def test_float_scores_and_marks_inside_pieces(text, fallback):
+    pieces = FLOATS + (BYTES if fallback else [])
+    counter = Counter(pieces)
+    assert not counter.by_word
+    expected = len(library(pieces, fallback).encode(text, add_special_tokens=False).ids) if text else 0
+    assert counter.count(text) == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(seed=st.integers(0, 10**6))
+def test_random_float_vocabularies(seed):
+    """Scores as a unigram trainer gives them: logarithms with all their digits."""
+    rng = random.Random(seed)
+    names = {"".join(rng.choices("ab▁é", k=rng.randint(1, 5))) for _ in range(25)}
+    pieces = [("<unk>", 0.0), *((name, math.log(rng.random())) for name in sorted(names))]
+    theirs, ours = library(pieces, False), Counter(pieces)
+    for _ in range(20):
+        text = "".join(rng.choices("ab éx", k=rng.randint(1, 60)))
+        assert ours.count(text) == len(theirs.encode(text, add_special_tokens=False).ids)
+
+
+def test_both_searches_agree_on_the_file(docs):
+    counter = Counter.at(PATH)
+    assert counter.by_word
+    for r in docs.limit(25).collect():
+        text = r.text or ""
+        assert counter.whole("▁" + text.replace(" ", "▁")) == counter.count(text) or not text
+
+
+def test_a_long_text_with_float_scores():
+    text = "ab é x abab " * 20_000
+    counter = Counter(FLOATS)
+    assert counter.count(text) == len(library(FLOATS, False).encode(text, add_special_tokens=False).ids)

@@ -10,10 +10,14 @@ Unknown characters that follow one another are one token, or as many tokens as t
 vocabulary has all byte pieces.
 
 Before the search a space becomes the mark "▁", and the text gets one in front, as in sentencepiece
-models. A piece has marks at its beginning only, if at all (checked when the vocabulary is loaded), so
-no piece spans the place where a mark follows another character, and the text is cut there. The cut texts
-are words and repeat, so their counts are remembered, at most ``CACHED_WORDS`` of at most
-``CACHED_CHARS`` characters. Scores are whole numbers, which makes the sums exact and the cut harmless.
+models. Scores may be any numbers; sums of them are taken from the text's beginning on in 64-bit floats, as the
+library takes them, so that near ties fall as they do there. The search goes through a whole text holding no more
+places than the longest piece has characters.
+
+Where scores are whole numbers, sums are exact in any order. If then no piece has a mark behind its beginning
+(both found when the vocabulary is loaded), no piece spans the place where a mark follows another character, and
+the text is cut there. The cut texts are words and repeat, so their counts are remembered, at most
+``CACHED_WORDS`` of at most ``CACHED_CHARS`` characters.
 
 Defined results: a NULL or empty text has no tokens. Rows with a NULL doc_id and repeated rows count like
 any other. Other columns are ignored; an empty table gives an empty result.
@@ -55,11 +59,9 @@ class Counter:
         self.unknown_piece = pieces[unknown][0]
         self.unknown_score = min(score for _, score in pieces) - UNKNOWN_COST
         self.automaton = ahocorasick.Automaton()
+        self.by_word = all(MARK not in p.lstrip(MARK) and float(score).is_integer() for p, score in pieces)
+        self.longest = max(len(piece) for piece, _ in pieces)
         for i, (piece, score) in enumerate(pieces):
-            if MARK in piece.lstrip(MARK):
-                raise ValueError(f"a mark inside the piece {piece!r}: texts cannot be cut into words")
-            if score != int(score):
-                raise ValueError(f"the score of {piece!r} is no whole number: sums would not be exact")
             if piece:
                 self.automaton.add_word(piece, (len(piece), score, i == unknown))
         self.automaton.make_automaton()
@@ -107,6 +109,54 @@ class Counter:
                     tokens[end], runs[end] = tokens[end - 1], runs[end - 1] + 1
         return tokens[size] + self.run(word, size, runs[size])
 
+    def whole(self, text: str) -> int:
+        """Tokens on the best path through a text of any length, with sums from its beginning on.
+
+        Places are kept in rings that hold as many as the longest piece has characters.
+        """
+        ring = self.longest + 1
+        scores: list[float | None] = [None] * ring
+        tokens, runs, run_bytes = [0] * ring, [0] * ring, [0] * ring
+        scores[0] = 0.0
+        pieces: list[tuple[int, float, bool]] = []
+        ends = self.automaton.iter(text)
+        at, found = next(ends, (-1, None))
+        for end in range(1, len(text) + 1):
+            pieces.clear()
+            while at == end - 1:
+                pieces.append(found)
+                at, found = next(ends, (-1, None))
+            here, best, single = end % ring, None, False
+            for length, score, unknown in pieces:
+                start = (end - length) % ring
+                single = single or length == 1
+                reached = scores[start] + score
+                if best is None or reached > best:
+                    best = reached
+                    if unknown:
+                        tokens[here], runs[here] = tokens[start], runs[start] + length
+                        run_bytes[here] = run_bytes[start] + len(text[end - length : end].encode())
+                    else:
+                        closed = self.closed(text, end - length, runs[start], run_bytes[start])
+                        tokens[here], runs[here], run_bytes[here] = tokens[start] + closed + 1, 0, 0
+            if not single:
+                start = (end - 1) % ring
+                reached = scores[start] + self.unknown_score
+                if best is None or reached > best:
+                    best = reached
+                    tokens[here], runs[here] = tokens[start], runs[start] + 1
+                    run_bytes[here] = run_bytes[start] + len(text[end - 1].encode())
+            scores[here] = best
+        last = len(text) % ring
+        return tokens[last] + self.closed(text, len(text), runs[last], run_bytes[last])
+
+    def closed(self, text: str, end: int, length: int, size: int) -> int:
+        """Tokens of the unknown run of so many characters and bytes that ends at ``end``."""
+        if not length:
+            return 0
+        own = length == len(self.unknown_piece) and text[end - length : end] == self.unknown_piece
+        return 1 if own or not self.bytes else size
+
     def run(self, word: str, end: int, length: int) -> int:
         """Tokens of the unknown run that ends at ``end``."""
         if not length:
@@ -119,6 +169,8 @@ class Counter:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
+        if not self.by_word:
+            return self.whole(MARK + text.replace(" ", MARK))
         total = 0
         known = self.counts
         for word in _WORD.findall(MARK + text.replace(" ", MARK)):
