@@ -96,3 +96,21 @@ def test_stages_on_edge_rows_and_empty_tables(spark, edge, nothing, small):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, small).count() == 0
         stage(spark, edge, small).count()
+
+
+def test_rows_equal_in_id_and_text_leave_one(spark, edge):
+    rows = [row(1, prose(1))] * 3 + [row(2, prose(2)), row(2, prose(2), "fr"), row(None, prose(3)), row(None, prose(3))]
+    out = simhash.one_of_each(spark.createDataFrame(rows, DOCUMENTS).repartition(4))
+    assert sorted(repr(r.doc_id) for r in out.collect()) == ["1", "2", "None"]
+    assert simhash.one_of_each(edge).count() == simhash.one_of_each(edge.unionByName(edge)).count()
+
+
+def test_columns_with_the_names_used_in_near_dedup(spark):
+    from pyspark.sql import functions as F
+
+    names = ["gone_id", "gone_key", "of_id", "of_key", "first", "n", "key", "c0", "kept", "none"]
+    df = spark.createDataFrame([row(i, prose(i % 3))[:4] for i in range(9)], "doc_id long, text string, lang string, source string")
+    clashing = df.withColumns({n: F.lit(7) for n in names})
+    out = simhash.one_of_each(clashing)
+    assert out.columns == clashing.columns
+    assert sorted((r.doc_id, r.gone_id, r.kept) for r in out.collect()) == [(0, 7, 7), (1, 7, 7), (2, 7, 7)]

@@ -296,14 +296,25 @@ def one_of_each(
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """The rows of ``df`` that hold the first document of their component, with all their columns.
+    """One row of ``df`` for each component, with all its columns: its first document.
 
-    First is the smallest doc_id, then the smallest hash of the text. Rows equal in both are one document
-    and all stay.
+    First is the smallest doc_id, then the smallest hash of the text. Of rows equal in both one stays, that
+    whose columns are the smallest as JSON; rows equal in everything are one row.
     """
     found = components(df, doc_id, text, shingle_words, max_bits)
     first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
-    # only those that go need to be told
-    gone = found.where(~first).select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"))
-    same = df[doc_id].eqNullSafe(F.col("gone_id")) & (F.xxhash64(df[text]) == F.col("gone_key"))
-    return df.join(gone.distinct(), same, "left_anti")
+    # only those that go, and those that come more than once, need to be told
+    told = found.groupBy("doc_id", "key").agg(F.count("*").alias("n"), F.max(first).alias("first"))
+    told = told.where("NOT first OR n > 1")
+    # numbered names inside: a caller's may be equal to new ones
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    at = {c: F.col(f"c{i}") for i, c in enumerate(df.columns)}
+    told = told.select(F.col("doc_id").alias("of_id"), F.col("key").alias("of_key"), "first")
+    same = at[doc_id].eqNullSafe(F.col("of_id")) & (F.xxhash64(at[text]) == F.col("of_key"))
+    joined = numbered.join(told, same, "left").where("first IS NULL OR first")
+    once = joined.where("first IS NULL").select(*numbered.columns)
+    again = joined.where("first").select(*numbered.columns)
+    whole = F.to_json(F.struct(*numbered.columns), {"ignoreNullFields": "false"})
+    keys = [at[doc_id].alias("of_id"), F.xxhash64(at[text]).alias("of_key")]
+    kept = again.groupBy(*keys).agg(F.min_by(F.struct(*numbered.columns), whole).alias("kept"))
+    return once.unionByName(kept.select("kept.*")).toDF(*df.columns)
