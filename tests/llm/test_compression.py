@@ -1,5 +1,6 @@
 """Accuracy on texts kept apart, blocks of whole texts, and odd labels."""
 
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -63,3 +64,49 @@ def test_query(spark, small):
     assert df.columns == ["doc_id", "held_out", "score", "predicted"]
     ranks = df.agg(F.min("score"), F.max("score"), F.count("*")).first()
     assert 0 <= ranks[0] <= ranks[1] <= 1 and ranks[2] == 200
+
+
+def test_held_out_accuracy(spark):
+    """Area under the curve over documents whose labels were not learned."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    scored = op4_quality_classifier(spark, sf).where("held_out").join(labels, "doc_id").where("quality IS NOT NULL")
+    got = [(r.score, r.quality) for r in scored.collect()]
+    assert len({q for _, q in got}) == 2
+    assert area(got) > 0.95
+
+
+def area(scored):
+    """Chance that a document of label 1 scores above one of label 0."""
+    good, bad = ([s for s, label in scored if label == wanted] for wanted in (1, 0))
+    return sum((a > b) + 0.5 * (a == b) for a in good for b in bad) / (len(good) * len(bad))
+
+
+def plain_score(model, text):
+    """The whole text in blocks, compressed with either dictionary by zstandard itself."""
+    import zstandard
+
+    data = (text or "").encode()
+    sums = []
+    for dictionary in (model.good, model.bad):
+        total = 0
+        for at in range(0, len(data), 512):
+            made = zstandard.ZstdCompressor(
+                level=3, dict_data=zstandard.ZstdCompressionDict(dictionary),
+                write_content_size=False, write_checksum=False, write_dict_id=False,
+            )
+            total += len(made.compress(data[at : at + 512]))
+        sums.append(total)
+    good, bad = sums
+    difference = 20 * (bad - good) / (bad + good) if data else 0.0
+    ratio = min(good, bad) / len(data) if data else 0.0
+    a, b, c = model.weights
+    return 1 / (1 + math.exp(-(a + b * difference + c * ratio)))
+
+
+def test_scores_as_written_out(spark):
+    docs = spark.createDataFrame([row(i, _text(i)) for i in range(120)] + [row(500, ""), row(501, "é" * 700)], DOCUMENTS)
+    model = compression.fit(docs, _labels(spark, [(i, int(i % 3 > 0)) for i in range(0, 120, 2)]))
+    texts = dict(docs.select("doc_id", "text").collect())
+    for r in compression.score(docs.where("doc_id % 5 = 0 OR doc_id >= 500"), model).collect():
+        assert abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-9

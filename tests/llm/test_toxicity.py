@@ -176,3 +176,16 @@ def test_query(spark, small):
     assert df.columns == ["doc_id", "held_out", "score", "predicted"]
     ranks = df.agg(F.min("score"), F.max("score"), F.count("*")).first()
     assert 0 <= ranks[0] <= ranks[1] <= 1 and ranks[2] == 200
+
+
+def test_held_out_accuracy(spark):
+    """Documents whose labels were not learned: toxic ones are found, others left alone."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    scored = op1_toxicity(spark, sf).where("held_out").join(labels, "doc_id").where("toxic IS NOT NULL")
+    got = [(r.score, r.predicted, r.toxic) for r in scored.collect()]
+    bad, good = ([g for g in got if g[2] == wanted] for wanted in (1, 0))
+    assert bad and good
+    area = sum((a[0] > b[0]) + 0.5 * (a[0] == b[0]) for a in bad for b in good) / (len(bad) * len(good))
+    assert area > 0.95
+    assert sum(g[1] for g in good) <= 0.02 * len(good)
