@@ -74,6 +74,10 @@ def _is_malformed() -> Column:
     return F.coalesce(bad_task, F.lit(False))
 
 
+def is_well_formed() -> Column:
+    return ~_is_malformed()
+
+
 def run_history(meta: DataFrame, limit: int = 10, latest_only: bool = False) -> DataFrame:
     """Newest well-formed runs. ``latest_only`` keeps the last record of a retried run."""
     if not 1 <= limit <= MAX_RUNS:
@@ -82,7 +86,7 @@ def run_history(meta: DataFrame, limit: int = 10, latest_only: bool = False) ->
         last = F.max_by(F.struct(*meta.columns), "recorded_at").alias("last")
         meta = meta.groupBy("run_id").agg(last).select("last.*")
     return (
-        meta.where(~_is_malformed())
+        meta.where(is_well_formed())
         .select(
             "run_id",
             "logical_date",

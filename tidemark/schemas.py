@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampType,
+    VariantType,
 )
 
 
@@ -135,6 +136,15 @@ RUN_METADATA = StructType(
     ]
 )
 
+# Run records as they were logged, with what was absent told from what was NULL.
+RUN_RECORDS = StructType(
+    [
+        *[f for f in RUN_METADATA.fields if f.name not in ("tasks", "run_summary_json")],
+        StructField("tasks", VariantType()),
+        StructField("run_summary_json", VariantType()),
+    ]
+)
+
 # The event types a dump may contain.
 EVENT_TYPES = [
     "CommitCommentEvent",
