@@ -12,7 +12,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions.hours import Hour, days_of, in_hours
 from tidemark.functions.keys import check_hour, parse_day
 from tidemark.schemas import CORRUPT_RECORD, ENVELOPE, SOURCE_COLUMNS
-from tidemark.sources.tables import list_partitions
+from tidemark.sources.claims import claimed
+from tidemark.sources.swaps import folders
 
 
 def bronze_partition(day: str | date, hour: int) -> str:
@@ -74,33 +75,40 @@ def count_lines(lines: DataFrame) -> DataFrame:
     return lines.groupBy(*SOURCE_COLUMNS).agg(F.count("*").alias("raw_rows"))
 
 
-def land_bronze(lines: DataFrame, root: str) -> None:
-    """Land JSON lines (value, source_date, source_hour) once; hours already there are skipped.
+def land_bronze(lines: DataFrame, root: str) -> list[Hour]:
+    """Land JSON lines (value, source_date, source_hour) once; returns the hours landed by this call.
 
-    The dynamic overwrite moves each finished hour into place as a whole folder, so an hour
+    Hours already there are skipped, and so are those that another lander is writing: an hour is claimed first, which
+    only one lander can do (``claims``). An hour is looked for again after it was claimed, as the one before may
+    have ended in between. The dynamic overwrite moves each finished hour into place as a whole folder, so an hour
     that can be seen is complete and skipping it is safe.
     """
     spark = lines.sparkSession
-    # calendar days of what is to be landed; only their folders are listed
-    named = lines.select("source_date").distinct().where("source_date IS NOT NULL")
-    days = {r.source_date for r in named.collect()}
-    landed = list_partitions(spark, root, ["date", "hour"], days) if days else set()
-    if landed:
-        # at most 24 rows for each of those days
-        known = spark.createDataFrame(
-            [(r["date"], int(r["hour"])) for r in landed], "d string, source_hour int"
-        ).select(F.col("d").cast("date").alias("source_date"), "source_hour")
-        lines = lines.join(F.broadcast(known), SOURCE_COLUMNS, "left_anti")
-    (
-        lines.select(
-            "value",
-            F.date_format("source_date", "yyyy-MM-dd").alias("date"),
-            F.lpad(F.col("source_hour").cast("string"), 2, "0").alias("hour"),
+    # calendar hours of what is to be landed: 24 for each of its days; a line without one lands nowhere
+    named = lines.select(*SOURCE_COLUMNS).distinct().where("source_date IS NOT NULL AND source_hour IS NOT NULL")
+    wanted = sorted((r.source_date, r.source_hour) for r in named.collect())
+    days = ",".join(sorted(day.isoformat() for day in days_of(wanted)))
+
+    def missing(hours: Sequence[Hour]) -> list[Hour]:
+        landed = set(folders(spark, root, [f"date={{{days}}}", "hour=*"]))
+        return [h for h in hours if bronze_partition(*h) not in landed]
+
+    with claimed(spark, root, {bronze_partition(*h): h for h in missing(wanted)}) as hours:
+        mine = missing(hours)
+        if not mine:
+            return []
+        (
+            lines.where(in_hours(mine, SOURCE_COLUMNS))
+            .select(
+                "value",
+                F.date_format("source_date", "yyyy-MM-dd").alias("date"),
+                F.lpad(F.col("source_hour").cast("string"), 2, "0").alias("hour"),
+            )
+            .hint("rebalance", "date", "hour")
+            .write.partitionBy("date", "hour")
+            .option("compression", "gzip")
+            .option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .text(root)
         )
-        .hint("rebalance", "date", "hour")
-        .write.partitionBy("date", "hour")
-        .option("compression", "gzip")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .text(root)
-    )
+    return mine
