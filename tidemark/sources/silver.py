@@ -8,9 +8,20 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DateType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tidemark.functions.hours import Hour, as_hour, days_of, in_hours
 from tidemark.functions.keys import check_hour, parse_day
+from tidemark.operators.bitmaps import id_bitmaps
 from tidemark.operators.silver import dedupe, row_kind
 from tidemark.schemas import (
     HOUR_COLUMNS,
@@ -147,6 +158,32 @@ def _late_partitions(spark: SparkSession, path: str, hours: Sequence[Hour]) -> l
     return [folder for folder in found if folder.endswith(wanted)]
 
 
+ID_BITMAPS = StructType(
+    [
+        StructField("event_date", DateType()),
+        StructField("event_hour", IntegerType()),
+        StructField("total_rows", LongType()),
+        StructField("bucket", LongType()),
+        StructField("bits", BinaryType()),
+        StructField("other_ids", ArrayType(StringType())),
+    ]
+)
+
+
+def write_bitmaps(silver: DataFrame, path: str, hours: Sequence[Hour] = ()) -> None:
+    """Keep the id bitmaps of the hours that ``silver`` has rows for, in place of theirs from before; an hour of
+    ``hours`` without rows is left with none."""
+    replace_partitions(id_bitmaps(silver), path, HOUR_COLUMNS, owned=_partitions(hours, HOUR_COLUMNS))
+
+
+def read_bitmaps(spark: SparkSession, path: str, hours: Sequence[Hour] | None = None) -> DataFrame:
+    """Stored bitmaps, of some hours or of all."""
+    if hours is None:
+        return read_table(spark, path, ID_BITMAPS)
+    table = read_table(spark, path, ID_BITMAPS, "event_date", days_of(hours))
+    return table.where(in_hours(hours, HOUR_COLUMNS))
+
+
 def loaded_hours(spark: SparkSession, table: str, hours: Sequence[Hour]) -> set[Hour]:
     """Which of the given hours the warehouse table has."""
     if not hours:
