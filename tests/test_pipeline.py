@@ -78,6 +78,7 @@ def test_hours_one_by_one_in_any_order_equal_one_backfill(spark, tmp_path, lake)
         hourly.run_hours(spark, lake, [(DAY, hour)], bounds=BOUNDS)
     first = _gold(spark, lake)
     assert len(first["fact_events"]) == 25
+    assert rows(hourly.loaded_totals(spark, lake)) == rows(hourly.loaded_totals(spark, lake, [(DAY, 13), (DAY, 14)])) == [(25, 25)]
     assert all(r.success for r in gold.reconcile(spark, lake).collect())
     # going from the watermark instead of the named hours finds nothing new
     gold.refresh_gold(spark, lake)

@@ -148,3 +148,18 @@ def test_moments_without_a_zone_are_utc():
     utc = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
     assert as_utc(datetime(2024, 1, 1, 12)) == utc
     assert as_utc(utc.astimezone(timezone(timedelta(hours=9)))).hour == 12
+
+
+def scans(df):
+    """File scans in the optimized plan, before any exchange is reused, and those of the events table."""
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    return text.count("Relation ["), text.count("props#")
+
+
+def test_checks_read_the_stored_star(spark, small):
+    """None of them builds it from the events; a scan is one of a stored table."""
+    limits = {"mart_reconciliation": 7, "dq_relationships": 13, "dq_unique_combination": 4, "language_enrichment": 8}
+    for name, most in limits.items():
+        df = QUERIES[name](spark, small)
+        count, _ = scans(df)
+        assert count <= most, (name, count)

@@ -129,7 +129,12 @@ def language_momentum(fact: DataFrame, dim_repo: DataFrame, seed: DataFrame) ->
 
 
 def enrich_language(
-    fact: DataFrame, dim_repo: DataFrame, seed: DataFrame, share: int = HOT_SHARE
+    fact: DataFrame,
+    dim_repo: DataFrame,
+    seed: DataFrame,
+    share: int = HOT_SHARE,
+    repo_days: DataFrame | None = None,
 ) -> DataFrame:
-    """Fact rows with their repository's language; drops and multiplies none."""
-    return join_lookup(fact, repo_language(dim_repo, seed), "repo_sk", share)
+    """Fact rows with their repository's language; drops and multiplies none. Stored ``repo_days`` tell the hot ones."""
+    language = repo_language(dim_repo, seed)
+    return join_lookup(fact, language, "repo_sk", share, repo_days, "events")

@@ -341,8 +341,10 @@ def _owned(days: Iterable[int]) -> list[Row]:
 
 
 def _next_days(before: DataFrame, after: DataFrame, languages: DataFrame) -> set[int]:
-    """For each language of a rewritten day, as it was and as it is, its next day with events."""
-    changed = before.unionByName(after).select("language", "date_key").distinct()
+    """For each language whose events on a rewritten day are more or fewer than before, its next day with events."""
+    counted = ["language", "date_key", "event_count"]
+    was, now = before.select(*counted), after.select(*counted)
+    changed = was.exceptAll(now).unionByName(now.exceptAll(was)).select("language", "date_key").distinct()
     marked = changed.withColumn("present", F.lit(False)).unionByName(
         languages.select("language", "date_key", F.lit(True).alias("present"))
     )

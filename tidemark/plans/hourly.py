@@ -10,19 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.hours import Hour, as_hour, days_of, in_hours
-from tidemark.operators import quality, runs
+from tidemark.operators import bitmaps, quality, runs
 from tidemark.operators.silver import transform_events
 from tidemark.plans.gold import refresh_gold
 from tidemark.plans.lake import Lake
 from tidemark.schemas import QUARANTINE, SOURCE_COLUMNS
 from tidemark.session import scratch_scope, shuffles_for, use_utc
 from tidemark.sources.bronze import read_bronze, read_bronze_lines
-from tidemark.sources.runs import append_runs, append_summaries, read_summaries
+from tidemark.sources.runs import append_summaries, read_summaries
+from tidemark.sources.runs import record_runs as keep_runs
 from tidemark.sources.silver import (
     load_hours,
     loaded_hours,
+    read_bitmaps,
     read_late,
     read_silver_hours,
+    write_bitmaps,
     write_silver_hours,
 )
 from tidemark.sources.swaps import finish_swaps
@@ -150,9 +153,7 @@ def _run_hours(
             others = [hour for hour in rewritten if hour not in hours]
             changed = [*passed, *sorted(loaded_hours(spark, lake.silver_events, others))]
             loaded = read_silver_hours(spark, lake.silver.events, changed)
-            log.run(
-                "load_silver", passed, lambda: load_hours(loaded, lake.silver_events, changed)
-            )
+            log.run("load_silver", passed, lambda: _load(spark, lake, loaded, changed))
             log.run(
                 "build_gold", passed, lambda: refresh_gold(spark, lake, changed, full_refresh)
             )
@@ -163,6 +164,17 @@ def _run_hours(
         record_runs(spark, lake, kind, started, {hour: log.rows(hour) for hour in hours})
 
 
+def _load(spark: SparkSession, lake: Lake, loaded: DataFrame, hours: Sequence[Hour]) -> None:
+    """The hours to the warehouse table, and their id bitmaps beside it."""
+    load_hours(loaded, lake.silver_events, hours)
+    write_bitmaps(read_silver_hours(spark, lake.silver_events, hours), lake.id_bitmaps, hours)
+
+
+def loaded_totals(spark: SparkSession, lake: Lake, hours: Sequence[Hour] | None = None) -> DataFrame:
+    """Rows and distinct ids of the warehouse table, of some hours or all, from the stored bitmaps."""
+    return bitmaps.distinct_ids(read_bitmaps(spark, lake.id_bitmaps, hours))
+
+
 def record_runs(
     spark: SparkSession,
     lake: Lake,
@@ -189,4 +201,4 @@ def record_runs(
         "run_id string, position int, task_id string, state string, duration double",
     )
     recent = read_summaries(spark, lake.summaries).where(F.col("timestamp") > F.lit(started))
-    append_runs(runs.run_rows(run_frame, task_frame, recent), lake.runs)
+    keep_runs(runs.run_rows(run_frame, task_frame, recent), lake.runs)

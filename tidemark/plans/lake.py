@@ -29,6 +29,11 @@ class Lake:
         """The warehouse table the star schema reads."""
         return f"{self.root}/warehouse/silver_events"
 
+    @property
+    def id_bitmaps(self) -> str:
+        """Distinct ids of every loaded hour, in a form that can be merged."""
+        return f"{self.root}/warehouse/id_bitmaps"
+
     @property
     def seed(self) -> str:
         return f"{self.root}/seeds/repo_languages"
@@ -39,7 +44,7 @@ class Lake:
     @property
     def partitioned(self) -> dict[str, int]:
         """Tables whose partitions are swapped, with the number of their partition columns."""
-        tables = {self.silver.events: 2, self.silver.quarantine: 2, self.silver.late: 3, self.silver_events: 2}
+        tables = {self.silver.events: 2, self.silver.quarantine: 2, self.silver.late: 3, self.silver_events: 2, self.id_bitmaps: 2}
         by_one = [
             "fact_events",
             "fact_events_ids",
@@ -54,7 +59,7 @@ class Lake:
             "contributor_leaderboard",
             "language_momentum",
         ]
-        return {**tables, **{self.gold(name): 1 for name in by_one}}
+        return {**tables, **{self.gold(name): 1 for name in by_one}, self.runs: 1}
 
     @property
     def summaries(self) -> str:

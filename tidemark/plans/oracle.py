@@ -208,6 +208,16 @@ run_tasks AS (
 ),
 broken AS (
   SELECT DISTINCT run_id FROM tasks WHERE run_id LIKE '%T13:%' AND task_id = 'ForkEvent'
+),
+logged AS (
+  SELECT run_id, cast(row_number() OVER (PARTITION BY run_id ORDER BY task_id) - 1 AS integer) AS pos,
+         task_id, 'success' AS state, CASE WHEN kind > 1 THEN n * 0.5::double END AS duration,
+         CASE kind WHEN 0 THEN 'absent' WHEN 1 THEN 'null' ELSE 'value' END AS duration_kind
+  FROM (
+    SELECT 'scheduled__' || strftime(date_trunc('hour', created_at), '%Y-%m-%dT%H:%M:%S') AS run_id,
+           event_type AS task_id, count(*) AS n,
+           (length(event_type) + max(event_hour) + count(*)) % 4 AS kind
+    FROM stg GROUP BY date_trunc('hour', created_at), event_type)
 )
 """
 
@@ -595,6 +605,21 @@ _SELECTS = {
     "run_history_errors": (
         "SELECT run_id, 'a task lacks task_id or state' AS reason FROM broken"
     ),
+    "silver_totals_from_bitmaps": (
+        "SELECT event_date, count(*) AS total_rows, count(DISTINCT event_id) AS distinct_event_ids FROM valid "
+        "GROUP BY event_date UNION ALL SELECT NULL, count(*), count(DISTINCT event_id) FROM valid"
+    ),
+    "run_task_durations": "SELECT run_id, pos, task_id, state, duration, duration_kind FROM logged",
+    "run_record_history": (
+        f"SELECT run_id, logical_date, recorded_at, l.n AS task_count, l.unknown AS unknown_durations, {_COUNTS}, "
+        "verdict FROM fresh f JOIN (SELECT run_id, count(*) AS n, count(*) FILTER (WHERE duration IS NULL) AS unknown, "
+        "count(*) FILTER (WHERE duration_kind = 'absent') AS absent FROM logged GROUP BY run_id) l USING (run_id) "
+        "WHERE absent = 0 ORDER BY recorded_at DESC LIMIT 100"
+    ),
+    "run_record_errors": (
+        "SELECT run_id, 'tasks[' || cast(min(pos) AS varchar) || '].duration is absent' AS reason "
+        "FROM logged WHERE duration_kind = 'absent' GROUP BY run_id"
+    ),
 }
 
 ORACLE_SQL = {name: f"{_VIEWS}{select}" for name, select in _SELECTS.items()}

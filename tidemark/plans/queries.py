@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 from functools import wraps
 
@@ -19,7 +19,7 @@ from tidemark.functions.keys import (
     silver_partition_path,
     surrogate_key,
 )
-from tidemark.operators import dims, fact, marts, pages, quality, runs, silver
+from tidemark.operators import bitmaps, dims, fact, marts, pages, quality, run_json, runs, silver
 from tidemark.plans import fixture
 from tidemark.plans.model_tests import results_of
 from tidemark.schemas import CONTRIBUTION_TYPES, EVENT_TYPES, SILVER_COLUMNS, SILVER_REQUIRED
@@ -74,6 +74,46 @@ class Star:
         return marts.contributor_leaderboard(self.fact, self.actor)
 
 
+class StoredStar:
+    """The same star schema from stored tables, written at their first use, as a refresh leaves them.
+
+    Checks read it: each of them then scans a small table instead of building it from the events anew.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._star = Star(spark, sf_dir)
+        self.stg = self._star.stg
+        self.fact = self._table("fact", ["event_date"], ["event_type"])
+        self.repo, self.actor, self.seed = self._table("repo"), self._table("actor"), self._table("seed")
+
+    def _table(self, name: str, columns: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+        rows = getattr(self._star, name)
+
+        def write(path: str) -> None:
+            tables.replace_table(rows, path, columns, sort_by)
+
+        path = written_once(self._spark, f"star-{name}", self._sf_dir, write)
+        return tables.read_table(self._spark, path, rows.schema).select(*rows.columns)
+
+    def repo_days(self) -> DataFrame:
+        """Events of every repository and day."""
+
+        def write(path: str) -> None:
+            tables.replace_table(marts.repo_days(self._star.fact), path, ["date_key"])
+
+        return tables.read_mart(self._spark, written_once(self._spark, "star-repo-days", self._sf_dir, write))
+
+    def trending(self) -> DataFrame:
+        return _mart_table(self._spark, self._sf_dir, "trending")
+
+    def momentum(self) -> DataFrame:
+        return _mart_table(self._spark, self._sf_dir, "momentum")
+
+    def leaderboard(self) -> DataFrame:
+        return _mart_table(self._spark, self._sf_dir, "leaderboard")
+
+
 def _dirty_flat(spark, sf_dir) -> DataFrame:
     return silver.flatten(fixture.raw_events(spark, sf_dir, dirty=True))
 
@@ -344,16 +384,16 @@ def join_fact_dim_actor(spark, sf_dir):
 
 @query
 def language_enrichment(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = StoredStar(spark, sf_dir)
     # about half of the given repositories hold more than this share of the events
-    enriched = marts.enrich_language(star.fact, star.repo, star.seed, share=100)
+    enriched = marts.enrich_language(star.fact, star.repo, star.seed, 100, star.repo_days())
     return enriched.select("event_id", "date_key", "repo_sk", "language")
 
 
 @query
 def dq_relationships(spark, sf_dir):
     """Foreign keys of the fact and the marts against dimensions that lack some of their rows."""
-    star = Star(spark, sf_dir)
+    star = StoredStar(spark, sf_dir)
     old = fact.between(star.stg, None, CUTOVER)
     parents = {
         "repo_sk": star.repo.where("repo_id % 7 <> 3"),
@@ -390,6 +430,26 @@ def silver_totals(spark, sf_dir):
     return silver.totals(_dirty_flat(spark, sf_dir))
 
 
+def _stored_bitmaps(spark, sf_dir) -> DataFrame:
+    """Id bitmaps of every hour, as the load keeps them."""
+
+    def write(path: str) -> None:
+        raw = bronze_io.read_bronze(spark, fixture.landed_bronze(spark, sf_dir))
+        valid, _ = silver.split_quarantine(silver.transform_events(raw))
+        silver_io.write_bitmaps(valid, path)
+
+    return silver_io.read_bitmaps(spark, written_once(spark, "id-bitmaps", sf_dir, write))
+
+
+@query
+def silver_totals_from_bitmaps(spark, sf_dir):
+    """Totals of every day and of the whole table, from stored bitmaps; no event is read."""
+    stored = _stored_bitmaps(spark, sf_dir)
+    by_day = bitmaps.distinct_ids(stored, ["event_date"])
+    whole = bitmaps.distinct_ids(stored).withColumn("event_date", F.lit(None).cast("date"))
+    return by_day.unionByName(whole)
+
+
 @query
 def silver_type_breakdown(spark, sf_dir):
     return silver.type_breakdown(_dirty_silver(spark, sf_dir))
@@ -619,7 +679,7 @@ def dq_accepted_range(spark, sf_dir):
 @query
 def dq_unique_combination(spark, sf_dir):
     """Grain guards: the marts hold; the events behind them repeat (day, repository)."""
-    star = Star(spark, sf_dir)
+    star = StoredStar(spark, sf_dir)
     grains = {
         "trending_repos_daily": (star.trending(), ["date_key", "repo_sk"]),
         "language_momentum": (star.momentum(), ["date_key", "language"]),
@@ -643,7 +703,7 @@ def dq_model_tests(spark, sf_dir):
     Staging and fact come from the dirty events, and the seed and the dimensions have a row too many or
     too few, so that every kind of test has something to find.
     """
-    star = Star(spark, sf_dir)
+    star = StoredStar(spark, sf_dir)
     dirty = silver.stg_events(silver.typed(_dirty_flat(spark, sf_dir)))
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type")
     models = {
@@ -730,7 +790,7 @@ def dq_gate(spark, sf_dir):
 
 @query
 def mart_reconciliation(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = StoredStar(spark, sf_dir)
     return quality.mart_reconciliation(
         star.fact, star.repo, star.trending(), star.momentum(), star.leaderboard()
     )
@@ -755,18 +815,19 @@ def run_summary_freshness(spark, sf_dir):
     )
 
 
-def _stored_runs(spark, sf_dir) -> DataFrame:
+def _run_table(spark, sf_dir) -> str:
     """The run table, written at its first use and read often, as one that runs append to."""
 
     def write(path: str) -> None:
         runs_io.append_runs(_run_rows(spark, sf_dir, fixture.nameless_tasks), path)
 
-    return runs_io.read_runs(spark, written_once(spark, "run-table", sf_dir, write))
+    return written_once(spark, "run-table", sf_dir, write)
 
 
 @query
 def run_history(spark, sf_dir):
-    history = runs.run_history(_stored_runs(spark, sf_dir), limit=100)
+    """The newest days of the run table, as many as the limit needs."""
+    history = runs_io.recent_runs(spark, _run_table(spark, sf_dir), limit=100)
     return history.select(
         "run_id",
         "logical_date",
@@ -779,4 +840,49 @@ def run_history(spark, sf_dir):
 
 @query
 def run_history_errors(spark, sf_dir):
-    return runs.run_errors(_stored_runs(spark, sf_dir))
+    return runs.run_errors(runs_io.read_runs(spark, _run_table(spark, sf_dir)))
+
+
+def _run_records(spark, sf_dir) -> DataFrame:
+    """Records as they were logged, stored with VARIANT columns."""
+
+    def write(path: str) -> None:
+        stg = fixture.staging(spark, sf_dir)
+        fresh = runs.fresh_summaries(fixture.runs(stg), _summaries(spark, sf_dir))
+        texts = fresh.join(fixture.task_records(stg), "run_id", "left").select(
+            "run_id",
+            "recorded_at",
+            "logical_date",
+            *[F.col(f"summary.{c}").alias(c) for c in runs.RUN_COUNTS],
+            "tasks_json",
+            F.to_json("summary").alias("summary_json"),
+        )
+        columns = {"tasks": "tasks_json", "run_summary_json": "summary_json"}
+        runs_io.append_run_records(run_json.parse_records(texts, columns), path)
+
+    return runs_io.read_run_records(spark, written_once(spark, "run-records", sf_dir, write))
+
+
+@query
+def run_task_durations(spark, sf_dir):
+    """Tasks as they were logged: an absent duration is told from a NULL one."""
+    return run_json.task_durations(_run_records(spark, sf_dir))
+
+
+@query
+def run_record_history(spark, sf_dir):
+    history = run_json.run_history(_run_records(spark, sf_dir), limit=100)
+    return history.select(
+        "run_id",
+        "logical_date",
+        "recorded_at",
+        F.size("tasks").alias("task_count"),
+        F.size(F.filter("tasks", lambda t: t["duration"].isNull())).alias("unknown_durations"),
+        *runs.RUN_COUNTS,
+        "verdict",
+    )
+
+
+@query
+def run_record_errors(spark, sf_dir):
+    return run_json.run_errors(_run_records(spark, sf_dir))

@@ -62,7 +62,7 @@ def finish_swap(spark: SparkSession, path: str, pending: str, depth: int) -> lis
             done.append(leaf)
     fs, at = file_system(spark, pending)
     fs.delete(at, True)
-    return done
+    return sorted(done)
 
 
 def _take_place(spark: SparkSession, path: str, pending: str, kind: str, leaf: str) -> None:
