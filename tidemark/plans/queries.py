@@ -394,12 +394,12 @@ def language_enrichment(spark, sf_dir):
 def dq_relationships(spark, sf_dir):
     """Foreign keys of the fact and the marts against dimensions that lack some of their rows."""
     star = StoredStar(spark, sf_dir)
-    old = fact.between(star.stg, None, CUTOVER)
+    old = fact.between(star.fact, None, CUTOVER)
     parents = {
         "repo_sk": star.repo.where("repo_id % 7 <> 3"),
         "actor_sk": star.actor.where("actor_id % 7 <> 3"),
-        "date_key": old.select(date_key("event_date").alias("date_key")).distinct(),
-        "event_type": dims.dim_event_type(star.stg).where("event_type <> 'ForkEvent'"),
+        "date_key": old.select("date_key").distinct(),
+        "event_type": dims.dim_event_type(star.fact).where("event_type <> 'ForkEvent'"),
     }
     children = {
         "fact_events": (star.fact, ["repo_sk", "actor_sk", "date_key", "event_type"]),
