@@ -179,8 +179,9 @@ def test_query(spark, small):
 
 
 def test_held_out_accuracy(spark):
-    """Documents whose labels were not learned: toxic ones are found, others left alone."""
-    sf = "/root/testdata/sf0.01"
+    """Documents whose labels were not learned: toxic ones are found, others left alone. The smaller tables have too
+    few toxic documents to learn their words from (sf0.01: 18 held out, area 0.889)."""
+    sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
     scored = op1_toxicity(spark, sf).where("held_out").join(labels, "doc_id").where("toxic IS NOT NULL")
     got = [(r.score, r.predicted, r.toxic) for r in scored.collect()]
@@ -188,4 +189,5 @@ def test_held_out_accuracy(spark):
     assert bad and good
     area = sum((a[0] > b[0]) + 0.5 * (a[0] == b[0]) for a in bad for b in good) / (len(bad) * len(good))
     assert area > 0.95
-    assert sum(g[1] for g in good) <= 0.02 * len(good)
+    assert sum(g[1] for g in good) <= 0.01 * len(good)
+    assert sum(g[1] for g in bad) >= 0.8 * len(bad)
