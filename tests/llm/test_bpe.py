@@ -1,5 +1,8 @@
 """BPE against the library's own encode and decode."""
 
+import hashlib
+import tracemalloc
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -8,6 +11,7 @@ from tokenizers import Tokenizer
 
 from llm.cases import EDGE_ROWS
 from tidemark.llm import bpe
+from tidemark.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -69,3 +73,30 @@ def test_every_character():
     texts = ["".join(f"a{c}:{c}1 " for c in characters[i : i + 500]) for i in range(0, len(characters), 500)]
     for text, coded in zip(texts, theirs.encode_batch(texts, add_special_tokens=False)):
         assert ours.encode(text) == coded.ids
+
+
+def test_words_remembered_fit_in_a_worker():
+    """Two workers' words and two counts of the JVM are to fit in an executor."""
+    ours, n = bpe.Bpe(PATH), 20_000
+    tracemalloc.start()
+    try:
+        for i in range(n):
+            ours.encode(chr(0x4E00 + i % 20_000) + "word")
+        size = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(ours.words) + len(ours.words.older) >= n
+    assert bpe.CACHED_WORDS * size / n < 80e6
+
+
+def test_query_over_edge_rows(library, edge, tmp_path):
+    """Digests as from the library, without an array of strings on the way: that is some objects for every token."""
+    edge.write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op8_bpe"](edge.sparkSession, str(tmp_path))
+    expected = []
+    for r in EDGE_ROWS:
+        ids, decoded = _same(library, r[1])
+        hashes = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), decoded)]
+        expected.append((r[0], len(ids), *hashes))
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, expected))
+    assert "array<string>" not in out._jdf.queryExecution().optimizedPlan().toString()

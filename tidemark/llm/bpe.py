@@ -20,12 +20,13 @@ from collections.abc import Iterator
 from itertools import chain
 
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, picked
 
-# Pieces remembered in a Python worker (about 250 MB), and the longest that is remembered.
-CACHED_WORDS = 1_000_000
+# Pieces remembered in a Python worker (under 80 MB), and the longest that is remembered.
+CACHED_WORDS = 250_000
 CACHED_CHARS = 64
 # Signs that end a piece of letters whatever the pattern's contractions are.
 SIGNS = frozenset(".,;:!?|)")
@@ -84,10 +85,15 @@ def byte_characters() -> list[str]:
 
 
 class Words(dict):
-    """Token ids of a chunk without white space. Chunks that are one piece are remembered."""
+    """Token ids of a chunk without white space. Chunks that are one piece are remembered.
+
+    Of ``CACHED_WORDS`` the newer half is here and the older half in ``older``. When the newer half is full, it
+    becomes the older one: words that recur are taken over, words of one text are forgotten.
+    """
 
     def __init__(self, bpe: Bpe):
         self.bpe = bpe
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
         # most chunks are letters, or letters and one sign after them: these need no pattern
@@ -100,9 +106,12 @@ class Words(dict):
         return tuple(chain.from_iterable(self.get(x) or self.piece(x) for x in pieces))
 
     def piece(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.bpe.piece_ids(piece))
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = tuple(self.bpe.piece_ids(piece))
         if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= CACHED_WORDS // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -248,3 +257,12 @@ def encode_decode(df: DataFrame, path: str, doc_id: str = "doc_id", text: str =
         return of_row
 
     return map_rows(picked(df, doc_id=doc_id, text=text), start, "ids array<int>, decoded string")
+
+
+def listed(ids: str) -> Column:
+    """The column of ids as text, with one space between.
+
+    The numbers are printed as JSON, into one buffer. Joining an array takes an array of strings, which is
+    some objects for every token.
+    """
+    return F.replace(F.btrim(F.to_json(ids), F.lit("[]")), F.lit(","), F.lit(" "))
